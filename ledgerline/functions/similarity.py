@@ -142,7 +142,7 @@ def jaro_winkler_bound(
     right_masks: list[Column],
     prefix: int = PREFIX_LENGTH,
 ) -> Column:
-    """Value the similarity of two non-empty texts cannot exceed, from lengths and character masks."""
+    """Value the similarity of two texts cannot exceed, from their lengths and character masks."""
 
     def shared(length: Column, mine: list[Column], other: list[Column]) -> Column:
         for a, b in zip(mine, other, strict=True):
@@ -152,6 +152,8 @@ def jaro_winkler_bound(
     most = F.least(
         shared(left_length, left_masks, right_masks), shared(right_length, right_masks, left_masks)
     )
-    jaro = (most / left_length + most / right_length + F.lit(1.0)) / F.lit(3.0)
+    # Spark may evaluate this before the filter that removes empty texts.
+    parts = [most / F.greatest(length, F.lit(1)) for length in (left_length, right_length)]
+    jaro = (parts[0] + parts[1] + F.lit(1.0)) / F.lit(3.0)
     boosted = jaro + F.lit(prefix * PREFIX_WEIGHT) * (F.lit(1.0) - jaro)
     return F.when(jaro > BOOST_ABOVE, boosted).otherwise(jaro)

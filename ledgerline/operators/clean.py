@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline import schemas
 from ledgerline.operators.keys import dedup
@@ -44,7 +45,9 @@ def has_key(key: str) -> Column:
     return F.col(key).isNotNull() & (F.col(key) != "")
 
 
-def _typed(df: DataFrame, layout, sources: Mapping[str, str]) -> DataFrame:
+def typed(
+    df: DataFrame, layout: StructType, sources: Mapping[str, str], carry: Sequence[str] = ()
+) -> DataFrame:
     """Columns of ``layout`` read from ``df``: text to day and text to flag, the rest unchanged."""
     stored = dict(df.dtypes)
     columns = []
@@ -56,24 +59,28 @@ def _typed(df: DataFrame, layout, sources: Mapping[str, str]) -> DataFrame:
         elif stored[name] == "string" and wanted == "boolean":
             value = value == "true"
         columns.append(value.alias(field.name))
-    return df.select(columns)
+    return df.select(*columns, *carry)
 
 
-def clean_establishments(bronze: DataFrame) -> DataFrame:
-    """One typed row per ``siret``, the most recently processed one."""
-    kept = dedup(bronze.filter(has_key("siret")), ["siret"], ["dateDernierTraitementEtablissement"])
-    return _typed(kept, schemas.SILVER_ESTABLISHMENT, ESTABLISHMENT_SOURCES)
+def clean_establishments(bronze: DataFrame, per: Sequence[str] = ()) -> DataFrame:
+    """One typed row per ``siret``, the most recently processed one.
+
+    ``per`` names further columns, such as the day of ingestion, to keep one row for each value of.
+    """
+    latest = ["dateDernierTraitementEtablissement"]
+    kept = dedup(bronze.filter(has_key("siret")), ["siret", *per], latest)
+    return typed(kept, schemas.SILVER_ESTABLISHMENT, ESTABLISHMENT_SOURCES, per)
 
 
 def clean_announcements(bronze: DataFrame) -> DataFrame:
     """One typed row per announcement ``id``."""
     kept = dedup(bronze.filter(has_key("id")), ["id"])
-    return _typed(kept, schemas.SILVER_ANNOUNCEMENT, ANNOUNCEMENT_SOURCES)
+    return typed(kept, schemas.SILVER_ANNOUNCEMENT, ANNOUNCEMENT_SOURCES)
 
 
 def clean_markets(bronze: DataFrame) -> DataFrame:
     """Typed markets; a market awarded jointly keeps one row per winner."""
-    silver = _typed(bronze.filter(has_key("uid")), schemas.SILVER_MARKET, MARKET_SOURCES)
+    silver = typed(bronze.filter(has_key("uid")), schemas.SILVER_MARKET, MARKET_SOURCES)
     kind = "titulaire_type_identifiant"
     return silver.withColumn(kind, F.upper(kind))
 

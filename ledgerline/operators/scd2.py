@@ -37,7 +37,7 @@ def current(gold: DataFrame) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of a frame, taken from its optimized plan; runs no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def scd2_apply(
@@ -143,8 +143,8 @@ def scd2_replay(
 
     Equal to one strict ``scd2_apply`` per value of ``day``, with one shuffle for all of them: each
     incoming row is compared with the row of its key before it, which suffices because a row that
-    opens no version equals its predecessor in every tracked column. ``day`` must not precede the
-    current versions of gold.
+    opens no version equals its predecessor in every tracked column. Rows older than the current
+    version of their key are passed over, so repeating a batch changes nothing.
     """
     payload = payload_columns(gold)
     rows = dedup(incoming.select(*payload, F.col(day).alias("_day")), [*keys, "_day"])
@@ -155,8 +155,11 @@ def scd2_replay(
     timeline = Window.partitionBy(*keys).orderBy(F.col("_day").asc_nulls_first())
     previous = F.lag(F.struct(*[F.col(c) for c in tracked])).over(timeline)
     state = F.struct(*[F.col(c) for c in tracked])
+    since = F.max("_kept.valid_from").over(Window.partitionBy(*keys))
     opens = (
         stored.unionByName(came)
+        .withColumn("_since", since)
+        .filter("_kept IS NOT NULL OR _since IS NULL OR _day >= _since")
         .withColumn("_first", F.row_number().over(timeline) == 1)
         .withColumn("_same", previous.eqNullSafe(state))
         .filter(F.col("_kept").isNotNull() | F.col("_first") | ~F.col("_same"))

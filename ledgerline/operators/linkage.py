@@ -40,8 +40,10 @@ from ledgerline.session import settle
 BLOCK_PREFIX = 4
 # Scores that land on a threshold count as reaching it, whatever the last bits of the division say.
 DIGITS = 9
-# A group of values to compare is cut into tiles of about this many rows a side.
-TILE_ROWS = 20_000
+# A group of values to compare is cut into tiles of about this many rows a side, and one task gets
+# about as many pairs as one tile has.
+TILE_ROWS = 2_000
+MOST_TASKS = 100_000
 # Parts the sampled pairs are spread over.
 SAMPLE_PARTS = 64
 
@@ -371,34 +373,43 @@ def tiles(
     """Both sides, and the columns to join them on, so that no key brings more than a tile together.
 
     A key with more than ``tile_rows`` rows on a side is cut into parts on that side, and the other
-    side is repeated once per part. Without such a key both sides come back as they are.
+    side is repeated once per part.
     """
 
-    def parts(side: DataFrame, name: str) -> DataFrame:
-        return side.groupBy(*keys).agg(F.ceil(F.count("*") / tile_rows).cast("int").alias(name))
-
-    large = parts(left, "parts_l").join(parts(right, "parts_r"), keys)
-    large = large.filter("parts_l > 1 OR parts_r > 1")
-    if large.isEmpty():
-        return left, right, keys
-
-    def cut(side: DataFrame, own: str, other: str, spread: list[str]) -> DataFrame:
-        sized = side.join(large, keys, "left").withColumns(
-            {c: F.coalesce(c, F.lit(1)) for c in ("parts_l", "parts_r")}
-        )
-        mine = F.pmod(F.xxhash64(*spread), F.col(f"parts_{own}")).cast("int")
-        every = F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1))
-        return (
-            sized.withColumn(f"part_{own}", mine)
-            .withColumn(f"part_{other}", every)
-            .drop("parts_l", "parts_r")
+    def count(side: DataFrame, suffix: str) -> DataFrame:
+        rows = F.count("*")
+        return side.groupBy(*keys).agg(
+            rows.alias(f"rows_{suffix}"),
+            F.ceil(rows / tile_rows).cast("int").alias(f"parts_{suffix}"),
         )
 
-    return (
-        cut(left, "l", "r", left_spread),
-        cut(right, "r", "l", right_spread),
-        [*keys, "part_l", "part_r"],
-    )
+    # The same equality join, on counts instead of rows.
+    groups = count(left, "l").join(count(right, "r"), keys)
+    is_large = F.expr("parts_l > 1 OR parts_r > 1")
+    work = groups.agg(
+        F.sum(pair_count("rows_l", "rows_r")).alias("pairs"), F.count_if(is_large).alias("large")
+    ).first()
+    # The bytes of the two sides say nothing about the work their pairs make, so the number of tasks
+    # follows the number of pairs.
+    tasks = min(MOST_TASKS, 1 + int(work["pairs"] or 0) // tile_rows**2)
+    if work["large"]:
+        large = groups.filter(is_large).select(*keys, "parts_l", "parts_r")
+
+        def cut(side: DataFrame, own: str, other: str, spread: list[str]) -> DataFrame:
+            sized = side.join(large, keys, "left").withColumns(
+                {c: F.coalesce(c, F.lit(1)) for c in ("parts_l", "parts_r")}
+            )
+            mine = F.pmod(F.xxhash64(*spread), F.col(f"parts_{own}")).cast("int")
+            every = F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1))
+            return (
+                sized.withColumn(f"part_{own}", mine)
+                .withColumn(f"part_{other}", every)
+                .drop("parts_l", "parts_r")
+            )
+
+        left, right = cut(left, "l", "r", left_spread), cut(right, "r", "l", right_spread)
+        keys = [*keys, "part_l", "part_r"]
+    return left.repartition(tasks, *keys), right.repartition(tasks, *keys), keys
 
 
 def _other_name(

@@ -42,7 +42,7 @@ def postal(nation: str) -> Column:
 
 def by(column: str, cases: dict, otherwise: Column | None = None) -> Column:
     """Value chosen by the text in ``column``."""
-    chain = F
+    chain = F  # the first ``when`` of the module starts the chain
     for case, value in cases.items():
         chain = chain.when(F.col(column) == case, value)
     return chain.otherwise(otherwise) if otherwise is not None else chain
@@ -211,32 +211,43 @@ def raw_establishments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()])).alias("json"))
 
 
-def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer as a matching candidate."""
+def candidates_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = normalize.parse_json(raw_establishments(spark, sf_dir), "json", schemas.RAW_ESTABLISHMENT)
     return normalize.normalize_candidates(raw)
 
 
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as a matching candidate: what ``candidates_from_json`` arrives at."""
+    located = F.col("c_acctbal") < 9500
+    nameless = (F.col("c_mktsegment") == "AUTOMOBILE") & (F.col("c_acctbal") < 1000)
+    person = F.concat_ws(" ", "p_name", "token")
+    values = {
+        "siren": padded("c_custkey"),
+        "siret": F.concat(padded("c_custkey"), F.lit("00019")),
+        "denomination": F.when(F.col("c_mktsegment") == "HOUSEHOLD", person).when(
+            ~nameless, F.col("company")
+        ),
+        "numero_voie": F.when(located, F.col("c_nationkey").cast("string")),
+        "type_voie": F.when(located, "RUE"),
+        "libelle_voie": F.when(located, F.col("c_name")),
+        "code_postal": F.when(located, postal("c_nationkey")),
+        "libelle_commune": F.when(located, F.col("n_name")),
+    }
+    df = customers(spark, sf_dir)
+    return df.select([values[c].alias(c) for c in schemas.BRONZE_CANDIDATE_COLUMNS])
+
+
 # --- announcements ---------------------------------------------------------------------------------
 
 
-def raw_announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as JSON records of the announcement API; ``registre`` is a text, a list or missing."""
-    df = table(spark, sf_dir, "orders").join(
+def announced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").join(
         customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")
     )
-    siren = padded("o_custkey")
-    spaced = F.concat_ws(" ", siren.substr(1, 3), siren.substr(4, 3), siren.substr(7, 3))
-    register = by(
-        "o_orderpriority",
-        {
-            "1-URGENT": F.to_json(F.array(siren, spaced)),
-            "2-HIGH": F.concat(F.lit('"'), spaced, F.lit(" RCS "), F.col("n_name"), F.lit('"')),
-            "3-MEDIUM": F.concat(F.lit('"RCS '), F.col("n_name"), F.lit('"')),
-            "4-NOT SPECIFIED": F.concat(F.lit('"12 RCS PARIS '), spaced, F.lit('"')),
-        },
-        F.lit("null"),
-    )
+
+
+def announced_values() -> dict[str, Column]:
+    """What an announcement says about an order, by name of the bronze column."""
     named = by(
         "o_orderpriority",
         {
@@ -260,26 +271,43 @@ def raw_announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
     town = F.when(
         F.col("o_orderstatus") == "P", F.replace("n_name", F.lit("NATION"), F.lit("NATIONS"))
     ).otherwise(F.col("n_name"))
-    texts = F.to_json(
-        F.struct(
-            F.concat(F.lit("A"), F.col("o_orderkey").cast("string")).alias("id"),
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("dateparution"),
-            F.col("o_orderkey").alias("numeroannonce"),
-            F.lit("Avis initial").alias("typeavis_lib"),
-            family.alias("familleavis_lib"),
-            F.concat(F.lit("TC "), F.col("n_name")).alias("tribunal"),
-            named.alias("commercant"),
-            by("o_orderstatus", {"F": siren, "O": F.lit("")}).alias("siren"),
-            town.alias("ville"),
-            postal("c_nationkey").alias("cp"),
-            padded("c_nationkey", 2).alias("numerodepartement"),
-        )
+    return {
+        "id": F.concat(F.lit("A"), F.col("o_orderkey").cast("string")),
+        "dateparution": F.date_format("o_orderdate", "yyyy-MM-dd"),
+        "numeroannonce": F.col("o_orderkey"),
+        "typeavis_lib": F.lit("Avis initial"),
+        "familleavis_lib": family,
+        "tribunal": F.concat(F.lit("TC "), F.col("n_name")),
+        "commercant": named,
+        "ville": town,
+        "cp": postal("c_nationkey"),
+    }
+
+
+def raw_announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as JSON records of the announcement API; ``registre`` is a text, a list or missing."""
+    siren = padded("o_custkey")
+    spaced = F.concat_ws(" ", siren.substr(1, 3), siren.substr(4, 3), siren.substr(7, 3))
+    register = by(
+        "o_orderpriority",
+        {
+            "1-URGENT": F.to_json(F.array(siren, spaced)),
+            "2-HIGH": F.concat(F.lit('"'), spaced, F.lit(" RCS "), F.col("n_name"), F.lit('"')),
+            "3-MEDIUM": F.concat(F.lit('"RCS '), F.col("n_name"), F.lit('"')),
+            "4-NOT SPECIFIED": F.concat(F.lit('"12 RCS PARIS '), spaced, F.lit('"')),
+        },
+        F.lit("null"),
     )
+    values = announced_values() | {
+        "siren": by("o_orderstatus", {"F": siren, "O": F.lit("")}),
+        "numerodepartement": padded("c_nationkey", 2),
+    }
+    texts = F.to_json(F.struct(*[value.alias(name) for name, value in values.items()]))
     # The register is added as JSON, not as text, since it may be a list.
     whole = F.concat(
         F.substring_index(texts, "}", 1), F.lit(',"registre":'), register, F.lit("}")
     )
-    return df.select(whole.alias("json"))
+    return announced_orders(spark, sf_dir).select(whole.alias("json"))
 
 
 def parsed_announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,7 +320,20 @@ def bronze_announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean_announcements(bronze_announcements(spark, sf_dir))
+    """Silver announcements: what cleaning ``bronze_announcements`` arrives at."""
+    said = announced_values()
+    declares = (F.col("o_orderstatus") == "F") | F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    values = said | {
+        "type_avis": said["typeavis_lib"],
+        "famille_avis": said["familleavis_lib"],
+        "code_postal": said["cp"],
+        "date_parution": F.col("o_orderdate").cast("date"),
+        "numero_annonce": F.col("o_orderkey").cast("string"),
+        "siren_declared": F.when(declares, padded("o_custkey")),
+        "denomination": F.lit(None).cast("string"),
+    }
+    df = announced_orders(spark, sf_dir)
+    return df.select([values[c].alias(c) for c in schemas.SILVER_ANNOUNCEMENT.fieldNames()])
 
 
 # --- markets ---------------------------------------------------------------------------------------

@@ -90,7 +90,7 @@ def normalize_announcements(spark, sf_dir):
 
 @register
 def normalize_candidates(spark, sf_dir):
-    return inputs.candidates(spark, sf_dir)
+    return inputs.candidates_from_json(spark, sf_dir)
 
 
 @register
@@ -138,7 +138,7 @@ def clean_establishments(spark, sf_dir):
 
 @register
 def clean_announcements(spark, sf_dir):
-    return inputs.announcements(spark, sf_dir)
+    return clean.clean_announcements(settle(inputs.bronze_announcements(spark, sf_dir)))
 
 
 @register
@@ -171,12 +171,14 @@ def establishment_gold(spark, sf_dir) -> DataFrame:
     """Establishments after the stock and the diff."""
     gold = empty(spark, schemas.GOLD_ESTABLISHMENT)
     for bronze, day in ((inputs.stock, DAY_1), (inputs.diff, DAY_2)):
-        gold = scd2.scd2_apply(
-            gold,
-            clean.clean_establishments(bronze(spark, sf_dir)),
-            schemas.ESTABLISHMENT_KEYS,
-            schemas.ESTABLISHMENT_TRACKED,
-            day,
+        gold = settle(
+            scd2.scd2_apply(
+                gold,
+                clean.clean_establishments(bronze(spark, sf_dir)),
+                schemas.ESTABLISHMENT_KEYS,
+                schemas.ESTABLISHMENT_TRACKED,
+                day,
+            )
         )
     return gold
 
@@ -194,19 +196,20 @@ def scd2_as_of(spark, sf_dir):
     )
 
 
-def link_matches(spark, sf_dir) -> DataFrame:
+def link_matches(announced: DataFrame, candidates: DataFrame) -> DataFrame:
     """Match records of all announcements by declared company only."""
-    announced = inputs.announcements(spark, sf_dir)
-    exact = match.exact_matches(announced, inputs.candidates(spark, sf_dir))
+    exact = match.exact_matches(announced, candidates)
     return match.complete_unresolved(announced, exact)
 
 
-def link_gold(spark, sf_dir) -> DataFrame:
+def silver_announcements(spark, sf_dir) -> DataFrame:
+    return settle(inputs.announcements(spark, sf_dir))
+
+
+def link_gold(announced: DataFrame, candidates: DataFrame) -> DataFrame:
     """Links after two runs: in the second, resolved links of sales are lost and others drift."""
-    first = link_matches(spark, sf_dir)
-    kind = inputs.announcements(spark, sf_dir).select(
-        F.col("id").alias(match.ID), F.col("famille_avis").alias("kind")
-    )
+    first = settle(link_matches(announced, candidates))
+    kind = announced.select(F.col("id").alias(match.ID), F.col("famille_avis").alias("kind"))
     lost = F.coalesce(F.col("kind") == "Ventes", F.lit(False))
     second = first.join(kind, match.ID).withColumns(
         {
@@ -215,15 +218,17 @@ def link_gold(spark, sf_dir) -> DataFrame:
             "match_confidence": F.when(~lost, F.col("match_confidence") * 0.5),
         }
     )
-    gold = empty(spark, schemas.GOLD_ANNOUNCEMENT_LINK)
+    gold = empty(announced.sparkSession, schemas.GOLD_ANNOUNCEMENT_LINK)
     for matches, day in ((first, DAY_1), (second, DAY_2)):
-        gold = scd2.scd2_apply(gold, matches, schemas.LINK_KEYS, schemas.LINK_TRACKED, day)
+        gold = settle(
+            scd2.scd2_apply(gold, matches, schemas.LINK_KEYS, schemas.LINK_TRACKED, day)
+        )
     return gold
 
 
 @register
 def scd2_links(spark, sf_dir):
-    return link_gold(spark, sf_dir)
+    return link_gold(silver_announcements(spark, sf_dir), inputs.candidates(spark, sf_dir))
 
 
 def validated_markets(spark, sf_dir) -> DataFrame:
@@ -234,13 +239,15 @@ def validated_markets(spark, sf_dir) -> DataFrame:
 
 def market_gold(spark, sf_dir) -> DataFrame:
     """Market links after two runs; the second revises the amounts of first lots."""
-    first = validated_markets(spark, sf_dir)
+    first = settle(validated_markets(spark, sf_dir))
     revised = F.when(F.col("objet") == "Lot 1", F.col("montant") + 1000.0).otherwise(
         F.col("montant")
     )
     gold = empty(spark, schemas.GOLD_MARKET_LINK)
     for links, day in ((first, DAY_1), (first.withColumn("montant", revised), DAY_2)):
-        gold = scd2.scd2_apply(gold, links, schemas.MARKET_KEYS, schemas.MARKET_TRACKED, day)
+        gold = settle(
+            scd2.scd2_apply(gold, links, schemas.MARKET_KEYS, schemas.MARKET_TRACKED, day)
+        )
     return gold
 
 
@@ -300,7 +307,7 @@ def exact_match(spark, sf_dir):
 
 @register
 def unmatched(spark, sf_dir):
-    announced = inputs.announcements(spark, sf_dir)
+    announced = silver_announcements(spark, sf_dir)
     exact = match.exact_matches(announced, inputs.candidates(spark, sf_dir))
     return match.unmatched(announced, exact).select("id", "siren_declared", "commercant")
 
@@ -308,15 +315,15 @@ def unmatched(spark, sf_dir):
 @register
 def backlog(spark, sf_dir):
     """Announcements without a current link, where links of private persons have been closed."""
-    announced = inputs.announcements(spark, sf_dir)
+    announced = silver_announcements(spark, sf_dir)
     closed = F.coalesce(F.col("match_method") == schemas.UNRESOLVED, F.lit(True))
-    links = link_matches(spark, sf_dir).withColumn("is_current", ~closed)
+    links = link_matches(announced, inputs.candidates(spark, sf_dir)).withColumn("is_current", ~closed)
     return match.backlog(announced, links).select("id", "famille_avis")
 
 
 @register
 def unresolved_completion(spark, sf_dir):
-    return link_matches(spark, sf_dir)
+    return link_matches(silver_announcements(spark, sf_dir), inputs.candidates(spark, sf_dir))
 
 
 @register
@@ -333,8 +340,8 @@ def linkage_sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Prepared announcements without a declared company, and prepared candidates."""
     announced = inputs.announcements(spark, sf_dir).filter("siren_declared IS NULL")
     return (
-        linkage.prepare_announcements(announced),
-        linkage.prepare_candidates(inputs.candidates(spark, sf_dir)),
+        settle(linkage.prepare_announcements(announced)),
+        settle(linkage.prepare_candidates(inputs.candidates(spark, sf_dir))),
     )
 
 
@@ -364,14 +371,14 @@ def gamma_histogram(spark, sf_dir):
 
 def declared_pairs(spark, sf_dir) -> DataFrame:
     """Names and addresses of every announcement and the candidate it declares."""
-    announced = inputs.announcements(spark, sf_dir)
-    exact = match.exact_matches(announced, inputs.candidates(spark, sf_dir))
+    announced, offices = silver_announcements(spark, sf_dir), inputs.candidates(spark, sf_dir)
+    exact = match.exact_matches(announced, offices)
     left = linkage.prepare_announcements(announced).select(
         F.col("uid").alias(match.ID),
         F.col("denomination_clean").alias("name_l"),
         F.col("adresse_clean").alias("address_l"),
     )
-    right = linkage.prepare_candidates(inputs.candidates(spark, sf_dir)).select(
+    right = linkage.prepare_candidates(offices).select(
         F.col("uid").alias("siret_siege"),
         F.col("denomination_clean").alias("name_r"),
         F.col("adresse_clean").alias("address_r"),
@@ -403,9 +410,8 @@ def fuzzy_score_fixed_params(spark, sf_dir):
 
 
 def cascade_result(spark, sf_dir, model) -> DataFrame:
-    matches = run_cascade(
-        inputs.announcements(spark, sf_dir), inputs.candidates(spark, sf_dir), model
-    )
+    offices = settle(inputs.candidates(spark, sf_dir))
+    matches = run_cascade(inputs.announcements(spark, sf_dir), offices, model)
     return matches.withColumn("match_confidence", F.round("match_confidence", 6))
 
 
@@ -424,7 +430,6 @@ def cascade(spark, sf_dir):
 def fuzzy_em_trained(spark, sf_dir):
     """Parameters of the trained model, one row per compared field and level."""
     left, right = linkage_sides(spark, sf_dir)
-    left, right = settle(left), settle(right)
     model = linkage.fit(left, right)
     rows = [
         (name, level, m, u, model.prior)
@@ -450,8 +455,8 @@ def best_match(spark, sf_dir):
 
 def fuzzy_predictions(spark, sf_dir, model) -> tuple[DataFrame, DataFrame]:
     """Announcements with a known match, and what linkage alone predicts for them."""
-    announced = inputs.announcements(spark, sf_dir)
-    offices = inputs.candidates(spark, sf_dir)
+    announced = silver_announcements(spark, sf_dir)
+    offices = settle(inputs.candidates(spark, sf_dir))
     held_out = evaluate.evaluation_set(announced, match.exact_matches(announced, offices))
     left = settle(linkage.prepare_announcements(held_out))
     right = linkage.prepare_candidates(offices)
@@ -469,7 +474,7 @@ def fuzzy_predictions(spark, sf_dir, model) -> tuple[DataFrame, DataFrame]:
 
 @register
 def evaluation_set(spark, sf_dir):
-    announced = inputs.announcements(spark, sf_dir)
+    announced = silver_announcements(spark, sf_dir)
     exact = match.exact_matches(announced, inputs.candidates(spark, sf_dir))
     return evaluate.evaluation_set(announced, exact).select(
         "id", "commercant", "ville", "true_siret_siege"
@@ -513,9 +518,11 @@ def coverage_report(spark, sf_dir):
 
 @register
 def unresolved_composition(spark, sf_dir):
-    return resolve.unresolved_composition(
-        validated_markets(spark, sf_dir), inputs.markets(spark, sf_dir)
+    silver = settle(inputs.markets(spark, sf_dir))
+    validated = resolve.validate_against_registry(
+        resolve.resolve_markets(silver), inputs.registry(spark, sf_dir)
     )
+    return resolve.unresolved_composition(validated, silver)
 
 
 # --- serving ---------------------------------------------------------------------------------------
@@ -523,7 +530,9 @@ def unresolved_composition(spark, sf_dir):
 
 @register
 def serving_join(spark, sf_dir):
-    return serve.announcements_view(link_gold(spark, sf_dir), inputs.announcements(spark, sf_dir))
+    announced = silver_announcements(spark, sf_dir)
+    gold = link_gold(announced, inputs.candidates(spark, sf_dir))
+    return serve.announcements_view(gold, announced)
 
 
 @register
@@ -538,10 +547,7 @@ def history(spark, sf_dir):
 
 @register
 def announcements_of(spark, sf_dir):
-    view = serve.announcements_view(
-        link_gold(spark, sf_dir), inputs.announcements(spark, sf_dir)
-    )
-    return serve.announcements_of(view, SOME_SIRET)
+    return serve.announcements_of(serving_join(spark, sf_dir), SOME_SIRET)
 
 
 @register

@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ledgerline.functions.text import MASK_WORDS
+
 # Fixed values of the published measure.
 PREFIX_WEIGHT = 0.1
 PREFIX_LENGTH = 4
@@ -135,25 +137,27 @@ def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     return jaro_winkler_pairs(left, right)
 
 
-def jaro_winkler_bound(
-    left_length: Column,
-    right_length: Column,
-    left_masks: list[Column],
-    right_masks: list[Column],
-    prefix: int = PREFIX_LENGTH,
-) -> Column:
-    """Value the similarity of two texts cannot exceed, from their lengths and character masks."""
-
-    def shared(length: Column, mine: list[Column], other: list[Column]) -> Column:
-        for a, b in zip(mine, other, strict=True):
-            length = length - F.bit_count(a.bitwiseAND(F.bitwise_not(b)))
-        return length
-
-    most = F.least(
-        shared(left_length, left_masks, right_masks), shared(right_length, right_masks, left_masks)
-    )
-    # Spark may evaluate this before the filter that removes empty texts.
-    parts = [most / F.greatest(length, F.lit(1)) for length in (left_length, right_length)]
-    jaro = (parts[0] + parts[1] + F.lit(1.0)) / F.lit(3.0)
-    boosted = jaro + F.lit(prefix * PREFIX_WEIGHT) * (F.lit(1.0) - jaro)
-    return F.when(jaro > BOOST_ABOVE, boosted).otherwise(jaro)
+def least_jaro(threshold: float, prefix: int) -> float:
+    """Jaro similarity that texts with a shared prefix need for this Jaro-Winkler similarity."""
+    gain = prefix * PREFIX_WEIGHT
+    return min(threshold, max(BOOST_ABOVE, (threshold - gain) / (1.0 - gain)))
+
+
+def may_reach(threshold: float, prefix: int, left: str, right: str) -> Column:
+    """False only where the similarity of two texts must stay below ``threshold``.
+
+    ``left`` and ``right`` are suffixes of columns made by ``with_character_masks``. With ``s`` shared
+    characters the Jaro similarity is at most ``(s / a + s / b + 1) / 3``, and no text can share more
+    than its characters that the other has.
+    """
+    a, b = F.col(f"length_{left}"), F.col(f"length_{right}")
+    needed = F.lit(3.0 * least_jaro(threshold, prefix) - 1.0 - 1e-9) * a * b
+
+    def enough(length: Column, mine: str, other: str) -> Column:
+        shared = length
+        for i in range(MASK_WORDS):
+            lacking = F.col(f"mask{i}_{mine}").bitwiseAND(F.bitwise_not(F.col(f"mask{i}_{other}")))
+            shared = shared - F.bit_count(lacking)
+        return shared * (a + b) >= needed
+
+    return enough(a, left, right) & enough(b, right, left)

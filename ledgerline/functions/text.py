@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: a run of digits and blanks that starts and ends with a digit. ``(?U)`` makes the
@@ -67,30 +67,42 @@ def deletions(text: Column, depth: int) -> Column:
 MASK_WORDS = 2
 
 
-def character_masks(text: Column) -> list[Column]:
-    """Bit masks of the (character, n-th occurrence) pairs in ``text``, 64 bits per word.
+def with_character_masks(df: DataFrame, text: str, suffix: str) -> DataFrame:
+    """Adds ``length_<suffix>`` and the bit masks ``mask<i>_<suffix>`` of a text column.
 
-    A bit set in one mask and not in the other stands for at least one character that the other
-    text lacks, so the masks give an upper bound for the characters two texts can share.
+    A mask holds the (character, n-th occurrence) pairs of the text, 64 bits per word. A bit set in
+    one text's masks and not in another's stands for at least one character that the other lacks.
     """
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-    counted = F.transform(
-        chars,
-        lambda c, i: F.concat(
-            c, F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda d: d == c)).cast("string")
-        ),
-    )
-    slots = F.transform(counted, lambda t: F.pmod(F.xxhash64(t), F.lit(64 * MASK_WORDS)))
+    low = [F.lit(64 * i) for i in range(MASK_WORDS)]
+    one = F.lit(1).cast("long")
 
-    def word(low: int) -> Column:
-        here = F.filter(slots, lambda s: s.between(low, low + 63))
-        one = F.lit(1).cast("long")
+    def word(first: Column) -> Column:
+        here = F.filter("_slots", lambda s: s.between(first, first + 63))
         return F.aggregate(
             here,
             F.lit(0).cast("long"),
             lambda mask, s: mask.bitwiseOR(
-                F.call_function("shiftleft", one, (s - low).cast("int"))
+                F.call_function("shiftleft", one, (s - first).cast("int"))
             ),
         )
 
-    return [word(64 * i) for i in range(MASK_WORDS)]
+    # Each step is a column of its own: an expression inside a lambda is computed per element.
+    chars = df.withColumn("_chars", F.sort_array(F.array_remove(F.split(text, ""), "")))
+    slots = chars.withColumn(
+        "_slots",
+        F.transform(
+            "_chars",
+            lambda c, i: F.pmod(
+                F.xxhash64(c, i - F.array_position("_chars", c).cast("int")),
+                F.lit(64 * MASK_WORDS),
+            ),
+        ),
+    )
+    added = {f"length_{suffix}": F.length(text).cast("double")}
+    added |= {f"mask{i}_{suffix}": word(first) for i, first in enumerate(low)}
+    # Columns that cannot be NULL: a join on them would otherwise filter for that first, computing
+    # them a second time.
+    zero = F.lit(0)
+    return slots.withColumns({name: F.coalesce(c, zero) for name, c in added.items()}).drop(
+        "_chars", "_slots"
+    )

@@ -23,8 +23,8 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.similarity import jaro_winkler, jaro_winkler_bound
-from ledgerline.functions.text import MASK_WORDS, character_masks, deletions, folded
+from ledgerline.functions.similarity import jaro_winkler, may_reach
+from ledgerline.functions.text import deletions, folded, with_character_masks
 from ledgerline.operators.keys import first_by
 from ledgerline.operators.model import (
     MAX_PAIRS,
@@ -38,11 +38,12 @@ from ledgerline.session import settle
 
 # Fixed value: length of the name prefix that pairs records.
 BLOCK_PREFIX = 4
-# Scores that land on a threshold count as reaching it, whatever the last bits of the division say.
-DIGITS = 9
+# Scores that land on a threshold count as reaching it, whatever the last bits of the division say:
+# they are read as if rounded to nine digits.
+HALF_DIGIT = 5e-10
 # A group of values to compare is cut into tiles of about this many rows a side, and one task gets
 # about as many pairs as one tile has.
-TILE_ROWS = 2_000
+TILE_ROWS = 1_000
 MOST_TASKS = 100_000
 # Parts the sampled pairs are spread over.
 SAMPLE_PARTS = 64
@@ -84,10 +85,9 @@ def values(prepared: DataFrame) -> DataFrame:
 
 
 def name_level(left: Column, right: Column, similarity: Column, model: LinkageModel) -> Column:
-    score = F.round(similarity, DIGITS)
     level = F.when(left == right, model.same_name)
     for step, threshold in enumerate(model.name_thresholds):
-        level = level.when(score >= threshold, model.same_name - 1 - step)
+        level = level.when(similarity >= threshold - HALF_DIGIT, model.same_name - 1 - step)
     return level.otherwise(0)
 
 
@@ -208,7 +208,8 @@ def random_pair_counts(
         )
 
     def weigh(df: DataFrame, suffix: str) -> DataFrame:
-        return df.groupBy(
+        # As many tasks as parts: comparing takes far longer than the few bytes suggest.
+        return df.repartition(SAMPLE_PARTS, "part").groupBy(
             "part", F.col("name").alias(f"name_{suffix}"), F.col("address").alias(f"address_{suffix}")
         ).agg(F.count("*").alias(f"n_{suffix}"))
 
@@ -337,27 +338,13 @@ def _compared(
     ``lowest`` is the similarity below which a pair is of no interest, None when all are.
     """
 
-    def with_masks(side: DataFrame, name: str, suffix: str) -> DataFrame:
-        masks = character_masks(F.col(name))
-        return side.select(
-            "*",
-            F.length(name).alias(f"length_{suffix}"),
-            *[mask.alias(f"mask{i}_{suffix}") for i, mask in enumerate(masks)],
-        )
-
-    left, right = with_masks(left, "name", "l"), with_masks(right, "name_r", "r")
+    left = with_character_masks(left, "name", "l")
+    right = with_character_masks(right, "name_r", "r")
     left, right, keys = tiles(left, right, keys, ["name", "address"], ["name_r"], tile_rows)
     pairs = left.join(right, keys).filter(F.col("name") != F.col("name_r"))
     if lowest is not None:
         # Unequal names of one block share its whole prefix: a shorter block is the name itself.
-        bound = jaro_winkler_bound(
-            F.col("length_l"),
-            F.col("length_r"),
-            [F.col(f"mask{i}_l") for i in range(MASK_WORDS)],
-            [F.col(f"mask{i}_r") for i in range(MASK_WORDS)],
-            BLOCK_PREFIX,
-        )
-        pairs = pairs.filter(F.round(bound, DIGITS) >= lowest)
+        pairs = pairs.filter(may_reach(lowest - HALF_DIGIT, BLOCK_PREFIX, "l", "r"))
     names = [F.col("name"), F.col("name_r")]
     return pairs.withColumn("name_level", name_level(*names, jaro_winkler(*names), model))
 

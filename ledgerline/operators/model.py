@@ -50,11 +50,11 @@ class LinkageModel:
     u_address: tuple[float, ...] = (0.99, 0.004, 0.003, 0.003)
 
     def __post_init__(self) -> None:
-        sizes = {
-            len(self.name_thresholds) + 2: (self.m_name, self.u_name),
-            len(self.address_thresholds) + 2: (self.m_address, self.u_address),
-        }
-        if any(len(shares_) != size for size, pair in sizes.items() for shares_ in pair):
+        fields = (
+            (self.name_thresholds, self.m_name, self.u_name),
+            (self.address_thresholds, self.m_address, self.u_address),
+        )
+        if any(len(m) != len(t) + 2 or len(u) != len(t) + 2 for t, m, u in fields):
             raise ValueError("one share per level is needed: the thresholds, equality and the rest")
 
     @property

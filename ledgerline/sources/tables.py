@@ -31,6 +31,9 @@ def ensure_table(
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in layout.fields)
     statement = f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {provider}"
     if partition_by:
+        if provider == "parquet":
+            # An overwrite replaces the partitions it has rows for, not the table.
+            statement += " OPTIONS (partitionOverwriteMode 'dynamic')"
         statement += f" PARTITIONED BY ({', '.join(partition_by)})"
     if location:
         statement += f" LOCATION '{location}'"
@@ -63,14 +66,14 @@ def append_rows(df: DataFrame, table: str) -> None:
 def replace_partitions(df: DataFrame, table: str, provider: str = "parquet") -> None:
     """Replace the partitions that ``df`` has rows for; all others stay as they are.
 
-    ``df`` may read the table it replaces partitions of.
+    ``df`` may read the table it replaces partitions of. The table is one made by ``ensure_table``
+    with partitions.
     """
     rows = df.select(df.sparkSession.table(table).columns)
     if provider == "parquet":
         # Plain files are not swapped atomically: a finished copy in the shared folder means that a
         # failure while writing loses nothing.
-        writer = settle(rows).write.option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(table, overwrite=True)
+        settle(rows).write.insertInto(table, overwrite=True)
     else:
         rows.writeTo(table).overwritePartitions()
 

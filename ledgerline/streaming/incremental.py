@@ -60,6 +60,7 @@ def establishments_stream(
         )
 
     run_available_now(spark, bronze_path, schemas.BRONZE_ESTABLISHMENT, checkpoint, apply)
+    spark.catalog.refreshTable(gold_table)
 
 
 def announcements_stream(
@@ -82,6 +83,11 @@ def announcements_stream(
         if last is None:
             return
         daily.announcements_to_silver(batch.drop("ingestion_date"), silver_table)
-        daily.link_backlog(spark, silver_table, candidates, links_table, last, model)
+        # The batch has a session of its own, the one that knows what was just written.
+        own = batch.sparkSession
+        daily.link_backlog(own, silver_table, candidates, links_table, last, model)
 
     run_available_now(spark, bronze_path, schemas.BRONZE_ANNOUNCEMENT, checkpoint, apply)
+    for table in (silver_table, links_table):
+        if spark.catalog.tableExists(table):
+            spark.catalog.refreshTable(table)

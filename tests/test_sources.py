@@ -62,7 +62,7 @@ def test_bronze_partitions(spark, tmp_path, day, rows):
 def test_json_records_read_with_a_declared_schema(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"id": "A1", "registre": ["1", "2"], "numeroannonce": 7}\n')
     row = files.read_json_raw(spark, str(tmp_path / "a.json"), schemas.RAW_ANNOUNCEMENT).first()
-    assert (row.id, row.registre, row.numeroannonce) == ("A1", '["1","2"]', "7")
+    assert (row.id, row.registre, row.numeroannonce) == ("A1", '["1", "2"]', "7")
 
 
 def test_tables(spark, table_name, rows):
@@ -244,12 +244,10 @@ class Writer:
 
 
 def test_served_rows_are_checked_counted_and_truncated(spark, day, monkeypatch):
-    from pyspark.sql import DataFrame
-
     log = {}
     data = [("a", 1.0, day(1), day(2), False), ("a", 2.0, day(2), None, True)]
     gold = spark.createDataFrame(data, LAYOUT)
-    original = DataFrame.observe
+    original = type(gold).observe
 
     def observe(self, *args):
         observed = original(self, *args)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # At most this many keys are treated as hot, which bounds what is broadcast for them.
 HOT_KEYS = 1000
+# Entries of a lookup whose estimated size stays below this are broadcast.
+SMALL_BYTES = 8 << 20
 
 
 def total_order(columns: Sequence[str]) -> list[Column]:
@@ -38,13 +40,44 @@ def all_equal(left: str, right: str, columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, pairs, F.lit(True))
 
 
+def key_columns(keys: Sequence[str]) -> list[str]:
+    """Columns that ``with_key`` adds: never NULL, equal where all of ``keys`` are NULL-safely equal."""
+    return [*[f"_key{i}" for i in range(len(keys))], "_missing"]
+
+
+def with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Key columns to group and join on alike, so that one shuffle serves both.
+
+    A NULL-safe comparison would be turned into expressions of its own, which a partitioning by the
+    plain columns does not satisfy.
+    """
+    flags = [F.when(F.col(k).isNull(), 1 << i).otherwise(0) for i, k in enumerate(keys)]
+    values = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    missing = reduce(lambda a, b: a + b, flags)
+    return df.withColumns(dict(zip(key_columns(keys), [*values, missing], strict=True)))
+
+
+def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
+    pairs = [F.col(f"{left}.{c}") == F.col(f"{right}.{c}") for c in key_columns(keys)]
+    return reduce(lambda a, b: a & b, pairs)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a frame, taken from its optimized plan; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def lookup(
-    facts: DataFrame, entries: DataFrame, on: Mapping[str, str], spread_by: str
+    facts: DataFrame,
+    entries: DataFrame,
+    on: Mapping[str, str],
+    spread_by: str,
+    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Left join of ``facts`` to ``entries`` (unique per key), every fact kept exactly once.
 
-    ``on`` maps fact columns to entry columns; the entry's key columns are dropped. The most frequent
-    fact keys, never more than ``HOT_KEYS``, find their entry in a broadcast table of that many rows;
+    ``on`` maps fact columns to entry columns; the entry's key columns are dropped. Entries estimated
+    to be small are broadcast, and nothing is shuffled. Otherwise the most frequent fact keys, never more than ``HOT_KEYS``, find their entry in a broadcast table of that many rows;
     they and the facts with a NULL key are spread by ``spread_by`` in the shuffle that serves the
     rest. No task therefore gets a hot key whole.
     """
@@ -54,6 +87,18 @@ def lookup(
         F.struct(*[F.col(c) for c in taken]).alias("_entry"),
     )
     key_names = [f"_k{i}" for i in range(len(on))]
+    if estimated_bytes(entries) <= small_bytes:
+        plain = facts.alias("f").join(
+            F.broadcast(keyed).alias("e"),
+            reduce(
+                lambda a, b: a & b,
+                [F.col(f"f.{c}") == F.col(f"e.{k}") for c, k in zip(on, key_names, strict=True)],
+            ),
+            "left",
+        )
+        return plain.select(
+            *[F.col(f"f.{c}") for c in columns], *[F.col("e._entry")[c].alias(c) for c in taken]
+        )
     fact_keys = [F.col(c).alias(k) for c, k in zip(on, key_names, strict=True)]
     hot = (
         facts.select(*fact_keys)

@@ -13,12 +13,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.keys import all_equal, dedup
+from ledgerline.operators.keys import (
+    all_equal,
+    dedup,
+    estimated_bytes,
+    key_columns,
+    same_key,
+    with_key,
+)
 
 VALIDITY = ["valid_from", "valid_to", "is_current"]
 # An input whose estimated size stays below this is sent to the executors instead of shuffling the
 # whole current gold against it.
-SMALL_INPUT_BYTES = 32 << 20
+SMALL_INPUT_BYTES = 4 << 20
 
 
 def payload_columns(gold: DataFrame) -> list[str]:
@@ -35,11 +42,6 @@ def current(gold: DataFrame) -> DataFrame:
     return gold.filter("is_current")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a frame, taken from its optimized plan; runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def scd2_apply(
     gold: DataFrame,
     incoming: DataFrame,
@@ -64,7 +66,7 @@ def scd2_apply(
     partitioned by ``valid_to`` has to rewrite.
     """
     payload = payload_columns(gold)
-    rows = dedup(incoming.select(payload), keys)
+    rows = dedup(with_key(incoming.select(payload), keys), key_columns(keys))
     if strategy == "auto":
         strategy = "broadcast" if estimated_bytes(incoming) <= SMALL_INPUT_BYTES else "merge"
     advance = _advance_broadcast if strategy == "broadcast" else _advance_merge
@@ -72,7 +74,8 @@ def scd2_apply(
     if touched_only:
         past = past.filter(F.col("valid_to") == F.lit(run_date))
     replace = same_day == "replace"
-    return past.unionByName(advance(current(gold), rows, payload, keys, tracked, run_date, replace))
+    stored = with_key(current(gold), keys)
+    return past.unionByName(advance(stored, rows, payload, keys, tracked, run_date, replace))
 
 
 def _versions(
@@ -105,23 +108,24 @@ def _versions(
 def _advance_merge(open_rows, rows, payload, keys, tracked, run_date, replace) -> DataFrame:
     stored = open_rows.withColumn("_stored", F.lit(True)).alias("g")
     came = rows.withColumn("_came", F.lit(True)).alias("i")
-    both = stored.join(came, all_equal("g", "i", keys), "full_outer")
+    # Both sides are keyed alike, and the input already lies where its deduplication put it.
+    both = stored.join(came, same_key("g", "i", keys), "full_outer")
     return both.select(F.inline(_versions(payload, tracked, run_date, replace)))
 
 
 def _advance_broadcast(open_rows, rows, payload, keys, tracked, run_date, replace) -> DataFrame:
     stored = open_rows.withColumn("_stored", F.lit(True)).alias("g")
     came = F.broadcast(rows.withColumn("_came", F.lit(True))).alias("i")
-    both = stored.join(came, all_equal("g", "i", keys), "left")
+    both = stored.join(came, same_key("g", "i", keys), "left")
     advanced = both.select(F.inline(_versions(payload, tracked, run_date, replace)))
     # Keys of the input that gold already holds: no more of them than the input has rows.
+    names = key_columns(keys)
     held = (
-        open_rows.select(*keys)
-        .alias("g")
-        .join(F.broadcast(rows.select(*keys)).alias("i"), all_equal("g", "i", keys), "left_semi")
+        open_rows.select(*names)
+        .join(F.broadcast(rows.select(*names)), names, "left_semi")
         .distinct()
     )
-    fresh = rows.alias("i").join(held.alias("h"), all_equal("i", "h", keys), "left_anti")
+    fresh = rows.join(held, names, "left_anti")
     return advanced.unionByName(
         fresh.select(
             *payload,
@@ -182,9 +186,10 @@ def scd2_replay(
 
 def new_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Incoming rows whose key is not stored yet, one per key. Reads only the keys of ``existing``."""
-    rows = dedup(incoming, keys)
-    known = existing.select(*keys)
-    return rows.alias("i").join(known.alias("e"), all_equal("i", "e", keys), "left_anti")
+    names = key_columns(keys)
+    rows = dedup(with_key(incoming, keys), names)
+    known = with_key(existing.select(*keys), keys).select(*names)
+    return rows.join(known, names, "left_anti").select(incoming.columns)
 
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -81,6 +81,11 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder, so that later jobs neither repeat it nor lose it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once and read it back from a table in the shared folder.
+
+    Later jobs neither repeat the work nor depend on the executors that did it, and they read only
+    the columns they need.
+    """
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

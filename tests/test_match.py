@@ -85,5 +85,6 @@ def test_lookup_keeps_every_fact_once_with_hot_missing_and_null_keys(spark, rows
     df = spark.createDataFrame(facts, "id long, key string")
     entries = spark.createDataFrame([("hot", 1), ("cold", 2), ("unused", 3)], "k string, value int")
     expected = {"hot": 1, "cold": 2}
-    out = rows(lookup(df, entries, {"key": "k"}, spread_by="id"))
-    assert out == sorted(((i, k, expected.get(k)) for i, k in facts), key=repr)
+    for small in (0, 1 << 40):
+        out = rows(lookup(df, entries, {"key": "k"}, spread_by="id", small_bytes=small))
+        assert out == sorted(((i, k, expected.get(k)) for i, k in facts), key=repr)

@@ -170,3 +170,11 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
     plan = dedup(df, ["uid"])._jdf.queryExecution().executedPlan().toString()
     exchange = plan.index("Exchange hashpartitioning")
     assert "WindowGroupLimit" in plan[exchange:]  # below the exchange, on the map side
+
+
+def test_input_is_shuffled_once_for_deduplication_and_merge(spark, day):
+    gold = spark.createDataFrame([("a", "x", 1.0, "n", day(1), None, True)], LAYOUT)
+    incoming = frame(spark, ("a", "x", 2.0, "n"))
+    after = scd2.scd2_apply(gold, incoming, KEYS, TRACKED, day(2), strategy="merge")
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # one per side

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.similarity import jaro_winkler, may_reach
 from ledgerline.functions.text import deletions, folded, with_character_masks
-from ledgerline.operators.keys import first_by
+from ledgerline.operators.keys import first_by, lookup
 from ledgerline.operators.model import (
     MAX_PAIRS,
     RECALL,
@@ -283,6 +283,12 @@ def _best(found: DataFrame) -> DataFrame:
     return first_by(found, ["name", "address"], order)
 
 
+def _offered(left: DataFrame, smallest: DataFrame, keys: list[str]) -> DataFrame:
+    """Left values with the one identifier offered under their key, which may be a hot one."""
+    found = lookup(left, smallest, {k: k for k in keys}, spread_by="address")
+    return found.filter("uid IS NOT NULL")
+
+
 def _with_near(left: DataFrame, near: DataFrame) -> DataFrame:
     """Left values with every right address near theirs."""
     return left.join(near.withColumnRenamed("address_l", "address"), "address")
@@ -306,7 +312,7 @@ def _same_name(
         # The smallest identifier of the name: if its address is near, it is found above with at
         # least this probability.
         smallest = right.groupBy("name").agg(F.min("uid").alias("uid"))
-        met = left.select("name", "address").join(smallest, "name")
+        met = _offered(left.select("name", "address"), smallest, ["name"])
     else:
         # Near addresses score lower here, so they must not stand in: among the first d + 1
         # identifiers of the name at least one is not among the d near ones.
@@ -383,7 +389,7 @@ def tiles(
         large = groups.filter(is_large).select(*keys, "parts_l", "parts_r")
 
         def cut(side: DataFrame, own: str, other: str, spread: list[str]) -> DataFrame:
-            sized = side.join(large, keys, "left").withColumns(
+            sized = lookup(side, large, {k: k for k in keys}, spread_by=spread[0]).withColumns(
                 {c: F.coalesce(c, F.lit(1)) for c in ("parts_l", "parts_r")}
             )
             mine = F.pmod(F.xxhash64(*spread), F.col(f"parts_{own}")).cast("int")
@@ -425,11 +431,13 @@ def _other_name(
             continue
         if a == 0:
             smallest = right.groupBy("block").agg(F.min("uid").alias("uid"))
-            met = left.select("name", "address", "block").join(smallest, "block")
+            met = _offered(left.select("name", "address", "block"), smallest, ["block"])
         else:
             smallest = offered.groupBy("block", "address_r").agg(F.min("uid").alias("uid"))
             wanted = _with_near(left.select("name", "address", "block"), near)
-            met = wanted.filter(F.col("address_level") == a).join(smallest, ["block", "address_r"])
+            met = _offered(
+                wanted.filter(F.col("address_level") == a), smallest, ["block", "address_r"]
+            )
         parts.append(_scored(met, F.lit(0), F.lit(a), model))
 
     compared = [(n, a) for n in similar for a in model.address_levels if model.accepts(n, a)]

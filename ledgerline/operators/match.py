@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.keys import first_by
+from ledgerline.operators.keys import first_by, lookup
 from ledgerline.schemas import ANNOUNCEMENT_LINK, EXACT, FUZZY, UNRESOLVED
 
 ID = "bodacc_announcement_id"
@@ -40,12 +40,16 @@ def exact_matches(
     smallest ``siret`` is taken, so that an announcement keeps one match; ``every_office`` lists them
     all.
     """
-    offices = candidates.select("siren", "siret") if every_office else head_offices(candidates)
     declared = announcements.filter("siren_declared IS NOT NULL").select("id", "siren_declared")
-    return declared.join(offices, declared["siren_declared"] == offices["siren"]).select(
-        match_record(
-            F.col("id"), EXACT, F.col("siren_declared"), F.col("siret"), F.lit(1.0)
-        )
+    if every_office:
+        offices = candidates.select("siren", "siret")
+        found = declared.join(offices, declared["siren_declared"] == offices["siren"])
+    else:
+        offices = head_offices(candidates)
+        found = lookup(declared, offices, {"siren_declared": "siren"}, spread_by="id")
+        found = found.filter("siret IS NOT NULL")
+    return found.select(
+        match_record(F.col("id"), EXACT, F.col("siren_declared"), F.col("siret"), F.lit(1.0))
     )
 
 

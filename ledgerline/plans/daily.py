@@ -93,6 +93,15 @@ def land_markets(
     return files.write_bronze(rows, root, "markets", ingestion_date)
 
 
+def quarantine(
+    bronze: DataFrame, root: str, source: str, key: str, days: list[str], ingestion_date: dt.date
+) -> DataFrame:
+    """The well-formed rows; malformed ones go to the source's ``rejects`` folder with a reason."""
+    good, rejects = clean.split_rejects(bronze, key, days)
+    files.write_bronze(rejects, root, source, ingestion_date, run_type="rejects")
+    return good
+
+
 # --- daily jobs ------------------------------------------------------------------------------------
 
 

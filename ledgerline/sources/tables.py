@@ -116,7 +116,8 @@ def historize_days(
     spark = incoming.sparkSession
     gold = read_table(spark, table, layout)
     after = scd2_replay(gold.filter("is_current"), incoming, keys, tracked, day)
-    # Versions closed earlier on one of these days share their partition with the new ones.
+    # Versions closed earlier on one of these days share their partition with the new ones. There are
+    # no more such days than bronze partitions in the batch.
     days = F.broadcast(incoming.select(F.col(day).alias("valid_to")).distinct())
     past = gold.filter(~F.col("is_current")).join(days, "valid_to", "left_semi")
     replace_partitions(after.unionByName(past.select(after.columns)), table, provider)

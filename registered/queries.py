@@ -202,6 +202,10 @@ def link_matches(announced: DataFrame, candidates: DataFrame) -> DataFrame:
     return match.complete_unresolved(announced, exact)
 
 
+def offices(spark, sf_dir) -> DataFrame:
+    return settle(inputs.candidates(spark, sf_dir))
+
+
 def silver_announcements(spark, sf_dir) -> DataFrame:
     return settle(inputs.announcements(spark, sf_dir))
 
@@ -228,7 +232,7 @@ def link_gold(announced: DataFrame, candidates: DataFrame) -> DataFrame:
 
 @register
 def scd2_links(spark, sf_dir):
-    return link_gold(silver_announcements(spark, sf_dir), inputs.candidates(spark, sf_dir))
+    return link_gold(silver_announcements(spark, sf_dir), offices(spark, sf_dir))
 
 
 def validated_markets(spark, sf_dir) -> DataFrame:
@@ -302,13 +306,13 @@ def incremental_scd2(spark, sf_dir):
 
 @register
 def exact_match(spark, sf_dir):
-    return match.exact_matches(inputs.announcements(spark, sf_dir), inputs.candidates(spark, sf_dir))
+    return match.exact_matches(inputs.announcements(spark, sf_dir), offices(spark, sf_dir))
 
 
 @register
 def unmatched(spark, sf_dir):
     announced = silver_announcements(spark, sf_dir)
-    exact = match.exact_matches(announced, inputs.candidates(spark, sf_dir))
+    exact = match.exact_matches(announced, offices(spark, sf_dir))
     return match.unmatched(announced, exact).select("id", "siren_declared", "commercant")
 
 
@@ -317,13 +321,13 @@ def backlog(spark, sf_dir):
     """Announcements without a current link, where links of private persons have been closed."""
     announced = silver_announcements(spark, sf_dir)
     closed = F.coalesce(F.col("match_method") == schemas.UNRESOLVED, F.lit(True))
-    links = link_matches(announced, inputs.candidates(spark, sf_dir)).withColumn("is_current", ~closed)
+    links = link_matches(announced, offices(spark, sf_dir)).withColumn("is_current", ~closed)
     return match.backlog(announced, links).select("id", "famille_avis")
 
 
 @register
 def unresolved_completion(spark, sf_dir):
-    return link_matches(silver_announcements(spark, sf_dir), inputs.candidates(spark, sf_dir))
+    return link_matches(silver_announcements(spark, sf_dir), offices(spark, sf_dir))
 
 
 @register
@@ -371,14 +375,14 @@ def gamma_histogram(spark, sf_dir):
 
 def declared_pairs(spark, sf_dir) -> DataFrame:
     """Names and addresses of every announcement and the candidate it declares."""
-    announced, offices = silver_announcements(spark, sf_dir), inputs.candidates(spark, sf_dir)
-    exact = match.exact_matches(announced, offices)
+    announced, candidates = silver_announcements(spark, sf_dir), offices(spark, sf_dir)
+    exact = match.exact_matches(announced, candidates)
     left = linkage.prepare_announcements(announced).select(
         F.col("uid").alias(match.ID),
         F.col("denomination_clean").alias("name_l"),
         F.col("adresse_clean").alias("address_l"),
     )
-    right = linkage.prepare_candidates(offices).select(
+    right = linkage.prepare_candidates(candidates).select(
         F.col("uid").alias("siret_siege"),
         F.col("denomination_clean").alias("name_r"),
         F.col("adresse_clean").alias("address_r"),
@@ -410,8 +414,7 @@ def fuzzy_score_fixed_params(spark, sf_dir):
 
 
 def cascade_result(spark, sf_dir, model) -> DataFrame:
-    offices = settle(inputs.candidates(spark, sf_dir))
-    matches = run_cascade(inputs.announcements(spark, sf_dir), offices, model)
+    matches = run_cascade(inputs.announcements(spark, sf_dir), offices(spark, sf_dir), model)
     return matches.withColumn("match_confidence", F.round("match_confidence", 6))
 
 
@@ -456,10 +459,10 @@ def best_match(spark, sf_dir):
 def fuzzy_predictions(spark, sf_dir, model) -> tuple[DataFrame, DataFrame]:
     """Announcements with a known match, and what linkage alone predicts for them."""
     announced = silver_announcements(spark, sf_dir)
-    offices = settle(inputs.candidates(spark, sf_dir))
-    held_out = evaluate.evaluation_set(announced, match.exact_matches(announced, offices))
+    candidates = offices(spark, sf_dir)
+    held_out = evaluate.evaluation_set(announced, match.exact_matches(announced, candidates))
     left = settle(linkage.prepare_announcements(held_out))
-    right = linkage.prepare_candidates(offices)
+    right = linkage.prepare_candidates(candidates)
     vl, vr = settle(linkage.values(left)), settle(linkage.values(right))
     near = settle(linkage.near_addresses(vl, vr, model or MODEL))
     if model is None:
@@ -475,7 +478,7 @@ def fuzzy_predictions(spark, sf_dir, model) -> tuple[DataFrame, DataFrame]:
 @register
 def evaluation_set(spark, sf_dir):
     announced = silver_announcements(spark, sf_dir)
-    exact = match.exact_matches(announced, inputs.candidates(spark, sf_dir))
+    exact = match.exact_matches(announced, offices(spark, sf_dir))
     return evaluate.evaluation_set(announced, exact).select(
         "id", "commercant", "ville", "true_siret_siege"
     )
@@ -531,7 +534,7 @@ def unresolved_composition(spark, sf_dir):
 @register
 def serving_join(spark, sf_dir):
     announced = silver_announcements(spark, sf_dir)
-    gold = link_gold(announced, inputs.candidates(spark, sf_dir))
+    gold = link_gold(announced, offices(spark, sf_dir))
     return serve.announcements_view(gold, announced)
 
 

@@ -59,6 +59,16 @@ def test_bronze_partitions(spark, tmp_path, day, rows):
     assert files.bronze_root("/lake/", "a", "diff") == "/lake/bronze/a/diff"
 
 
+def test_malformed_rows_are_quarantined(spark, tmp_path, day, rows):
+    layout = struct_of("siret string, d string")
+    bronze = spark.createDataFrame([("1", "2024-01-01"), (None, None), ("2", "x")], layout)
+    good = daily.quarantine(bronze, str(tmp_path), "src", "siret", ["d"], day(1))
+    assert rows(good) == [("1", "2024-01-01")]
+    kept = struct_of("siret string, d string, reject_reason string")
+    rejects = files.read_bronze(spark, files.bronze_root(str(tmp_path), "src", "rejects"), kept)
+    assert rows(rejects, "reject_reason") == [("missing siret",), ("unreadable d",)]
+
+
 def test_json_records_read_with_a_declared_schema(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"id": "A1", "registre": ["1", "2"], "numeroannonce": 7}\n')
     row = files.read_json_raw(spark, str(tmp_path / "a.json"), schemas.RAW_ANNOUNCEMENT).first()

@@ -198,7 +198,14 @@ def markets_daily(
 def sync_establishments(gold: DataFrame, url: str, table: str, properties: dict) -> int:
     """All versions of all establishments to the serving store."""
     rows = serve.check_contract(gold, schemas.GOLD_ESTABLISHMENT)
-    return jdbc.replace_served(rows, url, table, properties, schemas.ESTABLISHMENT_KEYS)
+    return jdbc.replace_served(
+        rows,
+        url,
+        table,
+        properties,
+        schemas.ESTABLISHMENT_KEYS,
+        schemas.REQUIRED_ESTABLISHMENT,
+    )
 
 
 def sync_announcements(
@@ -206,7 +213,9 @@ def sync_announcements(
 ) -> int:
     """Linked announcements with their content to the serving store."""
     rows = serve.announcements_view(links, announcements)
-    return jdbc.replace_served(rows, url, table, properties, schemas.LINK_KEYS)
+    return jdbc.replace_served(
+        rows, url, table, properties, schemas.LINK_KEYS, schemas.REQUIRED_ANNOUNCEMENT
+    )
 
 
 def sync_markets(market_links: DataFrame, url: str, table: str, properties: dict) -> int:

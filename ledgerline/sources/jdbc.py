@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from ledgerline.operators.quality import unique_version
+from ledgerline.operators.quality import not_null, unique_version
 
 DRIVER = "org.postgresql.Driver"
 
@@ -42,19 +42,23 @@ def replace_served(
     table: str,
     properties: Mapping[str, str],
     keys: Sequence[str],
+    required: Sequence[str] = (),
     connections: int = 16,
 ) -> int:
     """Empty the serving table, keeping it and its indexes, write ``df`` into it, return the row count.
 
-    The rows must be unique per key and start day, which the serving table's index demands; that is
-    checked before anything is emptied. The rows are counted while they are written. ``connections``
-    bounds how many tasks write to the database at once.
+    The rows must be unique per key and start day, which the serving table's index demands, and fill
+    the ``required`` columns; that is checked before anything is emptied. The rows are counted while
+    they are written. ``connections`` bounds how many tasks write to the database at once; the work
+    before that is not bound by it.
     """
     if not unique_version(df, keys).isEmpty():
         raise ValueError(f"several rows share {[*keys, 'valid_from']}")
+    if required and not (gaps := not_null(df, required)).isEmpty():
+        raise ValueError(f"required columns hold NULL: {[r['column'] for r in gaps.collect()]}")
     written = Observation(f"served-{uuid.uuid4().hex}")
     (
-        df.coalesce(connections)
+        df.repartition(connections)
         .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.option("truncate", "true")
         .option("createTableColumnTypes", column_types(df.schema))

@@ -271,6 +271,8 @@ def test_served_rows_are_checked_counted_and_truncated(spark, day, monkeypatch):
     assert log["url"] == "jdbc:postgresql://db:5432/registry"
     assert log["createTableColumnTypes"] == "k TEXT, v DOUBLE PRECISION"
     assert log["properties"]["driver"] == "org.postgresql.Driver"
+    with pytest.raises(ValueError, match="valid_to"):
+        jdbc.replace_served(gold, url, "t", props, ["k"], required=["k", "valid_to"])
     with pytest.raises(ValueError, match="valid_from"):
         jdbc.replace_served(gold.unionByName(gold), url, "t", props, ["k"])
 

@@ -318,7 +318,7 @@ def unmatched(spark, sf_dir):
 
 @register
 def backlog(spark, sf_dir):
-    """Announcements without a current link, where links of private persons have been closed."""
+    """Announcements without a current link, where unresolved links have been closed."""
     announced = silver_announcements(spark, sf_dir)
     closed = F.coalesce(F.col("match_method") == schemas.UNRESOLVED, F.lit(True))
     links = link_matches(announced, offices(spark, sf_dir)).withColumn("is_current", ~closed)

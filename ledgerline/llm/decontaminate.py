@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerline.llm.batches import LOWER, pieces, texts_of
 from ledgerline.llm.tables import narrow, stored, type_of
@@ -223,13 +224,13 @@ def search(
     spark, id_type = postings.sparkSession, type_of(items, item)
     directory = postings.schema["documents"].dataType.elementType["doc_id"].dataType.simpleString()
     schema = f"segment bigint, number bigint, doc_id {directory}, n_words bigint, matches array<struct<item_id:{id_type},first:bigint,last:bigint>>"
+    item_type = to_arrow_type(items.schema[item].dataType)
     wanted = items.select(items[item].alias("item_id"), items[text].alias("text"))
     parts = []
     for block in _blocks(wanted, block_bytes):
         queries = Queries(block, window)
         sent = spark.sparkContext.broadcast(queries)
 
-        item_type = pa.array([k for k, _ in block]).type
         # At most BLOCK_BYTES of item texts have made these terms.
         terms = F.broadcast(spark.createDataFrame([(bytearray(t),) for t in queries.terms] or [(None,)], "term binary"))
         needed = postings.where("term IS NULL").unionByName(postings.where("term IS NOT NULL").join(terms, "term", "left_semi"))

@@ -35,3 +35,27 @@ def type_of(df: DataFrame, column: str) -> str:
 def words(text: Column | str) -> Column:
     """Words between ASCII white space, in order; a null text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+
+
+def version(text: Column) -> Column:
+    """What tells texts of the same id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _same(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, Column]:
+    """``rows`` (doc_id, version) under names that ``docs`` does not have, and the condition that both are equal."""
+    a, b = free_name(docs, "_id"), free_name(docs, "_version")
+    other = rows.select(F.col("doc_id").alias(a), F.col("version").alias(b))
+    return other, docs["doc_id"].eqNullSafe(other[a]) & (version(docs["text"]) == other[b])
+
+
+def only(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Documents whose (doc_id, version) is in ``rows``; of repeated rows one."""
+    kept = docs.join(*_same(docs, rows), "left_semi")
+    name = free_name(docs, "_version")
+    return kept.withColumn(name, version(docs["text"])).dropDuplicates(["doc_id", name]).drop(name)
+
+
+def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Documents whose (doc_id, version) is not in ``rows``."""
+    return docs.join(*_same(docs, rows), "left_anti")

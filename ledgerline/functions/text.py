@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,26 +40,47 @@ def folded(*parts: Column) -> Column:
     return F.lower(F.trim(joined))
 
 
-def deletions(text: Column, depth: int) -> Column:
-    """Hashes of every string reached from ``text`` by deleting at most ``depth`` characters.
+def segment_keys(text: Column, depth: int) -> Column:
+    """Hashes of the ``depth + 1`` segments that a text is cut into, each with its place and the text's length.
 
-    Two strings within Levenshtein distance ``depth`` share at least one of them, which turns a
-    similarity join into an equality join.
+    At most ``depth`` edits leave one segment as it is, so a text within that Levenshtein distance has
+    one of these hashes among its ``segment_probes``: a similarity join becomes an equality join, with a
+    number of keys that does not grow with the texts.
     """
+    size = F.length(text)
+    step = F.floor(size / (depth + 1)).cast("int")
+    return F.array(*(_segment(text, size, step, depth, i, i * step) for i in range(depth + 1)))
+
+
+def segment_probes(text: Column, depth: int) -> Column:
+    """Hashes of all segments that a text within ``depth`` edits of this one may have unchanged.
+
+    The other text's length, and the place of an unchanged segment, differ by at most ``depth``.
+    """
+    own, n, wide = F.length(text), depth + 1, 2 * depth + 1
+
+    def probe(k: Column) -> Column:
+        size = own + F.floor(k / (n * wide)).cast("int") - depth
+        i = F.floor(k / wide).cast("int") % n
+        step = F.floor(size / n).cast("int")
+        start = i * step + k % wide - depth
+        length = F.when(i < depth, step).otherwise(size - depth * step)
+        fits = (size >= 0) & (start >= 0) & (start + length <= own)
+        return F.when(fits, _hashed(size, i, text.substr(start + 1, length)))
+
+    every = F.transform(F.sequence(F.lit(0), F.lit(n * wide * wide - 1)), probe)
+    return F.array_distinct(F.array_compact(every))
+
+
+def _segment(
+    text: Column, size: Column, step: Column, depth: int, i: int, start: Column
+) -> Column:
+    length = step if i < depth else size - depth * step
+    return _hashed(size, F.lit(i), text.substr(start + 1, length))
 
-    def drop_one(word: Column) -> Column:
-        positions = F.when(F.length(word) > 0, F.sequence(F.lit(1), F.length(word)))
-        shorter = F.transform(
-            positions,
-            lambda i: F.concat(word.substr(F.lit(1), i - 1), word.substr(i + 1, F.length(word))),
-        )
-        return F.array_distinct(F.coalesce(shorter, F.array().cast("array<string>")))
 
-    levels = [F.array(text)]
-    for _ in range(depth):
-        levels.append(F.array_distinct(F.flatten(F.transform(levels[-1], drop_one))))
-    words = F.array_distinct(reduce(F.concat, levels[1:], levels[0]))
-    return F.transform(words, lambda word: F.xxhash64(word))
+def _hashed(size: Column, place: Column, segment: Column) -> Column:
+    return F.xxhash64(size.cast("int"), place.cast("int"), segment)
 
 
 MASK_WORDS = 2

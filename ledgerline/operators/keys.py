@@ -8,10 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# At most this many keys are treated as hot, which bounds what is broadcast for them.
-HOT_KEYS = 1000
-# Entries of a lookup whose estimated size stays below this are broadcast.
-SMALL_BYTES = 8 << 20
+# A key is hot if more than one in so many rows has it; there are fewer hot keys than that.
+HOT_SHARE = 500
+# Parts that the rows of one key are spread over before they meet.
+PARTS = 64
 
 
 def total_order(columns: Sequence[str]) -> list[Column]:
@@ -28,10 +28,34 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
+def _preference(df: DataFrame, keys: Sequence[str], latest: Sequence[str]) -> list[Column]:
+    rest = [c for c in df.columns if c not in keys and c not in latest]
+    return [F.col(c).desc_nulls_last() for c in latest] + total_order(rest)
+
+
 def dedup(df: DataFrame, keys: Sequence[str], latest: Sequence[str] = ()) -> DataFrame:
     """One row per key, the same on every run: greatest ``latest`` columns, then smallest row."""
-    rest = [c for c in df.columns if c not in keys and c not in latest]
-    return first_by(df, keys, [F.col(c).desc_nulls_last() for c in latest] + total_order(rest))
+    return first_by(df, keys, _preference(df, keys, latest))
+
+
+def duplicates(df: DataFrame, keys: Sequence[str], latest: Sequence[str] = ()) -> DataFrame:
+    """The rows that ``dedup`` leaves out: together they are all rows of ``df``.
+
+    Keys are spread over tasks by all their rows' columns first, so that only rows that are not the
+    first of their part are known to be left out early; the firsts of the parts meet by key.
+    """
+    names = list(df.columns)
+    part = F.pmod(F.xxhash64(*names), F.lit(PARTS))
+    place = F.row_number().over(
+        Window.partitionBy(*keys, "_part").orderBy(*_preference(df, keys, latest))
+    )
+    placed = df.withColumn("_part", part).withColumn("_place", place)
+    firsts = placed.filter("_place = 1").drop("_place", "_part")
+    final = F.row_number().over(
+        Window.partitionBy(*keys).orderBy(*_preference(firsts, keys, latest))
+    )
+    lost = firsts.withColumn("_place", final).filter("_place > 1").select(names)
+    return placed.filter("_place > 1").select(names).unionByName(lost)
 
 
 def all_equal(left: str, right: str, columns: Sequence[str]) -> Column:
@@ -62,24 +86,22 @@ def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, pairs)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a frame, taken from its optimized plan; runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def hot_keys(facts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Keys that more than one in ``HOT_SHARE`` rows has, NULL keys aside; fewer than ``HOT_SHARE``."""
+    counts = facts.select(*names).dropna().groupBy(*names).count()
+    total = counts.agg(F.sum("count")).scalar()
+    return counts.filter(F.col("count") * HOT_SHARE > total).drop("count")
 
 
 def lookup(
-    facts: DataFrame,
-    entries: DataFrame,
-    on: Mapping[str, str],
-    spread_by: str,
-    small_bytes: int = SMALL_BYTES,
+    facts: DataFrame, entries: DataFrame, on: Mapping[str, str], spread_by: str
 ) -> DataFrame:
     """Left join of ``facts`` to ``entries`` (unique per key), every fact kept exactly once.
 
-    ``on`` maps fact columns to entry columns; the entry's key columns are dropped. Entries estimated
-    to be small are broadcast, and nothing is shuffled. Otherwise the most frequent fact keys, never more than ``HOT_KEYS``, find their entry in a broadcast table of that many rows;
+    ``on`` maps fact columns to entry columns; the entry's key columns are dropped. Hot fact keys,
+    fewer than ``HOT_SHARE`` by definition, find their entry in a broadcast table of that many rows;
     they and the facts with a NULL key are spread by ``spread_by`` in the shuffle that serves the
-    rest. No task therefore gets a hot key whole.
+    rest. No task therefore gets a hot key whole, and nothing is broadcast because of an estimate.
     """
     columns, taken = list(facts.columns), [c for c in entries.columns if c not in on.values()]
     keyed = entries.select(
@@ -87,32 +109,12 @@ def lookup(
         F.struct(*[F.col(c) for c in taken]).alias("_entry"),
     )
     key_names = [f"_k{i}" for i in range(len(on))]
-    if estimated_bytes(entries) <= small_bytes:
-        plain = facts.alias("f").join(
-            F.broadcast(keyed).alias("e"),
-            reduce(
-                lambda a, b: a & b,
-                [F.col(f"f.{c}") == F.col(f"e.{k}") for c, k in zip(on, key_names, strict=True)],
-            ),
-            "left",
-        )
-        return plain.select(
-            *[F.col(f"f.{c}") for c in columns], *[F.col("e._entry")[c].alias(c) for c in taken]
-        )
     fact_keys = [F.col(c).alias(k) for c, k in zip(on, key_names, strict=True)]
-    hot = (
-        facts.select(*fact_keys)
-        .dropna()
-        .groupBy(*key_names)
-        .count()
-        .orderBy(F.desc("count"), *key_names)
-        .limit(HOT_KEYS)
-        .drop("count")
-    )
+    hot = hot_keys(facts.select(*fact_keys), key_names)
     hot_entries = F.broadcast(
-        F.broadcast(hot)
-        .join(keyed, key_names, "left")
-        .select(*key_names, F.col("_entry").alias("_hot_entry"), F.lit(True).alias("_hot"))
+        keyed.join(F.broadcast(hot), key_names).select(
+            *key_names, F.col("_entry").alias("_hot_entry"), F.lit(True).alias("_hot")
+        )
     )
     marked = facts.select("*", *fact_keys).join(hot_entries, key_names, "left")
     elsewhere = F.col("_hot").isNotNull() | reduce(

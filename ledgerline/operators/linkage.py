@@ -17,6 +17,7 @@ third of all rows. What the linkage needs from those pairs is obtained as follow
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from math import ceil, sqrt
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.similarity import jaro_winkler, may_reach
-from ledgerline.functions.text import deletions, folded, with_character_masks
+from ledgerline.functions.text import folded, segment_keys, segment_probes, with_character_masks
 from ledgerline.operators.keys import first_by, lookup
 from ledgerline.operators.model import (
     MAX_PAIRS,
@@ -115,16 +116,18 @@ def probability(name: Column, address: Column, model: LinkageModel) -> Column:
 def near_addresses(left: DataFrame, right: DataFrame, model: LinkageModel) -> DataFrame:
     """Pairs of a left and a right address that are equal or near, with their level (above 0).
 
-    Addresses within ``d`` edits share a variant made by at most ``d`` deletions, so near ones are
-    found by equality of variants and confirmed by their distance.
+    Of the ``d + 1`` segments of an address, ``d`` edits leave one unchanged, so near ones are found
+    by equality of segments and confirmed by their distance. The number of segments does not depend on
+    the length of an address.
     """
     depth = max(model.address_thresholds)
 
-    def variants(side: DataFrame, name: str) -> DataFrame:
+    def keyed(side: DataFrame, name: str, keys: Callable[[Column, int], Column]) -> DataFrame:
         distinct = side.select(F.col("address").alias(name)).distinct()
-        return distinct.withColumn("variant", F.explode(deletions(F.col(name), depth)))
+        return distinct.withColumn("segment", F.explode(keys(F.col(name), depth)))
 
-    pairs = variants(left, "address_l").join(variants(right, "address_r"), "variant")
+    cut = keyed(left, "address_l", segment_keys)
+    pairs = cut.join(keyed(right, "address_r", segment_probes), "segment")
     level = address_level(F.col("address_l"), F.col("address_r"), model)
     return (
         pairs.select("address_l", "address_r", level.alias("address_level"))

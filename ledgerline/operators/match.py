@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.keys import first_by, lookup
+from ledgerline.operators.scd2 import current
 from ledgerline.schemas import ANNOUNCEMENT_LINK, EXACT, FUZZY, UNRESOLVED
 
 ID = "bodacc_announcement_id"
@@ -61,7 +62,7 @@ def unmatched(announcements: DataFrame, matches: DataFrame) -> DataFrame:
 
 def backlog(announcements: DataFrame, gold_links: DataFrame) -> DataFrame:
     """Announcements without a current link. An ``unresolved`` link counts, a closed one does not."""
-    return unmatched(announcements, gold_links.filter("is_current"))
+    return unmatched(announcements, current(gold_links))
 
 
 def fuzzy_records(predictions: DataFrame) -> DataFrame:

@@ -16,16 +16,13 @@ from pyspark.sql import functions as F
 from ledgerline.operators.keys import (
     all_equal,
     dedup,
-    estimated_bytes,
+    duplicates,
     key_columns,
     same_key,
     with_key,
 )
 
 VALIDITY = ["valid_from", "valid_to", "is_current"]
-# An input whose estimated size stays below this is sent to the executors instead of shuffling the
-# whole current gold against it.
-SMALL_INPUT_BYTES = 4 << 20
 
 
 def payload_columns(gold: DataFrame) -> list[str]:
@@ -38,8 +35,22 @@ def as_of(gold: DataFrame, day: dt.date) -> DataFrame:
     return gold.filter((F.col("valid_from") <= F.lit(day)) & still_open)
 
 
+def is_open() -> Column:
+    """Whether a version is current. The test of ``valid_to`` lets a table partitioned by it skip the rest."""
+    return F.col("valid_to").isNull() & F.coalesce("is_current", F.lit(False))
+
+
 def current(gold: DataFrame) -> DataFrame:
-    return gold.filter("is_current")
+    return gold.filter(is_open())
+
+
+def rejected(
+    incoming: DataFrame, keys: Sequence[str], columns: Sequence[str], reason: str
+) -> DataFrame:
+    """Input rows that ``scd2_apply`` passes over because another row of their key came with them."""
+    rows = with_key(incoming.select(*columns), keys)
+    lost = duplicates(rows, key_columns(keys)).select(*columns)
+    return lost.withColumn("reject_reason", F.lit(reason))
 
 
 def scd2_apply(
@@ -50,7 +61,6 @@ def scd2_apply(
     run_date: dt.date,
     *,
     same_day: str = "strict",
-    strategy: str = "auto",
     touched_only: bool = False,
 ) -> DataFrame:
     """Gold after one run.
@@ -58,24 +68,24 @@ def scd2_apply(
     ``same_day="strict"`` closes a version opened earlier the same day like any other;
     ``"replace"`` drops it in favour of the new one, which keeps ``(key, valid_from)`` unique.
 
-    ``strategy``: ``"merge"`` is one full outer join between the current versions and the input;
-    ``"broadcast"`` sends the input to the executors and never shuffles gold; ``"auto"`` takes the
-    latter when the input's estimated size allows it.
+    One full outer join between the current versions and the input, each shuffled once. Input rows
+    that share a key give one version; ``rejected`` has the others.
 
     ``touched_only`` leaves out versions closed before ``run_date``: what remains is all that a table
     partitioned by ``valid_to`` has to rewrite.
     """
     payload = payload_columns(gold)
     rows = dedup(with_key(incoming.select(payload), keys), key_columns(keys))
-    if strategy == "auto":
-        strategy = "broadcast" if estimated_bytes(incoming) <= SMALL_INPUT_BYTES else "merge"
-    advance = _advance_broadcast if strategy == "broadcast" else _advance_merge
-    past = gold.filter(~F.coalesce("is_current", F.lit(False)))
+    past = gold.filter(~is_open())
     if touched_only:
-        past = past.filter(F.col("valid_to") == F.lit(run_date))
-    replace = same_day == "replace"
-    stored = with_key(current(gold), keys)
-    return past.unionByName(advance(stored, rows, payload, keys, tracked, run_date, replace))
+        # Rows that contradict themselves (closed, without an end) lie with the current ones.
+        past = past.filter((F.col("valid_to") == F.lit(run_date)) | F.col("valid_to").isNull())
+    stored = with_key(current(gold), keys).withColumn("_stored", F.lit(True)).alias("g")
+    came = rows.withColumn("_came", F.lit(True)).alias("i")
+    # Both sides are keyed alike, and the input already lies where its deduplication put it.
+    both = stored.join(came, same_key("g", "i", keys), "full_outer")
+    versions = _versions(payload, tracked, run_date, same_day == "replace")
+    return past.unionByName(both.select(F.inline(versions)))
 
 
 def _versions(
@@ -105,37 +115,6 @@ def _versions(
     )
 
 
-def _advance_merge(open_rows, rows, payload, keys, tracked, run_date, replace) -> DataFrame:
-    stored = open_rows.withColumn("_stored", F.lit(True)).alias("g")
-    came = rows.withColumn("_came", F.lit(True)).alias("i")
-    # Both sides are keyed alike, and the input already lies where its deduplication put it.
-    both = stored.join(came, same_key("g", "i", keys), "full_outer")
-    return both.select(F.inline(_versions(payload, tracked, run_date, replace)))
-
-
-def _advance_broadcast(open_rows, rows, payload, keys, tracked, run_date, replace) -> DataFrame:
-    stored = open_rows.withColumn("_stored", F.lit(True)).alias("g")
-    came = F.broadcast(rows.withColumn("_came", F.lit(True))).alias("i")
-    both = stored.join(came, same_key("g", "i", keys), "left")
-    advanced = both.select(F.inline(_versions(payload, tracked, run_date, replace)))
-    # Keys of the input that gold already holds: no more of them than the input has rows.
-    names = key_columns(keys)
-    held = (
-        open_rows.select(*names)
-        .join(F.broadcast(rows.select(*names)), names, "left_semi")
-        .distinct()
-    )
-    fresh = rows.join(held, names, "left_anti")
-    return advanced.unionByName(
-        fresh.select(
-            *payload,
-            F.lit(run_date).alias("valid_from"),
-            F.lit(None).cast("date").alias("valid_to"),
-            F.lit(True).alias("is_current"),
-        )
-    )
-
-
 def scd2_replay(
     gold: DataFrame,
     incoming: DataFrame,
@@ -148,7 +127,8 @@ def scd2_replay(
     Equal to one strict ``scd2_apply`` per value of ``day``, with one shuffle for all of them: each
     incoming row is compared with the row of its key before it, which suffices because a row that
     opens no version equals its predecessor in every tracked column. Rows older than the current
-    version of their key are passed over, so repeating a batch changes nothing.
+    version of their key are passed over (``late_rows`` has them), so repeating a batch changes
+    nothing.
     """
     payload = payload_columns(gold)
     rows = dedup(incoming.select(*payload, F.col(day).alias("_day")), [*keys, "_day"])
@@ -181,7 +161,25 @@ def scd2_replay(
         F.when(ended, F.col("_until")).otherwise(F.col("_kept.valid_to")).alias("valid_to"),
         (~ended).alias("is_current"),
     )
-    return gold.filter(~F.coalesce("is_current", F.lit(False))).unionByName(versions)
+    return gold.filter(~is_open()).unionByName(versions)
+
+
+def late_rows(gold: DataFrame, incoming: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """Input rows that ``scd2_replay`` passes over: older than the current version of their key.
+
+    A row that says what a stored version of its day says is no news, and not late: a batch that is
+    offered again has none.
+    """
+    names, payload = key_columns(keys), payload_columns(gold)
+    since = with_key(current(gold), keys).groupBy(*names).agg(F.max("valid_from").alias("_since"))
+    rows = with_key(incoming, keys).join(since, names)
+    late = rows.filter(F.col(day) < F.col("_since")).alias("i")
+    told = with_key(gold, keys).alias("g")
+    covers = (F.col("g.valid_from") <= F.col(f"i.{day}")) & (
+        F.col("g.valid_to").isNull() | (F.col("g.valid_to") > F.col(f"i.{day}"))
+    )
+    same = same_key("g", "i", keys) & covers & all_equal("g", "i", payload)
+    return late.join(told, same, "left_anti").select(*incoming.columns)
 
 
 def new_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

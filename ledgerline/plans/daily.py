@@ -8,10 +8,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.operators import clean, normalize, resolve, scope, serve
-from ledgerline.operators.match import backlog
+from ledgerline.operators import clean, normalize, quality, resolve, scd2, scope, serve
+from ledgerline.operators.match import ID, backlog
 from ledgerline.operators.model import LinkageModel
 from ledgerline.plans.cascade import run_cascade
 from ledgerline.session import settle
@@ -98,28 +99,51 @@ def quarantine(
 ) -> DataFrame:
     """The well-formed rows; malformed ones go to the source's ``rejects`` folder with a reason."""
     good, rejects = clean.split_rejects(bronze, key, days)
-    files.write_bronze(rejects, root, source, ingestion_date, run_type="rejects")
+    keep_rejects(rejects, root, source, "malformed", ingestion_date)
     return good
 
 
+def keep_rejects(
+    rejects: DataFrame, root: str, source: str, kind: str, run_date: dt.date
+) -> None:
+    """Rows with a ``reject_reason``, as JSON, to the source's ``rejects`` folder; a rerun replaces its day."""
+    row = F.to_json(F.struct(*[c for c in rejects.columns if c != "reject_reason"]))
+    kept = rejects.select("reject_reason", row.alias("row"))
+    files.write_bronze(kept, root, source, run_date, run_type=f"rejects/{kind}")
+
+
 # --- daily jobs ------------------------------------------------------------------------------------
 
 
 def establishments_daily(
-    bronze: DataFrame, silver_table: str, gold_table: str, run_date: dt.date, **options
+    bronze: DataFrame,
+    silver_table: str,
+    gold_table: str,
+    run_date: dt.date,
+    *,
+    rejects_root: str | None = None,
+    provider: str = "parquet",
+    **options,
 ) -> None:
-    """Bronze establishments to silver, then to versioned gold."""
-    tables.replace_table(clean.clean_establishments(bronze), silver_table)
-    tables.ensure_gold(bronze.sparkSession, gold_table, schemas.GOLD_ESTABLISHMENT)
+    """Bronze establishments to silver, then to versioned gold, which has to be sound."""
+    spark = bronze.sparkSession
+    if rejects_root:
+        bronze = quarantine(bronze, rejects_root, "establishments", "siret", [], run_date)
+    tables.replace_table(clean.clean_establishments(bronze), silver_table, provider)
+    tables.ensure_gold(spark, gold_table, schemas.GOLD_ESTABLISHMENT, provider=provider)
     tables.historize(
         gold_table,
         schemas.GOLD_ESTABLISHMENT,
-        bronze.sparkSession.table(silver_table),
+        spark.table(silver_table),
         schemas.ESTABLISHMENT_KEYS,
         schemas.ESTABLISHMENT_TRACKED,
         run_date,
+        provider=provider,
         **options,
     )
+    quality.assert_sound(
+        spark.table(gold_table), schemas.ESTABLISHMENT_KEYS, ["siret", "valid_from", "is_current"]
+    )
 
 
 def announcements_to_silver(bronze: DataFrame, silver_table: str) -> None:
@@ -135,15 +159,23 @@ def link_backlog(
     links_table: str,
     run_date: dt.date,
     model: LinkageModel | None = None,
+    *,
+    matches_table: str | None = None,
     **options,
 ) -> None:
-    """Match every announcement that has no current link, not only those of the last run."""
+    """Match every announcement that has no current link, not only those of the last run.
+
+    ``matches_table`` keeps the match records of the run as they were before they became versions.
+    """
     layout = schemas.GOLD_ANNOUNCEMENT_LINK
     tables.ensure_gold(spark, links_table, layout)
     waiting = settle(backlog(spark.table(silver_table), spark.table(links_table)))
     if waiting.isEmpty():
         return
     matches = run_cascade(waiting, candidates, model)
+    if matches_table:
+        tables.replace_table(matches, matches_table)
+        matches = spark.table(matches_table)
     tables.historize(
         links_table, layout, matches, schemas.LINK_KEYS, schemas.LINK_TRACKED, run_date, **options
     )
@@ -156,10 +188,21 @@ def announcements_daily(
     links_table: str,
     run_date: dt.date,
     model: LinkageModel | None = None,
+    *,
+    matches_table: str | None = None,
+    rejects_root: str | None = None,
 ) -> None:
-    """Bronze announcements to silver, and the backlog to versioned links."""
+    """Bronze announcements to silver, and the backlog to versioned links, which have to be sound."""
+    spark = bronze.sparkSession
+    if rejects_root:
+        bronze = quarantine(bronze, rejects_root, "announcements", "id", [], run_date)
     announcements_to_silver(bronze, silver_table)
-    link_backlog(bronze.sparkSession, silver_table, candidates, links_table, run_date, model)
+    link_backlog(
+        spark, silver_table, candidates, links_table, run_date, model, matches_table=matches_table
+    )
+    quality.assert_sound(
+        spark.table(links_table), schemas.LINK_KEYS, [ID, "match_method", "valid_from"]
+    )
 
 
 def markets_daily(
@@ -169,17 +212,32 @@ def markets_daily(
     links_table: str,
     run_date: dt.date,
     department: str = "08",
+    *,
+    matches_table: str | None = None,
+    rejects_root: str | None = None,
     **options,
 ) -> None:
     """A year of one department's markets, resolved and checked against the registry, to gold.
 
-    The whole scope is redone on every run, since amounts get revised.
+    The whole scope is redone on every run, since amounts get revised. Links that share a key with another
+    one go to the ``rejects`` folder, malformed markets too.
     """
     scoped = scope.scope_markets(national, department, run_date - MARKET_WINDOW)
+    if rejects_root:
+        scoped = quarantine(scoped, rejects_root, "markets", "uid", [], run_date)
     tables.replace_table(clean.clean_markets(scoped), silver_table)
     spark = national.sparkSession
     resolved = resolve.resolve_markets(spark.table(silver_table))
     validated = resolve.validate_against_registry(resolved, registry)
+    if matches_table:
+        tables.replace_table(validated, matches_table)
+        validated = spark.table(matches_table)
+    else:
+        validated = settle(validated)
+    if rejects_root:
+        keys = schemas.MARKET_KEYS
+        twice = scd2.rejected(validated, keys, validated.columns, f"repeated {', '.join(keys)}")
+        keep_rejects(twice, rejects_root, "markets", "repeated", run_date)
     tables.ensure_gold(spark, links_table, schemas.GOLD_MARKET_LINK)
     tables.historize(
         links_table,
@@ -190,6 +248,7 @@ def markets_daily(
         run_date,
         **options,
     )
+    quality.assert_sound(spark.table(links_table), schemas.MARKET_KEYS, ["uid", "match_method"])
 
 
 # --- serving ---------------------------------------------------------------------------------------

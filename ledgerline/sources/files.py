@@ -60,13 +60,9 @@ def write_bronze(
     partitions = {"department": department} if department else {}
     partitions["ingestion_date"] = ingestion_date.isoformat()
     path = bronze_root(root, source, run_type)
-    (
-        stored.withColumns({name: F.lit(value) for name, value in partitions.items()})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+    # The run's own folder is replaced, also by no rows at all.
+    own = "/".join([path, *(f"{name}={value}" for name, value in partitions.items())])
+    stored.write.mode("overwrite").parquet(own)
     return path
 
 

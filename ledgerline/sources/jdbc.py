@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from ledgerline.operators.quality import not_null, unique_version
+from ledgerline.session import settle
 
 DRIVER = "org.postgresql.Driver"
 
 
 def jdbc_url(env: Mapping[str, str] = os.environ) -> str:
     host, port = env.get("POSTGRES_HOST", "localhost"), env.get("POSTGRES_PORT", "5432")
-    return f"jdbc:postgresql://{host}:{port}/{env.get('POSTGRES_SERVING_DB', 'registry')}"
+    return f"jdbc:postgresql://{host}:{port}/{env['POSTGRES_SERVING_DB']}"
 
 
 def jdbc_properties(env: Mapping[str, str] = os.environ, driver: str = DRIVER) -> dict[str, str]:
@@ -49,16 +50,17 @@ def replace_served(
 
     The rows must be unique per key and start day, which the serving table's index demands, and fill
     the ``required`` columns; that is checked before anything is emptied. The rows are counted while
-    they are written. ``connections`` bounds how many tasks write to the database at once; the work
-    before that is not bound by it.
+    they are written. ``connections`` bounds how many tasks read the settled rows and write them to the
+    database at once.
     """
+    df = settle(df)  # what is checked is what is written
     if not unique_version(df, keys).isEmpty():
         raise ValueError(f"several rows share {[*keys, 'valid_from']}")
     if required and not (gaps := not_null(df, required)).isEmpty():
         raise ValueError(f"required columns hold NULL: {[r['column'] for r in gaps.collect()]}")
     written = Observation(f"served-{uuid.uuid4().hex}")
     (
-        df.repartition(connections)
+        df.coalesce(connections)
         .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.option("truncate", "true")
         .option("createTableColumnTypes", column_types(df.schema))

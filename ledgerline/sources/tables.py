@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerline.operators.scd2 import new_rows, scd2_apply, scd2_replay
+from ledgerline.operators.scd2 import current, is_open, new_rows, scd2_apply, scd2_replay
 from ledgerline.session import settle
 
 
@@ -115,9 +115,9 @@ def historize_days(
     """Apply several days of input to a gold table in one pass."""
     spark = incoming.sparkSession
     gold = read_table(spark, table, layout)
-    after = scd2_replay(gold.filter("is_current"), incoming, keys, tracked, day)
+    after = scd2_replay(current(gold), incoming, keys, tracked, day)
     # Versions closed earlier on one of these days share their partition with the new ones. There are
     # no more such days than bronze partitions in the batch.
     days = F.broadcast(incoming.select(F.col(day).alias("valid_to")).distinct())
-    past = gold.filter(~F.col("is_current")).join(days, "valid_to", "left_semi")
+    past = gold.filter(~is_open()).join(days, "valid_to", "left_semi")
     replace_partitions(after.unionByName(past.select(after.columns)), table, provider)

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from ledgerline import schemas
 from ledgerline.operators.clean import clean_establishments
 from ledgerline.operators.model import LinkageModel
+from ledgerline.operators.scd2 import late_rows
 from ledgerline.plans import daily
 from ledgerline.sources import tables
 from ledgerline.sources.files import bronze_schema
@@ -43,17 +44,31 @@ def run_available_now(
 
 
 def establishments_stream(
-    spark: SparkSession, bronze_path: str, checkpoint: str, gold_table: str
+    spark: SparkSession,
+    bronze_path: str,
+    checkpoint: str,
+    gold_table: str,
+    rejects_root: str | None = None,
 ) -> None:
-    """New establishment files to versioned gold; a batch of several days is applied day by day."""
+    """New establishment files to versioned gold; a batch of several days is applied day by day.
+
+    Rows of a day before their key's current version change nothing; they go to the ``rejects`` folder.
+    """
     layout = schemas.GOLD_ESTABLISHMENT
     tables.ensure_gold(spark, gold_table, layout)
 
     def apply(batch: DataFrame) -> None:
+        rows = clean_establishments(batch, per=["ingestion_date"])
+        last = batch.agg(F.max("ingestion_date")).first()[0]
+        if rejects_root and last is not None:
+            gold = tables.read_table(batch.sparkSession, gold_table, layout)
+            late = late_rows(gold, rows, schemas.ESTABLISHMENT_KEYS, "ingestion_date")
+            late = late.withColumn("reject_reason", F.lit("older than the current version"))
+            daily.keep_rejects(late, rejects_root, "establishments", "late", last)
         tables.historize_days(
             gold_table,
             layout,
-            clean_establishments(batch, per=["ingestion_date"]),
+            rows,
             schemas.ESTABLISHMENT_KEYS,
             schemas.ESTABLISHMENT_TRACKED,
             "ingestion_date",

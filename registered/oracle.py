@@ -325,8 +325,18 @@ PARTS["mkt_gold"] = two_runs(
     "first_mkt", "second_mkt", MARKET, schemas.MARKET_KEYS, schemas.MARKET_TRACKED
 )
 
+# One department's year, as the daily job takes it.
+PARTS["scoped_mkt"] = PARTS["mkt"].strip() + """ WHERE acheteur_departement_code = '03'
+  AND "datePublicationDonnees" >= DATE '1997-06-01' AND "donneesActuelles\""""
+PARTS["scoped_resolved"] = PARTS["resolved"].replace("FROM mkt", "FROM scoped_mkt")
+PARTS["scoped_validated"] = PARTS["validated"].replace("FROM resolved", "FROM scoped_resolved")
+
 # --- quality ---------------------------------------------------------------------------------------
 
+PARTS["bad_links"] = """
+SELECT * FROM mkt_gold
+UNION ALL SELECT * REPLACE (CAST(NULL AS BOOLEAN) AS is_current) FROM mkt_gold WHERE match_method = 'unresolved'
+UNION ALL SELECT * REPLACE (DATE '2024-03-01' AS valid_to) FROM mkt_gold WHERE match_method = 'unresolved' AND is_current"""
 PARTS["versions"] = """
 SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN 'A' || CAST(o_custkey AS VARCHAR) END AS key,
   o_orderpriority AS method, CAST(o_orderdate AS DATE) AS valid_from,
@@ -379,7 +389,8 @@ ORACLE: dict[str, str] = {
               code_postal AS cp, denomination FROM ann""",
         "normalize_candidates": f"SELECT {_CANDIDATE} FROM cand",
         "extract_siren": r"""
-            SELECT doc_id, CASE WHEN length(digits) = 9 THEN digits END AS siren FROM (
+            SELECT doc_id, CASE WHEN doc_id % 3 < 2 THEN lpad(CAST(doc_id AS VARCHAR), 9, '0')
+                WHEN length(digits) = 9 THEN digits END AS siren FROM (
               SELECT doc_id, replace(regexp_extract(text,
                 '(?:^|[^\p{L}\p{N}_])(\d[\d ]{0,11}\d)(?:$|[^\p{L}\p{N}_])', 1), ' ', '') AS digits
               FROM documents)""",
@@ -503,7 +514,32 @@ ORACLE: dict[str, str] = {
         "search": """
             SELECT * FROM etab_gold WHERE is_current AND (siret = 'tion_1' OR siren = 'tion_1'
               OR libelle_commune ILIKE '%tion_1%') ORDER BY siret LIMIT 50""",
-        "history": "SELECT * FROM etab_gold WHERE siret = '00000000700019'",
+        "history": """
+            SELECT * FROM etab_gold WHERE siret = '00000000300019'""",
+        "establishments_daily": "SELECT * FROM etab_gold",
+        "markets_daily": f"""
+            SELECT *, DATE '1998-06-01' AS valid_from, CAST(NULL AS DATE) AS valid_to,
+              true AS is_current FROM ({one_market("scoped_validated")})""",
+        "market_duplicates": f"""
+            SELECT * EXCLUDE (place), 'repeated key' AS reject_reason FROM (
+              SELECT {listed(MARKET)}, row_number() OVER (PARTITION BY uid, titulaire_id
+                ORDER BY {nulls_first(_MARKET_REST)}) AS place FROM validated) WHERE place > 1""",
+        "late_days": """
+            SELECT d.siret, d.activite_principale, DATE '2024-01-15' AS day
+            FROM day_two d JOIN etab_gold g ON g.siret = d.siret
+            WHERE g.is_current AND g.valid_from = DATE '2024-02-01'""",
+        "dq_market_versions": """
+            SELECT uid, titulaire_id, valid_from, count(*) AS version_count FROM bad_links
+            GROUP BY 1, 2, 3 HAVING count(*) > 1""",
+        "dq_market_flags": """
+            SELECT uid, titulaire_id, valid_from, valid_to, is_current FROM bad_links
+            WHERE (is_current AND valid_to IS NOT NULL) OR (NOT is_current AND valid_to IS NULL)""",
+        "dq_market_nulls": "SELECT * FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS nulls FROM bad_links"
+            for c in ["uid", "titulaire_id", "match_method", "valid_from", "is_current"]
+        )
+        + ") WHERE nulls > 0",
         "announcements_of": "SELECT * FROM served WHERE siret_siege = '00000000700019' AND is_current",
         "markets_of": "SELECT * FROM mkt_gold WHERE siret_titulaire = '00000000700027' AND is_current",
         "won_then_bankrupt": f"""
@@ -537,3 +573,10 @@ ORACLE: dict[str, str] = {
             GROUP BY 1, 2 HAVING count(*) <> 1""",
     }.items()
 }
+
+# The jobs version what the cascade finds.
+ORACLE["announcements_daily"] = ORACLE["announcements_stream"] = ORACLE["cascade_fixed_params"].replace(
+    "SELECT bodacc_announcement_id, siren_bodacc, siret_siege, match_method,\n              match_confidence FROM exact_links",
+    "SELECT *, DATE '2024-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current FROM (\n"
+    "            SELECT bodacc_announcement_id, siren_bodacc, siret_siege, match_method,\n              match_confidence FROM exact_links",
+) + ")"

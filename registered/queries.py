@@ -35,6 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
 
 SOME_SIRET = "000000007" + "00019"
+MARKET_DAY = dt.date(1998, 6, 1)
+CHANGED_SIRET = "000000003" + "00019"
 SOME_SUPPLIER = "000000007" + "00027"
 
 
@@ -95,10 +97,17 @@ def normalize_candidates(spark, sf_dir):
 
 @register
 def extract_siren(spark, sf_dir):
-    """First digit run of every document's whole text, where it is an identifier."""
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", siren_in_text(F.col("text")).alias("siren")
+    """First digit run where it is an identifier: of every document's whole text, of the text after a
+    spelled identifier, and of a JSON array that lists one before the text."""
+    key = F.lpad(F.col("doc_id").cast("string"), 9, "0")
+    spelled = F.regexp_replace(key, "(\\d{3})(?=\\d)", "$1 ")
+    kind = F.col("doc_id") % 3
+    text = (
+        F.when(kind == 0, F.concat(F.lit("RCS "), spelled, F.lit(", "), F.coalesce("text", F.lit(""))))
+        .when(kind == 1, F.to_json(F.array(F.concat(F.lit("SIREN "), key), F.coalesce("text", F.lit("")))))
+        .otherwise(F.col("text"))
     )
+    return table(spark, sf_dir, "documents").select("doc_id", siren_in_text(text).alias("siren"))
 
 
 @register
@@ -260,6 +269,26 @@ def scd2_markets_nullsafe(spark, sf_dir):
     return market_gold(spark, sf_dir)
 
 
+@register
+def market_duplicates(spark, sf_dir):
+    """Market links passed over because another one has their key; with the applied ones, all rows."""
+    links = validated_markets(spark, sf_dir)
+    return scd2.rejected(links, schemas.MARKET_KEYS, links.columns, "repeated key")
+
+
+@register
+def late_days(spark, sf_dir):
+    """The diff offered again, and as of a day between: what then contradicts the current versions."""
+    rows = clean.clean_establishments(inputs.diff(spark, sf_dir))
+    offered = rows.withColumn("day", F.lit(DAY_2)).unionByName(
+        rows.withColumn("day", F.lit(dt.date(2024, 1, 15)))
+    )
+    gold = establishment_gold(spark, sf_dir)
+    return scd2.late_rows(gold, offered, schemas.ESTABLISHMENT_KEYS, "day").select(
+        "siret", "activite_principale", "day"
+    )
+
+
 def three_days(spark, sf_dir) -> DataFrame:
     """Cleaned establishments of three days, one column ``day``: stock, diff, stock again."""
     days = [(inputs.stock, DAY_1), (inputs.diff, DAY_2), (inputs.stock, DAY_3)]
@@ -298,7 +327,9 @@ def incremental_scd2(spark, sf_dir):
             columns=schemas.BRONZE_ESTABLISHMENT_COLUMNS,
         )
         incremental.establishments_stream(spark, path, f"{root}/checkpoint", gold)
-    return tables.read_table(spark, gold, schemas.GOLD_ESTABLISHMENT)
+    after = settle(tables.read_table(spark, gold, schemas.GOLD_ESTABLISHMENT))
+    spark.sql(f"DROP TABLE {gold}")
+    return after
 
 
 # --- matching --------------------------------------------------------------------------------------
@@ -321,7 +352,9 @@ def backlog(spark, sf_dir):
     """Announcements without a current link, where unresolved links have been closed."""
     announced = silver_announcements(spark, sf_dir)
     closed = F.coalesce(F.col("match_method") == schemas.UNRESOLVED, F.lit(True))
-    links = link_matches(announced, offices(spark, sf_dir)).withColumn("is_current", ~closed)
+    links = link_matches(announced, offices(spark, sf_dir)).withColumns(
+        {"is_current": ~closed, "valid_to": F.when(closed, F.lit(DAY_1))}
+    )
     return match.backlog(announced, links).select("id", "famille_avis")
 
 
@@ -456,46 +489,27 @@ def best_match(spark, sf_dir):
     return match.best_match(match.fuzzy_records(offers))
 
 
-def fuzzy_predictions(spark, sf_dir, model) -> tuple[DataFrame, DataFrame]:
-    """Announcements with a known match, and what linkage alone predicts for them."""
-    announced = silver_announcements(spark, sf_dir)
-    candidates = offices(spark, sf_dir)
-    held_out = evaluate.evaluation_set(announced, match.exact_matches(announced, candidates))
-    left = settle(linkage.prepare_announcements(held_out))
-    right = linkage.prepare_candidates(candidates)
-    vl, vr = settle(linkage.values(left)), settle(linkage.values(right))
-    near = settle(linkage.near_addresses(vl, vr, model or MODEL))
-    if model is None:
-        model = linkage.fit(left, right, left_values=vl, right_values=vr, near=near)
-    best = linkage.best_matches(vl, vr, model, near)
-    named = best.withColumnsRenamed({"name": "denomination_clean", "address": "adresse_clean"})
-    predicted = left.withColumnRenamed("uid", "uid_l").join(
-        named.withColumnRenamed("uid", "uid_r"), ["denomination_clean", "adresse_clean"]
-    )
-    return held_out, match.fuzzy_records(predicted)
-
-
 @register
 def evaluation_set(spark, sf_dir):
-    announced = silver_announcements(spark, sf_dir)
-    exact = match.exact_matches(announced, offices(spark, sf_dir))
-    return evaluate.evaluation_set(announced, exact).select(
-        "id", "commercant", "ville", "true_siret_siege"
-    )
+    blind, truth = evaluate.hold_out(silver_announcements(spark, sf_dir), offices(spark, sf_dir))
+    return blind.join(truth, "id").select("id", "commercant", "ville", "true_siret_siege")
 
 
-def rounded_rates(report: DataFrame) -> DataFrame:
+def measured(spark, sf_dir, model) -> DataFrame:
+    report = evaluate.evaluate_linkage(
+        silver_announcements(spark, sf_dir), offices(spark, sf_dir), model
+    )
     return report.withColumns({c: F.round(c, 9) for c in ("precision", "recall")})
 
 
 @register
 def precision_recall(spark, sf_dir):
-    return rounded_rates(evaluate.precision_recall(*fuzzy_predictions(spark, sf_dir, MODEL)))
+    return measured(spark, sf_dir, MODEL)
 
 
 @register
 def precision_recall_trained(spark, sf_dir):
-    return rounded_rates(evaluate.precision_recall(*fuzzy_predictions(spark, sf_dir, None)))
+    return measured(spark, sf_dir, None)
 
 
 # --- markets ---------------------------------------------------------------------------------------
@@ -521,11 +535,79 @@ def coverage_report(spark, sf_dir):
 
 @register
 def unresolved_composition(spark, sf_dir):
-    silver = settle(inputs.markets(spark, sf_dir))
-    validated = resolve.validate_against_registry(
-        resolve.resolve_markets(silver), inputs.registry(spark, sf_dir)
-    )
-    return resolve.unresolved_composition(validated, silver)
+    return resolve.unresolved_composition(inputs.markets(spark, sf_dir))
+
+
+# --- jobs ------------------------------------------------------------------------------------------
+
+
+def job_tables(spark, run: Callable[[list[str], str], None], layout, result: int) -> DataFrame:
+    """Run a job with tables of its own, return the one at place ``result`` and drop all."""
+    names = [f"job_{uuid.uuid4().hex}" for _ in range(3)]
+    run(names, scratch_path(spark, "job"))
+    after = settle(tables.read_table(spark, names[result], layout))
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return after
+
+
+@register
+def establishments_daily(spark, sf_dir):
+    """The daily job on two days: bronze with rows that lack a key, silver, versioned gold."""
+
+    def run(names, root):
+        for bronze, day in ((inputs.stock, DAY_1), (inputs.diff, DAY_2)):
+            rows = bronze(spark, sf_dir).unionByName(inputs.malformed(spark, sf_dir))
+            daily.establishments_daily(rows, names[0], names[1], day, rejects_root=root)
+
+    return job_tables(spark, run, schemas.GOLD_ESTABLISHMENT, 1)
+
+
+@register
+def announcements_daily(spark, sf_dir):
+    """The daily job: bronze, silver, match records, versioned links; a second run adds nothing."""
+    bronze, candidates = settle(inputs.bronze_announcements(spark, sf_dir)), offices(spark, sf_dir)
+
+    def run(names, root):
+        for day in (DAY_1, DAY_2):
+            daily.announcements_daily(
+                bronze, candidates, names[0], names[1], day, MODEL,
+                matches_table=names[2], rejects_root=root,
+            )
+
+    links = job_tables(spark, run, schemas.GOLD_ANNOUNCEMENT_LINK, 1)
+    return links.withColumn("match_confidence", F.round("match_confidence", 6))
+
+
+@register
+def announcements_stream(spark, sf_dir):
+    """Announcements landed in bronze, picked up by a stream, matched and versioned."""
+    candidates = offices(spark, sf_dir)
+
+    def run(names, root):
+        path = files.write_bronze(
+            inputs.bronze_announcements(spark, sf_dir), root, "announcements", DAY_1,
+            columns=schemas.BRONZE_ANNOUNCEMENT_COLUMNS,
+        )
+        incremental.announcements_stream(
+            spark, path, f"{root}/checkpoint", names[0], names[1], candidates, MODEL
+        )
+
+    links = job_tables(spark, run, schemas.GOLD_ANNOUNCEMENT_LINK, 1)
+    return links.withColumn("match_confidence", F.round("match_confidence", 6))
+
+
+@register
+def markets_daily(spark, sf_dir):
+    """The daily job on one department's year: scope, silver, match records, versioned links."""
+
+    def run(names, root):
+        daily.markets_daily(
+            inputs.bronze_markets(spark, sf_dir), inputs.registry(spark, sf_dir), names[0], names[1],
+            MARKET_DAY, "03", matches_table=names[2], rejects_root=root,
+        )
+
+    return job_tables(spark, run, schemas.GOLD_MARKET_LINK, 1)
 
 
 # --- serving ---------------------------------------------------------------------------------------
@@ -545,7 +627,8 @@ def search(spark, sf_dir):
 
 @register
 def history(spark, sf_dir):
-    return serve.history(establishment_gold(spark, sf_dir), SOME_SIRET)
+    """All versions of an establishment that has changed."""
+    return serve.history(establishment_gold(spark, sf_dir), CHANGED_SIRET)
 
 
 @register
@@ -617,3 +700,36 @@ def dq_market_links(spark, sf_dir):
     """Pairs of market and winner that would be current more than once, were they not deduplicated."""
     links = validated_markets(spark, sf_dir).withColumn("is_current", F.lit(True))
     return quality.one_current(links, schemas.MARKET_KEYS)
+
+
+def seeded_links(spark, sf_dir) -> DataFrame:
+    """Market links of two runs, doubled and contradictory where the winner's type asks for it."""
+    gold = market_gold(spark, sf_dir)
+    open_ended = gold.filter("match_method = 'unresolved'").withColumn(
+        "is_current", F.lit(None).cast("boolean")
+    )
+    closed = gold.filter("match_method = 'unresolved' AND is_current").withColumn(
+        "valid_to", F.lit(DAY_3)
+    )
+    return gold.unionByName(open_ended).unionByName(closed)
+
+
+@register
+def dq_market_versions(spark, sf_dir):
+    """Market links that share key and start day."""
+    return quality.unique_version(seeded_links(spark, sf_dir), schemas.MARKET_KEYS)
+
+
+@register
+def dq_market_flags(spark, sf_dir):
+    """Market links whose flag contradicts their end."""
+    return quality.flag_matches_valid_to(seeded_links(spark, sf_dir), schemas.MARKET_KEYS)
+
+
+@register
+def dq_market_nulls(spark, sf_dir):
+    """Columns of market links that hold NULL where none is allowed, and the identifiers that are allowed to."""
+    return quality.not_null(
+        seeded_links(spark, sf_dir),
+        ["uid", "titulaire_id", "match_method", "valid_from", "is_current"],
+    )

@@ -8,34 +8,35 @@ VERSIONS = "key string, valid_from date, valid_to date, is_current boolean"
 
 
 @pytest.fixture
-def truth(spark):
+def held_out(spark):
     announcements = spark.createDataFrame(
-        [("A1", "n1"), ("A2", "n2"), ("A3", "n3"), ("A9", "n9")], "id string, commercant string"
-    )
-    exact = spark.createDataFrame(
-        [(f"A{n}", "x", f"SIRET{n}", "exact_siren", 1.0) for n in (1, 2, 3)], ANNOUNCEMENT_LINK
+        [("B4", "400", "alder"), ("B5", "500", "birch"), ("B6", "600", "cedar"), ("B7", None, "dogwood"),
+         ("B8", "801", "elm")],
+        "id string, siren_declared string, commercant string",
+    )
+    candidates = spark.createDataFrame(
+        [(s, f"{s}-1") for s in ("400", "500", "600", "700")], "siren string, siret string"
     )
-    return evaluate.evaluation_set(announcements, exact)
+    return evaluate.hold_out(announcements, candidates)
 
 
 def predicted(spark, *pairs):
-    data = [(a, None, s, "splink_fuzzy", 0.9) for a, s in pairs]
+    data = [(a, None, s, "splink_fuzzy", 0.55) for a, s in pairs]
     return spark.createDataFrame(data, ANNOUNCEMENT_LINK)
 
 
-def test_evaluation_set_adds_the_true_office(truth, rows):
-    assert rows(truth, "id", "commercant", "true_siret_siege") == [
-        (f"A{n}", f"n{n}", f"SIRET{n}") for n in (1, 2, 3)
-    ]
+def test_held_out_announcements_are_blind(held_out, rows):
+    blind, truth = held_out
+    assert rows(blind) == [("B4", "alder"), ("B5", "birch"), ("B6", "cedar")]
+    assert rows(truth) == [("B4", "400-1"), ("B5", "500-1"), ("B6", "600-1")]
 
 
-def test_precision_and_recall(spark, truth):
-    report = evaluate.precision_recall(
-        truth, predicted(spark, ("A1", "SIRET1"), ("A2", "WRONG"), ("A7", "SIRET7"))
-    ).first()
-    assert tuple(report) == (3, 2, 1, 0.5, 1 / 3)
+def test_precision_and_recall(spark, held_out):
+    _, truth = held_out
+    guesses = predicted(spark, ("B6", "600-1"), ("B4", "500-1"), ("B5", "500-1"), ("B5", "400-1"), ("C1", "x"))
+    assert tuple(evaluate.precision_recall(truth, guesses).first()) == (3, 4, 2, 0.5, 2 / 3)
     assert tuple(evaluate.precision_recall(truth, predicted(spark)).first()) == (3, 0, 0, 0.0, 0.0)
-    nothing = evaluate.precision_recall(truth.limit(0), predicted(spark, ("A1", "x")))
+    nothing = evaluate.precision_recall(truth.limit(0), predicted(spark, ("B4", "x")))
     assert tuple(nothing.first()) == (0, 0, 0, 0.0, 0.0)
 
 

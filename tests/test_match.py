@@ -1,7 +1,10 @@
+import datetime as dt
+
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.operators import match
-from ledgerline.operators.keys import lookup
+from ledgerline.operators.keys import hot_keys, lookup
 from ledgerline.schemas import ANNOUNCEMENT_LINK
 
 ANNOUNCEMENTS = "id string, siren_declared string, commercant string"
@@ -11,14 +14,14 @@ CANDIDATES = "siren string, siret string"
 @pytest.fixture
 def announcements(spark):
     return spark.createDataFrame(
-        [("A1", "552032534", "x"), ("A2", None, "y"), ("A3", "999999999", "z")], ANNOUNCEMENTS
+        [("A1", "704500001", "x"), ("A2", None, "y"), ("A3", "500000005", "z")], ANNOUNCEMENTS
     )
 
 
 @pytest.fixture
 def candidates(spark):
     return spark.createDataFrame(
-        [("552032534", "55203253400019"), ("732829320", "73282932000014"), (None, "0")], CANDIDATES
+        [("704500001", "70450000100031"), ("861000008", "86100000800027"), (None, "0")], CANDIDATES
     )
 
 
@@ -29,12 +32,12 @@ def links(spark, *data):
 def test_exact_match_and_the_rest(announcements, candidates, rows):
     exact = match.exact_matches(announcements, candidates)
     assert exact.schema.fieldNames() == ANNOUNCEMENT_LINK.fieldNames()
-    assert rows(exact) == [("A1", "552032534", "55203253400019", "exact_siren", 1.0)]
+    assert rows(exact) == [("A1", "704500001", "70450000100031", "exact_siren", 1.0)]
     assert rows(match.unmatched(announcements, exact), "id") == [("A2",), ("A3",)]
 
 
 def test_company_with_several_offices(spark, announcements, rows):
-    offices = spark.createDataFrame([("552032534", "2"), ("552032534", "1")], CANDIDATES)
+    offices = spark.createDataFrame([("704500001", "2"), ("704500001", "1")], CANDIDATES)
     assert rows(match.exact_matches(announcements, offices), match.ID, "siret_siege") == [("A1", "1")]
     every = match.exact_matches(announcements, offices, every_office=True)
     assert rows(every, "siret_siege") == [("1",), ("2",)]
@@ -42,13 +45,13 @@ def test_company_with_several_offices(spark, announcements, rows):
 
 def test_best_match_with_ties(spark, rows):
     predictions = spark.createDataFrame(
-        [("A1", "S1", 0.6), ("A1", "S2", 0.9), ("A2", "S4", 0.7), ("A2", "S3", 0.7)],
+        [("A1", "T8", 0.31), ("A1", "T5", 0.74), ("A2", "T4", 0.52), ("A2", "T3", 0.52)],
         "uid_l string, uid_r string, match_probability double",
     )
     fuzzy = match.fuzzy_records(predictions)
     assert rows(match.best_match(fuzzy)) == [
-        ("A1", None, "S2", "splink_fuzzy", 0.9),
-        ("A2", None, "S3", "splink_fuzzy", 0.7),
+        ("A1", None, "T5", "splink_fuzzy", 0.74),
+        ("A2", None, "T3", "splink_fuzzy", 0.52),
     ]
 
 
@@ -56,13 +59,13 @@ def test_combination_is_completed_with_unresolved(spark, announcements, candidat
     exact = match.exact_matches(announcements, candidates)
     fuzzy = links(
         spark,
-        ("A2", None, "S1", "splink_fuzzy", 0.6),
-        ("A2", None, "S2", "splink_fuzzy", 0.8),
+        ("A2", None, "T1", "splink_fuzzy", 0.47),
+        ("A2", None, "T6", "splink_fuzzy", 0.63),
     )
     out = match.complete_unresolved(announcements, match.combine_matches(exact, fuzzy))
     assert rows(out) == [
-        ("A1", "552032534", "55203253400019", "exact_siren", 1.0),
-        ("A2", None, "S2", "splink_fuzzy", 0.8),
+        ("A1", "704500001", "70450000100031", "exact_siren", 1.0),
+        ("A2", None, "T6", "splink_fuzzy", 0.63),
         ("A3", None, None, "unresolved", None),
     ]
 
@@ -72,19 +75,44 @@ def test_backlog_counts_closed_links_as_missing_and_unresolved_ones_as_done(spar
         [("A1", None, ""), ("A2", None, ""), ("A3", None, ""), ("A4", None, "")], ANNOUNCEMENTS
     )
     gold = spark.createDataFrame(
-        [("A1", "exact_siren", True), ("A2", "splink_fuzzy", False), ("A4", "unresolved", True)],
-        "bodacc_announcement_id string, match_method string, is_current boolean",
+        [
+            ("A1", "exact_siren", None, True),
+            ("A2", "splink_fuzzy", dt.date(2026, 10, 2), False),
+            ("A4", "unresolved", None, True),
+        ],
+        "bodacc_announcement_id string, match_method string, valid_to date, is_current boolean",
     )
     assert rows(match.backlog(announcements, gold), "id") == [("A2",), ("A3",)]
 
 
-def test_lookup_keeps_every_fact_once_with_hot_missing_and_null_keys(spark, rows, monkeypatch):
-    monkeypatch.setattr("ledgerline.operators.keys.HOT_KEYS", 2)
+@pytest.mark.parametrize("share", [2, 4, 500])
+def test_lookup_keeps_every_fact_once_with_hot_missing_and_null_keys(spark, rows, monkeypatch, share):
+    monkeypatch.setattr("ledgerline.operators.keys.HOT_SHARE", share)
     facts = [(i, "hot" if i % 3 == 0 else "warm" if i % 3 == 1 else None) for i in range(60)]
     facts += [(100, "cold"), (101, "unknown")]
     df = spark.createDataFrame(facts, "id long, key string")
     entries = spark.createDataFrame([("hot", 1), ("cold", 2), ("unused", 3)], "k string, value int")
     expected = {"hot": 1, "cold": 2}
-    for small in (0, 1 << 40):
-        out = rows(lookup(df, entries, {"key": "k"}, spread_by="id", small_bytes=small))
-        assert out == sorted(((i, k, expected.get(k)) for i, k in facts), key=repr)
+    out = rows(lookup(df, entries, {"key": "k"}, spread_by="id"))
+    assert out == sorted(((i, k, expected.get(k)) for i, k in facts), key=repr)
+    assert lookup(df.limit(0), entries, {"key": "k"}, spread_by="id").isEmpty()
+
+
+def test_hot_keys_are_those_with_a_share_of_the_rows(spark, rows, monkeypatch):
+    monkeypatch.setattr("ledgerline.operators.keys.HOT_SHARE", 4)
+    keys = ["a"] * 50 + ["b"] * 26 + ["c"] * 24 + [None] * 90
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    assert rows(hot_keys(df, ["k"])) == [("a",), ("b",)]
+
+
+def test_large_entries_are_not_broadcast_because_they_compress_well(spark, tmp_path):
+    """A gigabyte once decoded, in files of a few megabytes."""
+    text = F.concat(F.repeat(F.lit("x"), 2000), F.col("id").cast("string"))
+    spark.range(500_000).select("id", text.alias("text")).write.parquet(str(tmp_path / "entries"))
+    entries = spark.read.parquet(str(tmp_path / "entries"))
+    facts = spark.range(10).withColumnRenamed("id", "key")
+    found = lookup(facts, entries, {"key": "id"}, spread_by="key")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join" in line]
+    assert sum("strategy=broadcast" in line for line in joins) == 2  # the hot keys, twice
+    assert len(joins) == 3

@@ -10,7 +10,6 @@ from ledgerline.schemas import struct_of
 ROW = "uid string, who string, amount double, note string"
 LAYOUT = struct_of(f"{ROW}, valid_from date, valid_to date, is_current boolean")
 KEYS, TRACKED = ["uid", "who"], ["amount"]
-STRATEGIES = ["merge", "broadcast"]
 
 
 def frame(spark, *data):
@@ -27,10 +26,9 @@ def empty(spark):
     return spark.createDataFrame([], LAYOUT)
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_versions(spark, empty, rows, day, strategy):
+def test_versions(spark, empty, rows, day):
     first = [("a", "x", 1.0, "n"), ("b", None, None, "n"), ("c", "x", 3.0, "n"), ("d", "x", 4.0, "n")]
-    gold = apply(spark, empty, first, day(1), strategy=strategy)
+    gold = apply(spark, empty, first, day(1))
     assert rows(gold, "uid", "valid_from", "valid_to", "is_current") == [
         (k, day(1), None, True) for k in "abcd"
     ]
@@ -40,7 +38,7 @@ def test_versions(spark, empty, rows, day, strategy):
         ("c", "x", None, "n"),  # value to NULL
         ("e", "x", 5.0, "n"),  # new; d is absent
     ]
-    gold = apply(spark, gold, second, day(2), strategy=strategy)
+    gold = apply(spark, gold, second, day(2))
     assert rows(gold, "uid", "amount", "note", "valid_from", "valid_to", "is_current") == sorted(
         [
             ("a", 1.0, "n", day(1), None, True),
@@ -53,35 +51,32 @@ def test_versions(spark, empty, rows, day, strategy):
         ],
         key=repr,
     )
-    again = apply(spark, gold, second, day(3), strategy=strategy)
+    again = apply(spark, gold, second, day(3))
     assert rows(again) == rows(gold)
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_joint_award_keeps_both_winners(spark, empty, rows, day, strategy):
+def test_joint_award_keeps_both_winners(spark, empty, rows, day):
     award = [("m", "x", 1.0, "n"), ("m", "y", 1.0, "n")]
-    gold = apply(spark, empty, award, day(1), strategy=strategy)
-    gold = apply(spark, gold, award, day(2), strategy=strategy)
+    gold = apply(spark, empty, award, day(1))
+    gold = apply(spark, gold, award, day(2))
     assert rows(gold, "who", "valid_from", "is_current") == [
         ("x", day(1), True), ("y", day(1), True),
     ]
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_duplicate_input_keys_give_one_version(spark, empty, rows, day, strategy):
-    gold = apply(spark, empty, [("a", "x", 2.0, "n"), ("a", "x", 1.0, "n")], day(1), strategy=strategy)
+def test_duplicate_input_keys_give_one_version(spark, empty, rows, day):
+    gold = apply(spark, empty, [("a", "x", 2.0, "n"), ("a", "x", 1.0, "n")], day(1))
     assert rows(gold, "uid", "amount") == [("a", 1.0)]
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_same_day_rerun(spark, empty, rows, day, strategy):
-    gold = apply(spark, empty, [("a", "x", 1.0, "n")], day(1), strategy=strategy)
+def test_same_day_rerun(spark, empty, rows, day):
+    gold = apply(spark, empty, [("a", "x", 1.0, "n")], day(1))
     changed = [("a", "x", 2.0, "n")]
-    strict = apply(spark, gold, changed, day(1), strategy=strategy)
+    strict = apply(spark, gold, changed, day(1))
     assert rows(strict, "amount", "valid_from", "valid_to") == [
         (1.0, day(1), day(1)), (2.0, day(1), None),
     ]
-    replaced = apply(spark, gold, changed, day(1), strategy=strategy, same_day="replace")
+    replaced = apply(spark, gold, changed, day(1), same_day="replace")
     assert rows(replaced, "amount", "valid_from", "valid_to") == [(2.0, day(1), None)]
     assert quality.unique_version(replaced, KEYS).isEmpty()
 
@@ -90,10 +85,9 @@ def test_several_stored_current_versions_are_all_closed(spark, rows, day):
     gold = spark.createDataFrame(
         [("a", "x", 1.0, "n", day(1), None, True), ("a", "x", 2.0, "n", day(2), None, True)], LAYOUT
     )
-    for strategy in STRATEGIES:
-        out = apply(spark, gold, [("a", "x", 3.0, "n")], day(3), strategy=strategy)
-        closed = out.filter("NOT is_current")
-        assert rows(closed, "amount", "valid_to") == [(1.0, day(3)), (2.0, day(3))]
+    out = apply(spark, gold, [("a", "x", 3.0, "n")], day(3))
+    closed = out.filter("NOT is_current")
+    assert rows(closed, "amount", "valid_to") == [(1.0, day(3)), (2.0, day(3))]
 
 
 def test_touched_only_leaves_older_versions_out(spark, rows, day):
@@ -125,8 +119,8 @@ def edits(seed, days):
 def test_random_edits_keep_the_invariants_and_replay_equals_daily_runs(spark, empty, rows, day, seed):
     by_day = edits(seed, [day(n) for n in range(1, 6)])
     gold = empty
-    for n, (run, data) in enumerate(by_day.items()):
-        gold = apply(spark, gold, data, run, strategy=STRATEGIES[n % 2])
+    for run, data in by_day.items():
+        gold = apply(spark, gold, data, run)
         assert rows(apply(spark, gold, data, run)) == rows(gold)
     assert quality.one_current(gold, KEYS).isEmpty()
     assert quality.unique_version(gold, KEYS).isEmpty()
@@ -175,6 +169,50 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
 def test_input_is_shuffled_once_for_deduplication_and_merge(spark, day):
     gold = spark.createDataFrame([("a", "x", 1.0, "n", day(1), None, True)], LAYOUT)
     incoming = frame(spark, ("a", "x", 2.0, "n"))
-    after = scd2.scd2_apply(gold, incoming, KEYS, TRACKED, day(2), strategy="merge")
+    after = scd2.scd2_apply(gold, incoming, KEYS, TRACKED, day(2))
     plan = after._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2  # one per side
+
+
+def test_applied_and_rejected_rows_are_all_rows(spark, empty, rows, day):
+    rng = random.Random(4)
+    data = [(rng.choice("ab"), rng.choice([None, "x"]), rng.choice([None, 1.0, 2.0]), "n") for _ in range(300)]
+    applied = rows(apply(spark, empty, data, day(1)), "uid", "who", "amount", "note")
+    lost = scd2.rejected(frame(spark, *data), KEYS, ["uid", "who", "amount", "note"], "twice")
+    assert {r.reject_reason for r in lost.collect()} == {"twice"}
+    assert sorted(applied + rows(lost.drop("reject_reason")), key=repr) == sorted(data, key=repr)
+
+
+def test_late_rows_are_those_that_replay_passes_over(spark, rows, day):
+    gold = spark.createDataFrame(
+        [("a", "x", 1.0, "n", day(1), day(5), False), ("a", "x", 2.0, "n", day(5), None, True)], LAYOUT
+    )
+    offered = spark.createDataFrame(
+        [
+            ("a", "x", 9.0, "n", day(3)),  # contradicts what is stored for its day
+            ("a", "x", 1.0, "n", day(2)),  # stored already
+            ("a", "x", 2.0, "n", day(5)),
+            ("b", None, 1.0, "n", day(1)),  # new
+        ],
+        struct_of(f"{ROW}, day date"),
+    )
+    late = scd2.late_rows(gold, offered, KEYS, "day")
+    assert rows(late) == [("a", "x", 9.0, "n", day(3))]
+    after = scd2.scd2_replay(gold, offered, KEYS, TRACKED, "day")
+    assert rows(after.filter("uid = 'a'")) == rows(gold)
+
+
+def test_a_contradictory_row_is_kept(spark, rows, day):
+    gold = spark.createDataFrame(
+        [("a", "x", 1.0, "n", day(1), day(2), True), ("b", "x", 1.0, "n", day(1), None, None)], LAYOUT
+    )
+    out = apply(spark, gold, [("a", "x", 2.0, "n")], day(3))
+    assert [r for r in rows(gold) if r not in rows(out)] == []
+
+
+def test_current_rows_are_one_partition(spark, tmp_path, day):
+    gold = spark.createDataFrame([("a", "x", 1.0, "n", day(1), None, True)], LAYOUT)
+    gold.write.partitionBy("valid_to").parquet(str(tmp_path / "gold"))
+    read = spark.read.schema(LAYOUT).parquet(str(tmp_path / "gold"))
+    plan = scd2.current(read)._jdf.queryExecution().executedPlan().toString()
+    assert "isnull(valid_to" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]

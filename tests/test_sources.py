@@ -13,8 +13,8 @@ from ledgerline.streaming import incremental
 
 HEADER = ",".join(schemas.BRONZE_ESTABLISHMENT_COLUMNS)
 LINES = [
-    "552032534,00019,55203253400019,O,1966-01-01,true,8,RUE,DE LA PAIX,75002,PARIS,70.10Z,A,2023-05-12",
-    "032829320,00014,03282932000014,O,1994-03-15,false,,AV,DES CHAMPS,08000,SEDAN,46.19B,A,2022-11-03",
+    "019000013,00042,01900001300042,O,2001-07-30,true,115,QUAI,DU MOULIN NEUF,01300,BELLEY,16.23Z,A,2024-02-09",
+    "024000021,00031,02400002100031,P,2010-11-05,false,,PL,DU BEFFROI,02100,GAUCHY,56.10A,F,2024-06-17",
 ]
 
 
@@ -24,9 +24,9 @@ def test_csv_bootstrap_keeps_text_and_empty_fields(spark, tmp_path, day):
     landed = daily.bootstrap_establishments(spark, str(path), str(tmp_path / "lake"), day(1))
     assert (tmp_path / "lake/bronze/establishments/stock/ingestion_date=2026-10-01").is_dir()
     out = {r.siret: r for r in files.read_bronze(spark, landed, schemas.BRONZE_ESTABLISHMENT).collect()}
-    assert out["03282932000014"].numeroVoieEtablissement == ""
-    assert out["03282932000014"].codePostalEtablissement == "08000"
-    assert out["55203253400019"].ingestion_date == day(1)
+    assert out["02400002100031"].numeroVoieEtablissement == ""
+    assert out["02400002100031"].codePostalEtablissement == "02100"
+    assert out["01900001300042"].ingestion_date == day(1)
 
 
 def test_csv_with_another_header_is_refused(spark, tmp_path):
@@ -148,7 +148,7 @@ def bronze_establishment(spark, siret, street):
 
 def test_establishments_daily(spark, table_name, day, rows):
     for n, street in ((1, "8"), (2, "10"), (3, "10")):
-        bronze = bronze_establishment(spark, "55203253400019", street)
+        bronze = bronze_establishment(spark, "31400000700025", street)
         daily.establishments_daily(bronze, f"{table_name}_s", table_name, day(n))
     gold = tables.read_table(spark, table_name, schemas.GOLD_ESTABLISHMENT)
     assert rows(gold, "numero_voie", "valid_from", "valid_to", "is_current") == [
@@ -161,7 +161,7 @@ def test_establishments_stream_picks_up_each_file_once(spark, tmp_path, table_na
 
     def land(n, street):
         return files.write_bronze(
-            bronze_establishment(spark, "55203253400019", street), root, "establishments", day(n)
+            bronze_establishment(spark, "31400000700025", street), root, "establishments", day(n)
         )
 
     land(1, "8")
@@ -265,10 +265,10 @@ def test_served_rows_are_checked_counted_and_truncated(spark, day, monkeypatch):
 
     monkeypatch.setattr(type(gold), "observe", observe)
     props = jdbc.jdbc_properties({"POSTGRES_USER": "u", "POSTGRES_PASSWORD": "p"})
-    url = jdbc.jdbc_url({"POSTGRES_HOST": "db"})
+    url = jdbc.jdbc_url({"POSTGRES_HOST": "db", "POSTGRES_SERVING_DB": "shown"})
     assert jdbc.replace_served(gold, url, "t", props, ["k"]) == 2
     assert log["truncate"] == "true" and log["mode"] == "overwrite" and log["table"] == "t"
-    assert log["url"] == "jdbc:postgresql://db:5432/registry"
+    assert log["url"] == "jdbc:postgresql://db:5432/shown"
     assert log["createTableColumnTypes"] == "k TEXT, v DOUBLE PRECISION"
     assert log["properties"]["driver"] == "org.postgresql.Driver"
     with pytest.raises(ValueError, match="valid_to"):

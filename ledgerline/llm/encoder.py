@@ -8,14 +8,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from ledgerline.llm.batches import ragged
 
 #: Distinct words a worker remembers; beyond it the memory starts anew, which costs time only.
 MOST_WORDS = 800_000
-#: Words that are encoded in one call.
-TOGETHER = 1000
 
 SPACE, LETTER, MARK, OTHER = range(4)
 #: Kinds of single bytes. Marks are the ASCII punctuation that occurs in no contraction or special token.
@@ -25,7 +23,8 @@ KINDS[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = LETTER
 KINDS[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = MARK
 #: A Latin-1 letter is this byte and a second one; two of the seconds are signs.
 LATIN, SIGNS = 0xC3, (0x97, 0xB7)
-ONE_PIECE = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[!-&(-;=?@\[-`{}~]+")
+ONE_PIECE = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[!-&(-/:;=?@\[-`{}~]+")
+LATIN_LETTERS = "".join(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))
 
 
 def cut(texts: list[bytes]) -> tuple[pa.BinaryArray, np.ndarray]:
@@ -72,9 +71,13 @@ class WordEncoder:
         both, parts = self._ids(["a\n b."])[0], self._ids(["a", "b."])
         if both != parts[0] + parts[1]:
             raise ValueError(f"{path}: this tokenizer keeps white space")
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # What the tokenizer's byte level makes of letters beyond ASCII.
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {ord(c): level.pre_tokenize_str(c)[0][0] for c in LATIN_LETTERS}
+        probes = ["word", "wordling", "!?", ".", "--", *LATIN_LETTERS.lower(), "\xe9cole", "gr\xf6\xdfe"]
+        self.model = self.tokenizer.model
+        if self._ids(probes) != [self._merged(w.encode()) for w in probes]:
+            raise ValueError(f"{path}: this tokenizer does not merge the bytes of a word")
         self.most_words = most_words
         self._forget()
 
@@ -88,23 +91,17 @@ class WordEncoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _merged(self, word: bytes) -> list[int]:
+        """Ids of one piece by the tokenizer's model alone; nothing has to be normalized or cut."""
+        text = word.decode()
+        return [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.letters))]
+
     def _encoded(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word; plain words go through the tokenizer many at a time and are cut at word ends."""
-        found: list[list[int]] = [[]] * len(words)
-        plain = [i for i, w in enumerate(words) if ONE_PIECE.fullmatch(w)]
-        odd = sorted(set(range(len(words))) - set(plain))
-        for i in range(0, len(plain), TOGETHER):
-            some = plain[i : i + TOGETHER]
-            ids = self._ids([b" ".join([words[k] for k in some]).decode()])[0]
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(some) and cuts[-1] == len(ids):
-                start = 0
-                for k, stop in zip(some, cuts.tolist(), strict=True):
-                    found[k], start = ids[start:stop], stop
-            else:
-                odd += some
-        for k, ids in zip(odd, self._ids([words[k].decode("utf-8", "replace") for k in odd]), strict=True):
-            found[k] = ids
+        """Ids of each word; only words that are not one plain piece go through the whole tokenizer."""
+        found = [self._merged(w) if ONE_PIECE.fullmatch(w) else None for w in words]
+        odd = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(odd, self._ids([words[i].decode("utf-8", "replace") for i in odd]), strict=True):
+            found[i] = ids
         return found
 
     def _learn(self, words: list[bytes]) -> None:

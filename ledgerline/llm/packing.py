@@ -167,8 +167,9 @@ def pack(queues: DataFrame, mixture: Mapping[str | None, int] | None = None, seq
     weights = amounts if mixture is None else [int(mixture.get(name, 0)) for name, _ in totals]
     stretches = schedule(amounts, weights, sequence * window)
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("part", F.col("source").alias("of"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    rows = queues.join(bases.withColumnRenamed("part", "of_part"), (F.col("part") == F.col("of_part")) & F.col("source").eqNullSafe(F.col("of")))
+    # One row per part and source: stored, so that Spark knows its size before it plans the join with the ids.
+    bases = sums.select(F.col("part").alias("of_part"), F.col("source").alias("of"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    rows = queues.join(stored(bases, "queue-bases"), (F.col("part") == F.col("of_part")) & F.col("source").eqNullSafe(F.col("of")))
     rows = rows.select("doc_id", "source", "n_tokens", (F.col("base") + F.col("start_in_part")).alias("start"), "ids")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,12 +4,12 @@ A text is a sequence of tokens (lower-cased words, then one end). A token is cod
 hash of its ending, and as a member of its class. Each bit is predicted by several contexts: counters
 of the training texts, kept in hashed slots by (a) the bits before it, (b) the class of the token before,
 (c) the two classes before, (d) the word before; and (e) an adaptive counter of the text itself. A mixer adds the
-predictions in the logistic domain; its weights are chosen by gates (the bit's place, and whether the word before is known) and
-follow every bit of the text online. An adaptive table refines what the mixer says. The member is coded by
+predictions in the logistic domain; its weights are chosen by a gate (the bit's place) and follow every bit of
+the text online. An adaptive table refines what the mixer says. The member is coded by
 its count within its class, where one further member stands for all unknown words.
 
-Words are numbered within segments of a few megabytes of text. Only a segment's distinct words are joined
-with the counts of the corpus, so a word that is everywhere costs one row per segment.
+Words are numbered within segments of some megabytes of text. Only a segment's distinct words meet
+the counts of the corpus, so a word that is everywhere costs one row per segment.
 """
 
 from __future__ import annotations
@@ -19,15 +19,17 @@ import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain, count
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.window import Window
 
 from ledgerline.llm.batches import LOWER, pieces, texts_of
 from ledgerline.llm.tables import narrow, stored, type_of
@@ -39,7 +41,8 @@ WORD_SLOTS = 1 << 12
 #: Where the counters of each context begin, in slots of one bit's node.
 BEGINS = np.cumsum([0, CLASSES, CLASSES**2, CLASSES**3])
 SLOTS = int(BEGINS[3]) + WORD_SLOTS * CLASSES
-SEGMENT_BYTES = 8 << 20
+#: Text bytes of a segment at most; a longer text is a segment of its own.
+SEGMENT_BYTES = 24 << 20
 
 RATE, LOCAL_RATE, TABLE_RATE = 0.02, 0.05, 0.02
 STEPS = 9
@@ -87,61 +90,88 @@ def segments(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: in
     """
     rows = narrow(docs, key, text)
     documents = f"array<struct<doc_id:{type_of(rows, 'doc_id')},held_out:boolean,n_tokens:bigint,n_bytes:bigint>>"
-    schema = f"kind string, segment bigint, number bigint, term binary, code int, n bigint, n1 bigint, documents {documents}, tokens binary"
+    fields = [("doc_id", to_arrow_type(rows.schema["doc_id"].dataType)), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]
+    types = {
+        "kind": pa.string(), "segment": pa.int64(), "number": pa.int64(), "term": pa.binary(), "code": pa.int32(), "n": pa.int64(),
+        "n1": pa.int64(), "documents": pa.list_(pa.struct(fields)), "tokens": pa.binary(), "codes": pa.binary(),
+    }
 
     def rows_of(kind: str, size: int, **columns: pa.Array) -> pa.RecordBatch:
-        types = {"segment": pa.int64(), "number": pa.int64(), "term": pa.binary(), "code": pa.int32(), "n": pa.int64(), "n1": pa.int64()}
-        out = {"kind": pa.array([kind] * size, pa.string())}
-        out |= {c: columns.get(c, pa.nulls(size, t)) for c, t in types.items()}
-        out["documents"] = columns.get("documents", pa.nulls(size, listed))
-        out["tokens"] = columns.get("tokens", pa.nulls(size, pa.binary()))
-        return pa.RecordBatch.from_pydict(out)
-
-    fields = [("doc_id", to_arrow_type(rows.schema["doc_id"].dataType)), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]
-    listed = pa.list_(pa.struct(fields))
+        out = {c: columns.get(c, pa.nulls(size, t)) for c, t in types.items()}
+        return pa.RecordBatch.from_pydict(out | {"kind": pa.array([kind] * size, pa.string())})
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment = TaskContext.get().partitionId() << 32
-        counters = np.zeros((2, SLOTS), np.int64)
-        for batch in pieces(batches, most=SEGMENT_BYTES):
-            texts = texts_of(batch)
-            words = [[*t.translate(LOWER).split(), b""] for t in texts]
-            lengths = np.fromiter(map(len, words), np.int64, len(words))
-            numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
-            tokens = np.fromiter(map(numbers.__getitem__, chain.from_iterable(words)), np.int64, int(lengths.sum()))
+        number, counters, open_ = TaskContext.get().partitionId() << 32, np.zeros((2, SLOTS), np.int64), Segment()
+        for batch in pieces(batches):
+            size = int(pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0)
+            if open_.n_bytes and open_.n_bytes + size > SEGMENT_BYTES:
+                yield from closed(open_, number)
+                number, open_ = number + 1, Segment()
             out = np.array([held_out(d, folds, fold) for d in batch.column("doc_id").to_pylist()])
-            trained = np.repeat(~out, lengths)
-            codes = np.fromiter(map(code_of, numbers), np.int64, len(numbers))
-            counts = np.bincount(tokens[trained], minlength=len(numbers))
-            firsts = np.cumsum(lengths) - lengths
-            coded = codes[tokens]
-            before, second = _previous(coded, firsts, 1), _previous(coded, firsts, 2)
-            for i in range(0, len(tokens), 1 << 18):  # bounds the slots in memory
-                some = slice(i, i + (1 << 18))
-                use = trained[some]
-                classes = coded[some][use] % CLASSES
-                context = slots_of(before[some][use] % CLASSES, second[some][use] % CLASSES, before[some][use] >> CLASS_BITS)
-                nodes, bits = nodes_of(classes), bits_of(classes)
-                for c in range(context.shape[1]):
-                    at = context[:, c, None] + nodes
-                    counters[1] += np.bincount(at[bits == 1], minlength=SLOTS)
-                    counters[0] += np.bincount(at[bits == 0], minlength=SLOTS)
-            same = pa.array(np.full(len(numbers), segment), pa.int64())
-            directory = pa.StructArray.from_arrays(
-                [batch.column("doc_id"), pa.array(out, pa.bool_()), pa.array(lengths), pa.array([len(t) for t in texts], pa.int64())],
-                ["doc_id", "held_out", "n_tokens", "n_bytes"],
-            )
-            whole = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), directory)
-            yield rows_of("word", len(numbers), segment=same, number=pa.array(np.arange(len(numbers))), term=pa.array(list(numbers), pa.binary()), code=pa.array(codes, pa.int32()), n=pa.array(counts, pa.int64()))
-            yield rows_of("documents", 1, segment=same[:1], documents=whole, tokens=pa.array([tokens.astype("<u4").tobytes()], pa.binary()))
-            segment += 1
+            open_.add(batch.column("doc_id"), texts_of(batch), out, counters)
+        if open_.lengths:
+            yield from closed(open_, number)
         used = np.flatnonzero(counters.sum(axis=0))
         if len(used):
             yield rows_of("counter", len(used), number=pa.array(used), n=pa.array(counters[0, used]), n1=pa.array(counters[1, used]))
 
+    def closed(part: Segment, number: int) -> Iterator[pa.RecordBatch]:
+        lengths, out, tokens = np.concatenate(part.lengths), np.concatenate(part.out), np.concatenate(part.tokens)
+        counts = np.bincount(tokens[np.repeat(~out, lengths)], minlength=len(part.numbers))
+        same = pa.array(np.full(len(counts), number), pa.int64())
+        columns = [pa.concat_arrays(part.ids), pa.array(out, pa.bool_()), pa.array(lengths), pa.array(np.concatenate(part.sizes))]
+        directory = pa.StructArray.from_arrays(columns, names=[name for name, _ in fields])
+        yield rows_of(
+            "documents",
+            1,
+            segment=same[:1],
+            documents=pa.ListArray.from_arrays(pa.array([0, len(lengths)], pa.int32()), directory),
+            tokens=pa.array([tokens.astype("<u4").tobytes()], pa.binary()),
+            codes=pa.array([np.array(part.codes, "<u4").tobytes()], pa.binary()),
+        )
+        words = {"term": pa.array(list(part.numbers), pa.binary()), "code": pa.array(part.codes, pa.int32()), "n": pa.array(counts, pa.int64())}
+        yield rows_of("word", len(counts), segment=same, number=pa.array(np.arange(len(counts))), **words)
+
+    schema = f"kind string, segment bigint, number bigint, term binary, code int, n bigint, n1 bigint, documents {documents}, tokens binary, codes binary"
     return stored(rows.mapInArrow(build, schema), "lm-segments")
 
 
+class Segment:
+    """Documents of a segment as numbers of its words."""
+
+    def __init__(self) -> None:
+        self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.codes: list[int] = []
+        self.ids, self.lengths, self.sizes, self.out, self.tokens, self.n_bytes = [], [], [], [], [], 0
+
+    def add(self, ids: pa.Array, texts: list[bytes], out: np.ndarray, counters: np.ndarray) -> None:
+        """Append documents, and count the bits of those that are not held out."""
+        words = [[*t.translate(LOWER).split(), b""] for t in texts]
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        known = len(self.numbers)
+        tokens = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int32, int(lengths.sum()))
+        self.codes += map(code_of, islice(self.numbers, known, None))
+        self.ids.append(ids)
+        for held, new in ((self.lengths, lengths), (self.sizes, sizes), (self.out, out), (self.tokens, tokens)):
+            held.append(new)
+        self.n_bytes += int(sizes.sum())
+        coded = np.array(self.codes, np.int64)[tokens]
+        firsts = np.cumsum(lengths) - lengths
+        before, second = _previous(coded, firsts, 1), _previous(coded, firsts, 2)
+        trained = np.repeat(~out, lengths)
+        for i in range(0, len(tokens), 1 << 18):  # bounds the slots in memory
+            use = trained[i : i + (1 << 18)]
+            now, last, last2 = (x[i : i + (1 << 18)][use] for x in (coded, before, second))
+            context = slots_of(last % CLASSES, last2 % CLASSES, last >> CLASS_BITS)
+            nodes, bits = nodes_of(now % CLASSES), bits_of(now % CLASSES)
+            for c in range(context.shape[1]):
+                at = context[:, c, None] + nodes
+                first, stop = int(BEGINS[c]), int(BEGINS[c + 1]) if c + 1 < len(BEGINS) else SLOTS
+                both = np.bincount(((at - first) * 2 + bits).ravel(), minlength=2 * (stop - first)).reshape(-1, 2)
+                counters[:, first:stop] += both.T
+
+
 @dataclass(frozen=True)
 class Model:
     """What a text is scored with: of fixed size, whatever the corpus.
@@ -154,7 +184,7 @@ class Model:
     tokens: int
     words: int
 
-    def class_scores(self, codes: np.ndarray, known: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def class_scores(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Log10 probability of the classes of each text's tokens; every text starts from the same mixer.
 
         Texts advance side by side, a token at a time, so that a step is a few operations on arrays. The six bits of a token use
@@ -164,86 +194,83 @@ class Model:
         order = np.argsort(-lengths, kind="stable")
         sizes, firsts = lengths[order], (np.cumsum(lengths) - lengths)[order]
         alive = np.searchsorted(-sizes, -np.arange(1, int(sizes[0]) + 1 if n else 1), "right")
-        total, inputs = np.zeros(n), BEGINS.size + 2
-        weights = np.full((n, 2, CLASS_BITS, inputs), 0.3, np.float32)
-        local = np.full((n, CLASSES), 0.5, np.float32)
+        total, fixed = np.zeros(n), len(BEGINS)
+        weights = np.full((n, CLASS_BITS, fixed + 2), 0.3, np.float32)
+        x = np.ones((n, CLASS_BITS, fixed + 2), np.float32)
+        local = np.full(n * CLASSES, 0.5, np.float32)
         centres = np.arange(STEPS, dtype=np.float32) - STEPS // 2
-        table = np.broadcast_to(1 / (1 + np.exp(-centres)), (n, CLASS_BITS, STEPS)).astype(np.float32)
+        table = np.tile((1 / (1 + np.exp(-centres))).astype(np.float32), n * CLASS_BITS)
+        own_rows = (np.arange(n) * CLASSES)[:, None]
+        table_rows = (np.arange(n) * CLASS_BITS)[:, None] * STEPS + np.arange(CLASS_BITS) * STEPS + STEPS // 2
+        nodes_by, bits_by = nodes_of(np.arange(CLASSES)), bits_of(np.arange(CLASSES)).astype(np.float32)
         before, second = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        gate, places = np.zeros(n, np.int64), np.arange(CLASS_BITS)[None, :]
-        x = np.ones((n, CLASS_BITS, inputs), np.float32)
-        all_nodes, all_bits = nodes_of(np.arange(CLASSES)), bits_of(np.arange(CLASSES)).astype(np.float32)
-        every = np.arange(n)
+        one, edge, least, most = np.float32(1), np.float32(STEPS // 2), np.float32(LEAST), np.float32(1 - LEAST)
+        rate, local_rate, table_rate = np.float32(RATE), np.float32(LOCAL_RATE), np.float32(TABLE_RATE)
         for step, k in enumerate(alive.tolist()):
-            at = firsts[:k] + step
-            code = codes[at]
+            code = codes[firsts[:k] + step]
             classes = code % CLASSES
-            nodes, bits, rows, g = all_nodes[classes], all_bits[classes], every[:k, None], gate[:k]
-            context = slots_of(before[:k] % CLASSES, second[:k] % CLASSES, before[:k] >> CLASS_BITS)
-            inp = x[:k]
-            inp[:, :, : BEGINS.size] = self.stretched[context[:, None, :] + nodes[:, :, None]]
-            own = local[rows, nodes]
-            inp[:, :, BEGINS.size] = np.log(own / (1 - own))
-            w = weights[every[:k], g]
-            dot = np.einsum("kbi,kbi->kb", w, inp)
-            mixed = np.clip(1 / (1 + np.exp(-dot)), LEAST, 1 - LEAST)
-            bucket = np.clip(np.rint(dot).astype(np.int64) + STEPS // 2, 0, STEPS - 1)
-            refined = table[rows, places, bucket]
-            p = (mixed + refined) / 2
-            total[:k] += np.log10(np.where(bits == 1, p, 1 - p).astype(np.float64)).sum(axis=1)
-            weights[every[:k], g] = w + np.float32(RATE) * ((bits - mixed)[:, :, None] * inp)
-            local[rows, nodes] = np.clip(own + np.float32(LOCAL_RATE) * (bits - own), 0.01, 0.99)
-            table[rows, places, bucket] = np.clip(refined + np.float32(TABLE_RATE) * (bits - refined), LEAST, 1 - LEAST)
-            second[:k], before[:k] = before[:k], code
-            gate[:k] = known[at]
+            nodes, bits = nodes_by[classes], bits_by[classes]
+            inputs, w = x[:k], weights[:k]
+            last = before[:k]
+            context = slots_of(last % CLASSES, second[:k] % CLASSES, last >> CLASS_BITS)
+            inputs[:, :, :fixed] = self.stretched.take(context[:, None, :] + nodes[:, :, None])
+            at_own = own_rows[:k] + nodes
+            own = local.take(at_own)
+            inputs[:, :, fixed] = np.log(own / (one - own))
+            dot = np.einsum("kbi,kbi->kb", w, inputs)
+            mixed = np.minimum(np.maximum(one / (one + np.exp(-dot)), least), most)
+            at_table = table_rows[:k] + np.rint(np.minimum(np.maximum(dot, -edge), edge)).astype(np.int64)
+            refined = table.take(at_table)
+            p = (mixed + refined) * np.float32(0.5)
+            total[:k] += np.log10(np.where(bits > 0, p, one - p).astype(np.float64).prod(axis=1))
+            w += (rate * (bits - mixed))[:, :, None] * inputs
+            local[at_own] = np.minimum(np.maximum(own + local_rate * (bits - own), np.float32(0.01)), np.float32(0.99))
+            table[at_table] = refined + table_rate * (bits - refined)
+            second[:k], before[:k] = last, code
         out = np.zeros(n)
         out[order] = total
         return out
 
     def score(self, tokens: np.ndarray, counts: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
         """Known tokens, base score and score of each text, given the counts and codes of the segment's words."""
-        seen, coded = counts[tokens], codes[tokens]
-        owner = np.repeat(np.arange(len(lengths)), lengths)
-        sums = lambda values: np.bincount(owner, values, minlength=len(lengths))
-        base = sums(np.log10((seen + 1) / (self.tokens + self.words + 1)))
-        members = sums(np.log10((seen + 1) / (self.members[coded % CLASSES] + 1)))
-        known = sums(seen > 0).astype(np.int64)
-        return known, base, members + self.class_scores(coded, (seen > 0).astype(np.int64), lengths)
+        owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        sums = lambda values: np.bincount(owner, values[tokens], minlength=len(lengths))
+        base = sums(np.log10((counts + 1) / (self.tokens + self.words + 1)))
+        members = sums(np.log10((counts + 1) / (self.members[codes % CLASSES] + 1)))
+        known = sums(counts > 0).astype(np.int64)
+        return known, base, members + self.class_scores(codes[tokens], lengths)
 
 
-def train(parts: DataFrame, counts: DataFrame) -> Model:
+def train(parts: DataFrame, known: DataFrame) -> Model:
     """Counters of all training texts and the sizes of the classes; the driver gets at most SLOTS and CLASSES rows."""
     slots = parts.where("kind = 'counter'").groupBy("number").agg(F.sum("n").alias("n0"), F.sum("n1").alias("n1")).toPandas()
     seen = np.full((2, SLOTS), 0.4)
     seen[0, slots["number"]] += slots["n0"]
     seen[1, slots["number"]] += slots["n1"]
-    per_class = counts.groupBy((F.col("code") % CLASSES).alias("c")).agg(F.sum("c_train").alias("n"), F.count("*").alias("v")).collect()
+    firsts = known.where("first").groupBy((F.col("code") % CLASSES).alias("class"))
+    per_class = firsts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
     members = np.zeros(CLASSES)
     for r in per_class:
-        members[r["c"]] = r["n"] + r["v"]
+        members[r["class"]] = r["n"] + r["v"]
     return Model(np.log(seen[1] / seen[0]).astype(np.float32), members, sum(r["n"] for r in per_class), sum(r["v"] for r in per_class))
 
 
-def _scorer(sent: Broadcast) -> Callable[[pa.Table], pa.Table]:
-    def score(table: pa.Table) -> pa.Table:
+def _scorer(sent: Broadcast) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def score(documents: pa.Table, known: pa.Table) -> pa.Table:
         model = sent.value
-        number = table.column("number").combine_chunks()
-        words = number.is_valid().to_numpy(zero_copy_only=False)
-        at = number.to_numpy(zero_copy_only=False)[words].astype(np.int64)
-        counts, codes = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        for name, target in (("c", counts), ("code", codes)):
-            target[at] = table.column(name).to_numpy()[words].astype(np.int64)
-        row = int(np.flatnonzero(~words)[0])
-        documents = table.column("documents").combine_chunks()[row].values
-        tokens = np.frombuffer(table.column("tokens")[row].as_py(), "<u4").astype(np.int64)
-        lengths, n_bytes = documents.field("n_tokens").to_numpy(), documents.field("n_bytes").to_numpy()
-        known, base, total = model.score(tokens, counts, codes, lengths)
+        codes = np.frombuffer(documents.column("codes")[0].as_py(), "<u4").astype(np.int64)
+        counts = np.zeros(len(codes), np.int64)
+        counts[known.column("number").to_numpy()] = known.column("c").to_numpy()
+        tokens = np.frombuffer(documents.column("tokens")[0].as_py(), "<u4").astype(np.int32)
+        listed = documents.column("documents").combine_chunks().values
+        lengths, n_bytes = listed.field("n_tokens").to_numpy(), listed.field("n_bytes").to_numpy()
+        n_known, base, total = model.score(tokens, counts, codes, lengths)
         return pa.table(
             {
-                "doc_id": documents.field("doc_id"),
-                "held_out": documents.field("held_out"),
+                "doc_id": listed.field("doc_id"),
+                "held_out": listed.field("held_out"),
                 "n_tokens": lengths,
-                "n_known": known,
+                "n_known": n_known,
                 "train_tokens": np.full(len(lengths), model.tokens, np.int64),
                 "base_score": base,
                 "score": total,
@@ -260,14 +287,15 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int
     Rows may repeat, each is scored. Without training documents every token is unknown.
     """
     parts = segments(docs, key, text, folds, fold)
-    words = parts.where("kind = 'word'")
-    counts = stored(words.where("n > 0").groupBy("term").agg(F.first("code").alias("code"), F.sum("n").alias("c_train")), "word-counts")
-    sent = docs.sparkSession.sparkContext.broadcast(train(parts, counts))
-    known = words.join(counts.select("term", "c_train"), "term", "left").select(
-        "segment", "number", F.coalesce("c_train", F.lit(0)).alias("c"), "code", F.lit(None).cast(parts.schema["documents"].dataType).alias("documents"), F.lit(None).cast("binary").alias("tokens")
-    )
-    whole = parts.where("kind = 'documents'").select(
-        "segment", F.lit(None).cast("bigint").alias("number"), F.lit(None).cast("bigint").alias("c"), F.lit(None).cast("int").alias("code"), "documents", "tokens"
+    # One shuffle of the segments' words: each gets its count in the corpus, and one row of each word is its first.
+    word = Window.partitionBy("term")
+    first = F.row_number().over(word.orderBy(F.desc("n"), "segment")) == 1
+    counted = parts.where("kind = 'word'").select(
+        "segment", "number", "code", F.sum("n").over(word).alias("c"), first.alias("first")
     )
+    known = stored(counted.where("c > 0"), "lm-words")
+    sent = docs.sparkSession.sparkContext.broadcast(train(parts, known))
+    documents = parts.where("kind = 'documents'").select("segment", "documents", "tokens", "codes")
     schema = f"doc_id {type_of(docs, key)}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
-    return known.unionByName(whole).groupBy("segment").applyInArrow(_scorer(sent), schema)
+    both = documents.groupBy("segment").cogroup(known.select("segment", "number", "c").groupBy("segment"))
+    return both.applyInArrow(_scorer(sent), schema)

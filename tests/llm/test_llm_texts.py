@@ -10,7 +10,7 @@ from hashlib import sha256
 
 import numpy as np
 import pytest
-from conftest import ODD
+from llm_cases import ODD
 from pyspark.sql import functions as F
 
 from ledgerline.llm import chat, language, mixing, quality
@@ -145,14 +145,14 @@ def test_class_probabilities_sum_to_one():
     m = model(np.random.default_rng(1))
     beginning = [5, 9 | 3 << 6, 33]
     codes = np.concatenate([[*beginning, c] for c in range(mixing.CLASSES)])
-    logs = m.class_scores(codes, np.ones(len(codes), np.int64), np.full(mixing.CLASSES, 4))
-    alone = m.class_scores(np.array(beginning), np.ones(3, np.int64), np.array([3]))
+    logs = m.class_scores(codes, np.full(mixing.CLASSES, 4))
+    alone = m.class_scores(np.array(beginning), np.array([3]))
     assert (10**logs).sum() == pytest.approx(10 ** alone[0], rel=1e-3)
 
 
 def test_mixing_learns_within_a_text():
     m = mixing.Model(np.zeros(mixing.SLOTS, np.float32), np.ones(mixing.CLASSES), 1, 1)
-    logs = m.class_scores(np.array([7] * 400 + [7] * 40), np.ones(440, np.int64), np.array([400, 40]))
+    logs = m.class_scores(np.array([7] * 440), np.array([400, 40]))
     assert logs[0] / 400 > logs[1] / 40 > -6 * math.log10(2)
 
 

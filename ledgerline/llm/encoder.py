@@ -13,7 +13,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 from ledgerline.llm.batches import ragged
 
 #: Distinct words a worker remembers; beyond it the memory starts anew, which costs time only.
-MOST_WORDS = 800_000
+MOST_WORDS = 500_000
 
 SPACE, LETTER, MARK, OTHER = range(4)
 #: Kinds of single bytes. Marks are the ASCII punctuation that occurs in no contraction or special token.

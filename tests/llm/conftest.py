@@ -3,8 +3,6 @@ import random
 import pytest
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_words string, fingerprint int, segment string, part string, score int"
-#: Ids and texts with nulls, blanks, ties and repeated rows.
-ODD = [(None, None), (None, "x"), (1, None), (2, ""), (3, " \n\t "), (4, "one"), (4, "one"), (4, "two words"), (5, "Ünïcode ÄÖ 42 <|im_end|>"), (6, "a\x00b c")]
 
 
 @pytest.fixture

@@ -5,7 +5,7 @@ third of all rows. What the linkage needs from those pairs is obtained as follow
 
 * Equal (name, address) values are counted once, whatever their number of rows.
 * Pair *counts* per address level come from products of counts per address: equal addresses by an
-  equality join, near ones through shared deletion variants, the rest by subtraction.
+  equality join, near ones through shared segments, the rest by subtraction.
 * The probability of a pair depends only on its two levels, so the levels that reach the threshold
   are known before any pair is formed. Each of them is looked for by the equality it implies: same
   name, or same block and same or near address. Whole blocks meet only for a model that accepts
@@ -200,10 +200,14 @@ def random_pair_counts(
     take_left = min(n_left, ceil(wanted / take_right))
     repeats = min(SAMPLE_PARTS, max(1, round(wanted / (take_left * take_right))))
 
+    def ticket(salt: int) -> Column:
+        # The first 40 bits of a hash that other engines have as well.
+        digest = F.md5(F.concat(F.lit(f"{seed + salt}:"), "uid").cast("binary"))
+        return F.conv(F.substring(digest, 1, 10), 16, 10).cast("long")
+
     def draw(df: DataFrame, take: int, of: int, salt: int) -> DataFrame:
-        ticket = F.pmod(F.xxhash64(F.lit(seed + salt), "uid"), F.lit(1 << 40))
-        drawn = df if take >= of else df.filter(ticket < int((1 << 40) * take / of))
-        part = F.pmod(F.xxhash64(F.lit(seed + salt + 1), "uid"), F.lit(SAMPLE_PARTS))
+        drawn = df if take >= of else df.filter(ticket(salt) < (1 << 40) * take // of)
+        part = F.pmod(ticket(salt + 1), F.lit(SAMPLE_PARTS))
         return drawn.select(
             F.col("denomination_clean").alias("name"),
             F.col("adresse_clean").alias("address"),
@@ -349,7 +353,8 @@ def _compared(
 
     left = with_character_masks(left, "name", "l")
     right = with_character_masks(right, "name_r", "r")
-    left, right, keys = tiles(left, right, keys, ["name", "address"], ["name_r"], tile_rows)
+    spread = [c for c in ("name", "address") if c in left.columns]
+    left, right, keys = tiles(left, right, keys, spread, ["name_r"], tile_rows)
     pairs = left.join(right, keys).filter(F.col("name") != F.col("name_r"))
     if lowest is not None:
         # Unequal names of one block share its whole prefix: a shorter block is the name itself.
@@ -451,9 +456,19 @@ def _other_name(
     lowest = None if levels == 0 else model.name_thresholds[model.same_name - 1 - levels]
     mine = left.select("name", "address", "block")
     if any(a == 0 for _, a in compared):
-        met = _compared(mine, offered, ["block"], model, lowest, tile_rows)
-        met = met.withColumn(
-            "address_level", address_level(F.col("address"), F.col("address_r"), model)
+        # Each pair of distinct names is compared once, however many addresses the names have.
+        names = mine.select("block", "name").distinct()
+        other_names = offered.select("block", "name_r").distinct()
+        pairs = _compared(names, other_names, ["block"], model, lowest, tile_rows)
+        pairs = pairs.filter(F.col("name_level") >= levels).select(
+            "block", "name", "name_r", "name_level"
+        )
+        met = (
+            pairs.join(mine, ["block", "name"])
+            .join(offered, ["block", "name_r"])
+            .withColumn(
+                "address_level", address_level(F.col("address"), F.col("address_r"), model)
+            )
         )
     else:
         wanted = {a for _, a in compared}

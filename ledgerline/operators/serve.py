@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline.operators.match import ID
-from ledgerline.schemas import SERVED_ANNOUNCEMENT
+from ledgerline.schemas import GOLD_ESTABLISHMENT, GOLD_MARKET_LINK, SERVED_ANNOUNCEMENT
 
 SEARCH_LIMIT = 50
 
@@ -27,23 +27,29 @@ def search(establishments: DataFrame, q: str) -> DataFrame:
     wanted = (
         (F.col("siret") == q) | (F.col("siren") == q) | F.col("libelle_commune").ilike(f"%{q}%")
     )
-    return establishments.filter(F.col("is_current") & wanted).orderBy("siret").limit(SEARCH_LIMIT)
+    found = check_contract(establishments, GOLD_ESTABLISHMENT).filter(F.col("is_current") & wanted)
+    return found.orderBy("siret").limit(SEARCH_LIMIT)
 
 
 def history(gold: DataFrame, siret: str) -> DataFrame:
     """All versions of one establishment, oldest first; empty when it is unknown."""
-    return gold.filter(F.col("siret") == siret).orderBy("valid_from")
+    versions = check_contract(gold, GOLD_ESTABLISHMENT)
+    return versions.filter(F.col("siret") == siret).orderBy("valid_from")
 
 
 def announcements_of(served: DataFrame, siret: str) -> DataFrame:
     """Current announcements of an establishment, newest first, undated ones on top."""
-    mine = served.filter((F.col("siret_siege") == siret) & F.col("is_current"))
+    mine = check_contract(served, SERVED_ANNOUNCEMENT).filter(
+        (F.col("siret_siege") == siret) & F.col("is_current")
+    )
     return mine.orderBy(F.col("date_parution").desc_nulls_first())
 
 
 def markets_of(market_links: DataFrame, siret: str) -> DataFrame:
     """Current markets won by an establishment."""
-    mine = market_links.filter((F.col("siret_titulaire") == siret) & F.col("is_current"))
+    mine = check_contract(market_links, GOLD_MARKET_LINK).filter(
+        (F.col("siret_titulaire") == siret) & F.col("is_current")
+    )
     return mine.orderBy("uid", F.col("titulaire_id").asc_nulls_first())
 
 

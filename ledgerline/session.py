@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,7 +59,20 @@ def build_session(
     if provider == "iceberg":
         options |= catalog_options("lakehouse", f"s3a://{env['LAKEHOUSE_BUCKET']}/warehouse")
     options |= conf or {}
-    return SparkSession.builder.appName(app).config(map=options).getOrCreate()
+    spark = SparkSession.builder.appName(app).config(map=options).getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: functions in tasks import it."""
+    context = spark.sparkContext
+    if getattr(context, "_ledgerline_shipped", False):
+        return
+    archive = f"{tempfile.mkdtemp(prefix='ledgerline-code-')}/ledgerline_code"
+    root = Path(__file__).parents[1]
+    context.addPyFile(shutil.make_archive(archive, "zip", root_dir=root, base_dir="ledgerline"))
+    context._ledgerline_shipped = True
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -81,6 +96,13 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a path of ``scratch_path``, on whatever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and read it back from a table in the shared folder.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline.operators.scd2 import current, is_open, new_rows, scd2_apply, scd2_replay
-from ledgerline.session import settle
+from ledgerline.session import discard, scratch_path
 
 
 def ensure_table(
@@ -72,8 +72,12 @@ def replace_partitions(df: DataFrame, table: str, provider: str = "parquet") ->
     rows = df.select(df.sparkSession.table(table).columns)
     if provider == "parquet":
         # Plain files are not swapped atomically: a finished copy in the shared folder means that a
-        # failure while writing loses nothing.
-        settle(rows).write.insertInto(table, overwrite=True)
+        # failure while writing loses nothing. It goes once the table has the rows.
+        path = scratch_path(rows.sparkSession, "swap")
+        rows.write.parquet(path)
+        copy = rows.sparkSession.read.schema(rows.schema).parquet(path)
+        copy.write.insertInto(table, overwrite=True)
+        discard(rows.sparkSession, path)
     else:
         rows.writeTo(table).overwritePartitions()
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas
 from ledgerline.operators import clean, normalize
 from ledgerline.operators.model import LinkageModel
+from ledgerline.session import ship_package
 
 DAY_1, DAY_2, DAY_3 = dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)
 BANKRUPTCY = "Procédures collectives"
@@ -29,6 +30,7 @@ MODEL = LinkageModel(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

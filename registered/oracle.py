@@ -580,3 +580,68 @@ ORACLE["announcements_daily"] = ORACLE["announcements_stream"] = ORACLE["cascade
     "SELECT *, DATE '2024-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current FROM (\n"
     "            SELECT bodacc_announcement_id, siren_bodacc, siret_siege, match_method,\n              match_confidence FROM exact_links",
 ) + ")"
+
+
+# Training: random pairs by hashed tickets, the prior from the rule's pairs, EM as a recursion.
+_TICKET = "CAST('0x' || substr(md5('{salt}:' || uid), 1, 10) AS BIGINT)"
+_BASE = LinkageModel()
+
+
+def _drawn(side: str, take: str, of: str, salt: int) -> str:
+    return f"""
+    SELECT denomination_clean AS name, adresse_clean AS address, {_TICKET.format(salt=salt + 1)} % 64 AS part
+    FROM {side}, takes WHERE {take} >= {of}
+      OR {_TICKET.format(salt=salt)} < CAST(1099511627776 AS HUGEINT) * {take} // {of}"""
+
+
+_TRAINING = f"""
+sizes AS (SELECT (SELECT count(*) FROM open_side) AS nl, (SELECT count(*) FROM right_side) AS nr),
+wanted AS (SELECT *, least(1000000, nl * nr) * 64 AS w FROM sizes),
+first_take AS (SELECT *, least(nl, CAST(floor(sqrt(w)) AS BIGINT) + 1) AS tl FROM wanted),
+right_take AS (SELECT *, least(nr, CAST(ceil(w / tl) AS BIGINT)) AS tr FROM first_take),
+takes AS (SELECT nl, nr, tr, least(nl, CAST(ceil(w / tr) AS BIGINT)) AS tl,
+    least(64, greatest(1, CAST(round_even(w / (least(nl, ceil(w / tr)) * tr), 0) AS BIGINT))) AS repeats
+  FROM right_take),
+drawn_left AS ({_drawn("open_side", "tl", "nl", 42)}),
+drawn_right AS ({_drawn("right_side", "tr", "nr", 52)}),
+shifted AS (
+  SELECT name, address, (part + s) % 64 AS part
+  FROM (SELECT name, address, part, unnest(range(repeats)) AS s FROM drawn_right, takes)),
+random_levels AS (
+  SELECT {name_level("l.name", "r.name")} AS name_level, {address_level("l.address", "r.address")} AS address_level,
+    count(*) AS n
+  FROM drawn_left l JOIN shifted r USING (part) GROUP BY 1, 2),
+us AS (
+  SELECT f AS field, k AS level, CASE WHEN coalesce(sum(n), 0) > 0
+      THEN sum(n) / (SELECT sum(n) FROM random_levels) ELSE 1e-6 END AS u
+  FROM (VALUES ('name'), ('address')) fields(f), range(4) levels(k) LEFT JOIN random_levels
+    ON k = CASE f WHEN 'name' THEN name_level ELSE address_level END GROUP BY 1, 2),
+in_block AS (
+  SELECT {address_level("l.address", "r.address")} AS level, CAST(sum(l.n * r.n) AS DOUBLE) AS c
+  FROM left_open l JOIN right_values r USING (block) GROUP BY 1),
+rule AS (SELECT least((SELECT sum(c) FROM in_block) / 0.7 / (CAST(nl AS DOUBLE) * nr), 1 - 1e-9) AS prior FROM sizes),
+given AS (
+  SELECT list(coalesce(c, 0) ORDER BY us.level) AS c, list(u ORDER BY us.level) AS u, sum(coalesce(c, 0)) AS total
+  FROM us LEFT JOIN in_block ON in_block.level = us.level WHERE field = 'address'),
+em(turn, prior, m, done) AS (
+  SELECT 0, prior, [{", ".join(f"CAST({m!r} AS DOUBLE)" for m in _BASE.m_address)}], false FROM rule
+  UNION ALL
+  SELECT turn + 1, new_prior, new_m, greatest(abs(new_prior - prior),
+      list_max(list_transform(range(1, 5), lambda i: abs(new_m[i] - m[i])))) < 1e-4
+  FROM (
+    SELECT *, least(list_sum(w) / total, 1 - 1e-9) AS new_prior,
+      list_transform(w, lambda x: CASE WHEN x > 0 THEN x / list_sum(w) ELSE 1e-6 END) AS new_m
+    FROM (
+      SELECT em.*, total, list_transform(range(1, 5), lambda i:
+          c[i] * (prior / (1 - prior) * m[i] / u[i]) / (1 + prior / (1 - prior) * m[i] / u[i])) AS w
+      FROM em, given WHERE NOT done AND turn < 25))),
+trained AS (SELECT m FROM em ORDER BY turn DESC LIMIT 1)
+SELECT field, CAST(us.level AS INT) AS level, round(CASE field WHEN 'address' THEN trained.m[us.level + 1]
+    ELSE [{", ".join(f"CAST({m!r} AS DOUBLE)" for m in _BASE.m_name)}][us.level + 1] END, 6) AS m,
+  round(u, 6) AS u, round(prior, 6) AS prior
+FROM us, trained, rule"""
+ORACLE["fuzzy_em_trained"] = (
+    ORACLE["block_counts"].rsplit("SELECT block, l.n AS n_left", 1)[0].rstrip().replace("WITH ", "WITH RECURSIVE ", 1)
+    + ", open_side AS (SELECT * FROM left_side WHERE siren_declared IS NULL), "
+    + _TRAINING
+)

@@ -475,7 +475,8 @@ def fuzzy_em_trained(spark, sf_dir):
         )
         for level, (m, u) in enumerate(zip(ms, us, strict=True))
     ]
-    return spark.createDataFrame(rows, "field string, level int, m double, u double, prior double")
+    frame = spark.createDataFrame(rows, "field string, level int, m double, u double, prior double")
+    return frame.withColumns({c: F.round(c, 6) for c in ("m", "u", "prior")})
 
 
 @register

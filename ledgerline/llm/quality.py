@@ -26,8 +26,9 @@ RULES: dict[str, tuple[int, Callable[[Column], Column]]] = {
     "long_words": (4, lambda m: m["word_chars"] > 25 * m["n_words"]),
     "short_words": (5, lambda m: m["word_chars"] < 2 * m["n_words"]),
     "many_words": (6, lambda m: m["n_words"] > 1_000_000),
+    "echoed_words": (7, lambda m: 10 * m["n_echo_words"] > 3 * m["n_words"]),
 }
-MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_echo_words"]
 
 
 def mask(*names: str) -> int:
@@ -59,8 +60,10 @@ class Policy:
 POLICIES = {
     "v1": Policy(BASE),
     "v2": Policy(BASE | mask("symbols", "repeated_lines"), mask("long_words", "short_words"), 0),
+    # Repeated lines say little about short texts: the rule is still measured, but rejects nothing.
+    "v3": Policy(BASE | mask("symbols", "echoed_words"), mask("long_words", "short_words"), 0),
 }
-CURRENT = "v2"
+CURRENT = "v3"
 
 
 def _repeat_words(found: Column) -> Column:
@@ -92,6 +95,11 @@ def _repeat_words(found: Column) -> Column:
     return F.when(F.size(found) < REPEAT_WINDOW, longs(0)).otherwise(let(let(hashes, windows), repeated))
 
 
+def _echo_words(found: Column) -> Column:
+    """Words that equal the word before them."""
+    return F.size(F.filter(found, lambda w, i: (i > 0) & (F.get(found, i - 1) == w))).cast("bigint")
+
+
 def measured(text: Column | str) -> Column:
     """Measurements of a whole text as a struct of numbers; a null or empty text measures zero everywhere."""
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
@@ -108,6 +116,7 @@ def measured(text: Column | str) -> Column:
                 F.size(kept).cast("bigint").alias("n_lines"),
                 (F.size(kept) - F.size(F.array_distinct(kept))).cast("bigint").alias("n_dup_lines"),
                 _repeat_words(found).alias("n_repeat_words"),
+                _echo_words(found).alias("n_echo_words"),
             ),
         )
 

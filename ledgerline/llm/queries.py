@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from ledgerline.llm import chat, decontaminate, language, mixing, neardup, packing, quality, tokencounts, tokenfile, urlfilter
 from ledgerline.llm.sql import SQL as SQL
 from ledgerline.llm.tables import stored
-from ledgerline.session import scratch_path
+from ledgerline.session import scratch_path, ship_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -59,14 +59,15 @@ repeated AS (
 measured AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
-         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS BIGINT) AS n_echo_words
   FROM texts LEFT JOIN repeated r USING (doc_id)),
 bits AS (
   SELECT *, CAST(CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
               + CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 8 ELSE 0 END
               + CASE WHEN word_chars > 25 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars < 2 * n_words THEN 32 ELSE 0 END
-              + CASE WHEN n_words > 1000000 THEN 64 ELSE 0 END AS BIGINT) AS failed FROM measured)
-SELECT *, (failed & 3) <> 0 AS base_failed, (failed & 63) = 0 AS kept FROM bits
+              + CASE WHEN n_words > 1000000 THEN 64 ELSE 0 END + CASE WHEN 10 * n_echo_words > 3 * n_words THEN 128 ELSE 0 END AS BIGINT) AS failed FROM measured)
+SELECT *, (failed & 3) <> 0 AS base_failed, (failed & 183) = 0 AS kept FROM bits
 """
 
 CHAT_FORMAT = r"""

@@ -32,20 +32,26 @@ MOST_IN_BUCKET = 256
 LEVELS = 3
 
 
-def fingerprint(text: bytes) -> int:
-    """64 bits, each set if it is set in over half the hashes of the shingles; zero without words."""
+def digests(text: bytes, shingle: int) -> list[int]:
+    """64-bit hashes of the shingles of a text's words, in order; a shorter text is one shingle, one without words has none."""
     found = text.translate(LOWER).split()
     if not found:
-        return 0
+        return []
     joined = b" ".join(found)
-    if len(found) < SHINGLE:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        digest = xxhash.xxh64_intdigest
-        spans = zip(starts[: 1 - SHINGLE].tolist(), ends[SHINGLE - 1 :].tolist(), strict=True)
-        hashes = [digest(joined[a:b], SEED) for a, b in spans]
+    if len(found) < shingle:
+        return [xxhash.xxh64_intdigest(joined, SEED)]
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    digest = xxhash.xxh64_intdigest
+    spans = zip(starts[: len(found) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
+    return [digest(joined[a:b], SEED) for a, b in spans]
+
+
+def fingerprint(text: bytes) -> int:
+    """64 bits, each set if it is set in over half the hashes of the shingles; zero without words."""
+    hashes = digests(text, SHINGLE)
+    if not hashes:
+        return 0
     raw = np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8)
     counts = np.zeros(BITS, np.int64)
     for i in range(0, len(raw), 1 << 14):  # keeps the unpacked bits of a long text small

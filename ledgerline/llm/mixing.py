@@ -2,14 +2,14 @@
 
 A text is a sequence of tokens (lower-cased words, then one end). A token is coded as a class of six bits, a
 hash of its ending, and as a member of its class. Each bit is predicted by several contexts: counters
-of the training texts, kept in hashed slots by (a) the bits before it, (b) the class of the token before,
-(c) the two classes before, (d) the word before; and (e) an adaptive counter of the text itself. A mixer adds the
+of the training texts by (a) the bits before it, (b) the class of the token before,
+(c) the two classes before, (d) the word before itself, whatever their number; and (e) an adaptive counter of the text itself. A mixer adds the
 predictions in the logistic domain; its weights are chosen by a gate (the bit's place) and follow every bit of
 the text online. An adaptive table refines what the mixer says. The member is coded by
 its count within its class, where one further member stands for all unknown words.
 
 Words are numbered within segments of some megabytes of text. Only a segment's distinct words meet
-the counts of the corpus, so a word that is everywhere costs one row per segment.
+the counts of the corpus, and the classes that follow it there, so a word that is everywhere costs one row per segment.
 """
 
 from __future__ import annotations
@@ -29,18 +29,17 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.window import Window
 
 from ledgerline.llm.batches import LOWER, pieces, texts_of
 from ledgerline.llm.tables import narrow, stored, type_of
 
 CLASS_BITS = 6
 CLASSES = 1 << CLASS_BITS
-#: Slots of the word before; with the six bits' nodes this fixes the size of all counters.
-WORD_SLOTS = 1 << 12
-#: Where the counters of each context begin, in slots of one bit's node.
-BEGINS = np.cumsum([0, CLASSES, CLASSES**2, CLASSES**3])
-SLOTS = int(BEGINS[3]) + WORD_SLOTS * CLASSES
+#: Where the counters of each context of classes begin, in slots of one bit's node.
+BEGINS = np.cumsum([0, CLASSES, CLASSES**2])
+SLOTS = int(BEGINS[2]) + CLASSES**3
+#: Words whose counters are worked out at a time.
+WORDS_AT_ONCE = 1 << 14
 #: Text bytes of a segment at most; a longer text is a segment of its own.
 SEGMENT_BYTES = 24 << 20
 
@@ -50,8 +49,8 @@ LEAST = 1e-4
 
 
 def code_of(word: bytes) -> int:
-    """Class of a word in the low bits, its slot as a context above."""
-    return zlib.crc32(word[-3:]) % CLASSES | zlib.crc32(word) % WORD_SLOTS << CLASS_BITS
+    """Class of a word."""
+    return zlib.crc32(word[-3:]) % CLASSES
 
 
 def nodes_of(classes: np.ndarray) -> np.ndarray:
@@ -63,10 +62,23 @@ def bits_of(classes: np.ndarray) -> np.ndarray:
     return np.stack([classes >> (CLASS_BITS - 1 - i) & 1 for i in range(CLASS_BITS)], axis=-1)
 
 
-def slots_of(before: np.ndarray, second: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """First counter of each context: nothing, the class before, two classes, the word before."""
+def slots_of(before: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """First counter of each context of classes: nothing, the class before, two classes."""
     zero = np.zeros_like(before)
-    return np.stack([zero + BEGINS[0], BEGINS[1] + before * CLASSES, BEGINS[2] + (second * CLASSES + before) * CLASSES, BEGINS[3] + word * CLASSES], axis=-1)
+    return np.stack([zero + BEGINS[0], BEGINS[1] + before * CLASSES, BEGINS[2] + (second * CLASSES + before) * CLASSES], axis=-1)
+
+
+def following(lists: pa.ListArray) -> np.ndarray:
+    """Log-odds of the bits after each word, by node, from its packed (count, class) pairs; in front a row of a word without any."""
+    out = np.zeros((len(lists) + 1, CLASSES), np.float32)
+    for begin in range(0, len(lists), WORDS_AT_ONCE):
+        part = lists.slice(begin, WORDS_AT_ONCE)
+        values, owner = part.flatten().to_numpy(), np.repeat(np.arange(len(part)), pc.list_value_length(part).to_numpy())
+        counts = np.bincount(owner * CLASSES + values % CLASSES, values >> CLASS_BITS, len(part) * CLASSES)
+        for i in range(CLASS_BITS):
+            seen = counts.reshape(len(part), 2 << i, -1).sum(axis=2) + 0.4
+            out[begin + 1 : begin + 1 + len(part), 1 << i : 2 << i] = np.log(seen[:, 1::2] / seen[:, ::2])
+    return out
 
 
 def _previous(codes: np.ndarray, firsts: np.ndarray, back: int) -> np.ndarray:
@@ -83,7 +95,7 @@ def held_out(doc_id: object, folds: int, fold: int) -> bool:
 
 
 def segments(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, fold: int = 2) -> DataFrame:
-    """Stored: rows of segments' words (with their training counts), of their documents, and of the tasks' bit counters.
+    """Stored: rows of segments' words (with their training counts, and the classes after them as count * CLASSES + class), of their documents, and of the tasks' bit counters.
 
     A null text is empty: an end alone. The documents whose crc32(key) mod ``folds`` is ``fold`` are held out; a null key counts as
     an empty text.
@@ -93,7 +105,7 @@ def segments(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: in
     fields = [("doc_id", to_arrow_type(rows.schema["doc_id"].dataType)), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]
     types = {
         "kind": pa.string(), "segment": pa.int64(), "number": pa.int64(), "term": pa.binary(), "code": pa.int32(), "n": pa.int64(),
-        "n1": pa.int64(), "documents": pa.list_(pa.struct(fields)), "tokens": pa.binary(), "codes": pa.binary(),
+        "n1": pa.int64(), "next": pa.list_(pa.int64()), "documents": pa.list_(pa.struct(fields)), "tokens": pa.binary(), "codes": pa.binary(),
     }
 
     def rows_of(kind: str, size: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -129,10 +141,17 @@ def segments(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: in
             tokens=pa.array([tokens.astype("<u4").tobytes()], pa.binary()),
             codes=pa.array([np.array(part.codes, "<u4").tobytes()], pa.binary()),
         )
-        words = {"term": pa.array(list(part.numbers), pa.binary()), "code": pa.array(part.codes, pa.int32()), "n": pa.array(counts, pa.int64())}
+        # The end of a text is also what stands before its first word.
+        before = np.concatenate([[0], tokens[:-1]])
+        before[np.cumsum(lengths) - lengths] = part.numbers[b""]
+        trained = np.repeat(~out, lengths)
+        pairs, n = np.unique(before[trained].astype(np.int64) * CLASSES + np.array(part.codes)[tokens[trained]], return_counts=True)
+        ends = np.searchsorted(pairs, np.arange(len(counts) + 1) * CLASSES)
+        after = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(n.astype(np.int64) << CLASS_BITS | pairs % CLASSES))
+        words = {"next": after, "term": pa.array(list(part.numbers), pa.binary()), "code": pa.array(part.codes, pa.int32()), "n": pa.array(counts, pa.int64())}
         yield rows_of("word", len(counts), segment=same, number=pa.array(np.arange(len(counts))), **words)
 
-    schema = f"kind string, segment bigint, number bigint, term binary, code int, n bigint, n1 bigint, documents {documents}, tokens binary, codes binary"
+    schema = f"kind string, segment bigint, number bigint, term binary, code int, n bigint, n1 bigint, next array<bigint>, documents {documents}, tokens binary, codes binary"
     return stored(rows.mapInArrow(build, schema), "lm-segments")
 
 
@@ -163,8 +182,8 @@ class Segment:
         for i in range(0, len(tokens), 1 << 18):  # bounds the slots in memory
             use = trained[i : i + (1 << 18)]
             now, last, last2 = (x[i : i + (1 << 18)][use] for x in (coded, before, second))
-            context = slots_of(last % CLASSES, last2 % CLASSES, last >> CLASS_BITS)
-            nodes, bits = nodes_of(now % CLASSES), bits_of(now % CLASSES)
+            context = slots_of(last, last2)
+            nodes, bits = nodes_of(now), bits_of(now)
             for c in range(context.shape[1]):
                 at = context[:, c, None] + nodes
                 first, stop = int(BEGINS[c]), int(BEGINS[c + 1]) if c + 1 < len(BEGINS) else SLOTS
@@ -174,7 +193,7 @@ class Segment:
 
 @dataclass(frozen=True)
 class Model:
-    """What a text is scored with: of fixed size, whatever the corpus.
+    """What every text is scored with, besides the counts and counters of its segment's words: one number per context of classes.
 
     ``stretched`` has the log-odds of each counter, ``members`` the tokens and distinct words of each class in training.
     """
@@ -184,9 +203,11 @@ class Model:
     tokens: int
     words: int
 
-    def class_scores(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def class_scores(self, codes: np.ndarray, lengths: np.ndarray, rows: np.ndarray | None = None, after: np.ndarray | None = None) -> np.ndarray:
         """Log10 probability of the classes of each text's tokens; every text starts from the same mixer.
 
+        ``rows`` has each token's row in ``after``, the log-odds that ``following`` gives; without them no word is known.
+
         Texts advance side by side, a token at a time, so that a step is a few operations on arrays. The six bits of a token use
         weights and table rows of their own, and can be taken together.
         """
@@ -195,8 +216,11 @@ class Model:
         sizes, firsts = lengths[order], (np.cumsum(lengths) - lengths)[order]
         alive = np.searchsorted(-sizes, -np.arange(1, int(sizes[0]) + 1 if n else 1), "right")
         total, fixed = np.zeros(n), len(BEGINS)
-        weights = np.full((n, CLASS_BITS, fixed + 2), 0.3, np.float32)
-        x = np.ones((n, CLASS_BITS, fixed + 2), np.float32)
+        if rows is None or after is None:
+            rows, after = np.zeros(len(codes), np.int64), np.zeros((1, CLASSES), np.float32)
+        word = rows[firsts + lengths[order] - 1]
+        weights = np.full((n, CLASS_BITS, fixed + 3), 0.3, np.float32)
+        x = np.ones((n, CLASS_BITS, fixed + 3), np.float32)
         local = np.full(n * CLASSES, 0.5, np.float32)
         centres = np.arange(STEPS, dtype=np.float32) - STEPS // 2
         table = np.tile((1 / (1 + np.exp(-centres))).astype(np.float32), n * CLASS_BITS)
@@ -207,16 +231,16 @@ class Model:
         one, edge, least, most = np.float32(1), np.float32(STEPS // 2), np.float32(LEAST), np.float32(1 - LEAST)
         rate, local_rate, table_rate = np.float32(RATE), np.float32(LOCAL_RATE), np.float32(TABLE_RATE)
         for step, k in enumerate(alive.tolist()):
-            code = codes[firsts[:k] + step]
-            classes = code % CLASSES
+            classes = codes[firsts[:k] + step] % CLASSES
             nodes, bits = nodes_by[classes], bits_by[classes]
             inputs, w = x[:k], weights[:k]
             last = before[:k]
-            context = slots_of(last % CLASSES, second[:k] % CLASSES, last >> CLASS_BITS)
+            context = slots_of(last, second[:k])
             inputs[:, :, :fixed] = self.stretched.take(context[:, None, :] + nodes[:, :, None])
             at_own = own_rows[:k] + nodes
             own = local.take(at_own)
             inputs[:, :, fixed] = np.log(own / (one - own))
+            inputs[:, :, fixed + 1] = after.take(word[:k, None] * CLASSES + nodes)
             dot = np.einsum("kbi,kbi->kb", w, inputs)
             mixed = np.minimum(np.maximum(one / (one + np.exp(-dot)), least), most)
             at_table = table_rows[:k] + np.rint(np.minimum(np.maximum(dot, -edge), edge)).astype(np.int64)
@@ -226,19 +250,64 @@ class Model:
             w += (rate * (bits - mixed))[:, :, None] * inputs
             local[at_own] = np.minimum(np.maximum(own + local_rate * (bits - own), np.float32(0.01)), np.float32(0.99))
             table[at_table] = refined + table_rate * (bits - refined)
-            second[:k], before[:k] = last, code
+            second[:k], before[:k], word[:k] = last, classes, rows[firsts[:k] + step]
         out = np.zeros(n)
         out[order] = total
         return out
 
-    def score(self, tokens: np.ndarray, counts: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Known tokens, base score and score of each text, given the counts and codes of the segment's words."""
+    def score(self, tokens: np.ndarray, counts: np.ndarray, codes: np.ndarray, lengths: np.ndarray, rows: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Known tokens, base score and score of each text, given the counts, codes and rows of the segment's words."""
         owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         sums = lambda values: np.bincount(owner, values[tokens], minlength=len(lengths))
         base = sums(np.log10((counts + 1) / (self.tokens + self.words + 1)))
-        members = sums(np.log10((counts + 1) / (self.members[codes % CLASSES] + 1)))
+        members = sums(np.log10((counts + 1) / (self.members[codes] + 1)))
         known = sums(counts > 0).astype(np.int64)
-        return known, base, members + self.class_scores(codes[tokens], lengths)
+        return known, base, members + self.class_scores(codes[tokens], lengths, rows[tokens], after)
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of words known in training, with what their words have in the whole corpus; rows arrive sorted by term."""
+
+    def begins(rows: pa.RecordBatch) -> np.ndarray:
+        term = rows.column("term")
+        return np.concatenate([[True], pc.not_equal(term.slice(1), term.slice(0, len(term) - 1)).to_numpy(zero_copy_only=False)])
+
+    def counted(rows: pa.RecordBatch) -> pa.RecordBatch:
+        first = begins(rows)
+        of, starts, lists = np.cumsum(first) - 1, np.flatnonzero(first), rows.column("next")
+        c = np.add.reduceat(rows.column("n").to_numpy(), starts)
+        values, owner = lists.flatten().to_numpy(), np.repeat(of, pc.list_value_length(lists).to_numpy())
+        pairs, at = np.unique(owner * CLASSES + values % CLASSES, return_inverse=True)
+        sums = np.bincount(at, values >> CLASS_BITS, len(pairs)).astype(np.int64)
+        ends = np.searchsorted(pairs, np.arange(len(starts) + 1) * CLASSES)
+        totals = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sums << CLASS_BITS | pairs % CLASSES))
+        known = np.flatnonzero(c[of] > 0)
+        kept = rows.select(["segment", "number", "code"]).take(pa.array(known))
+        more = {"c": pa.array(c[of[known]]), "first": pa.array(first[known]), "next": totals.take(pa.array(of[known]))}
+        return pa.RecordBatch.from_pydict({**dict(zip(kept.schema.names, kept.columns, strict=True)), **more})
+
+    held = None
+    for batch in batches:
+        rows = batch if held is None else pa.concat_batches([held, batch])
+        if not rows.num_rows:
+            continue
+        # The last term may go on in the next batch; it has a row per segment at most.
+        stop = int(np.flatnonzero(begins(rows))[-1])
+        if stop:
+            yield counted(rows.slice(0, stop))
+        held = rows.slice(stop)
+    if held is not None:
+        yield counted(held)
+
+
+def known_words(parts: DataFrame) -> DataFrame:
+    """Stored: rows (segment, number, code, c, first, next) of all words that training has; one row of each word is its first.
+
+    One shuffle of the segments' words gives each its count in the corpus and those of the classes after it.
+    """
+    words = parts.where("kind = 'word'").select("term", "segment", "number", "code", "n", "next")
+    dealt = words.repartition("term").sortWithinPartitions("term", F.desc("n"), "segment")
+    return stored(dealt.mapInArrow(_totals, "segment bigint, number bigint, code int, c bigint, first boolean, next array<bigint>"), "lm-words")
 
 
 def train(parts: DataFrame, known: DataFrame) -> Model:
@@ -247,7 +316,7 @@ def train(parts: DataFrame, known: DataFrame) -> Model:
     seen = np.full((2, SLOTS), 0.4)
     seen[0, slots["number"]] += slots["n0"]
     seen[1, slots["number"]] += slots["n1"]
-    firsts = known.where("first").groupBy((F.col("code") % CLASSES).alias("class"))
+    firsts = known.where("first").groupBy(F.col("code").alias("class"))
     per_class = firsts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
     members = np.zeros(CLASSES)
     for r in per_class:
@@ -264,7 +333,10 @@ def _scorer(sent: Broadcast) -> Callable[[pa.Table, pa.Table], pa.Table]:
         tokens = np.frombuffer(documents.column("tokens")[0].as_py(), "<u4").astype(np.int32)
         listed = documents.column("documents").combine_chunks().values
         lengths, n_bytes = listed.field("n_tokens").to_numpy(), listed.field("n_bytes").to_numpy()
-        n_known, base, total = model.score(tokens, counts, codes, lengths)
+        rows = np.zeros(len(codes), np.int64)
+        rows[known.column("number").to_numpy()] = np.arange(1, known.num_rows + 1)
+        after = following(known.column("next").combine_chunks())
+        n_known, base, total = model.score(tokens, counts, codes, lengths, rows, after)
         return pa.table(
             {
                 "doc_id": listed.field("doc_id"),
@@ -287,15 +359,9 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int
     Rows may repeat, each is scored. Without training documents every token is unknown.
     """
     parts = segments(docs, key, text, folds, fold)
-    # One shuffle of the segments' words: each gets its count in the corpus, and one row of each word is its first.
-    word = Window.partitionBy("term")
-    first = F.row_number().over(word.orderBy(F.desc("n"), "segment")) == 1
-    counted = parts.where("kind = 'word'").select(
-        "segment", "number", "code", F.sum("n").over(word).alias("c"), first.alias("first")
-    )
-    known = stored(counted.where("c > 0"), "lm-words")
+    known = known_words(parts)
     sent = docs.sparkSession.sparkContext.broadcast(train(parts, known))
     documents = parts.where("kind = 'documents'").select("segment", "documents", "tokens", "codes")
     schema = f"doc_id {type_of(docs, key)}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
-    both = documents.groupBy("segment").cogroup(known.select("segment", "number", "c").groupBy("segment"))
+    both = documents.groupBy("segment").cogroup(known.select("segment", "number", "c", "next").groupBy("segment"))
     return both.applyInArrow(_scorer(sent), schema)

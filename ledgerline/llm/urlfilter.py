@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.native import let
 from ledgerline.llm.tables import stored
 
-#: Largest filter that is put into a plan. A list that needs more is looked up by ``listed_by_join``.
+#: Largest filter that is put into a plan. A list that needs more is refused; its caller may use ``listed_by_join``.
 MOST_BYTES = 8 << 20
 #: Bits per key at the first level and at all others, and the hashes that suit them.
 FIRST, LATER = (10, 7), (3, 2)

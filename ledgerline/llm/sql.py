@@ -84,9 +84,23 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM sized GROUP BY conv_id
 """
 
+LINE_DEDUP = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+each AS (
+  SELECT doc_id, i, lines[i] AS line,
+         translate(trim(lines[i], concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM texts)),
+shared AS (SELECT k, max(doc_id) AS keeper FROM each WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+judged AS (SELECT e.*, s.k IS NOT NULL AND e.doc_id <> s.keeper AS lost FROM each e LEFT JOIN shared s ON s.k = e.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 SQL = {
     "op1_decontamination": DECONTAMINATION,
     "op2_url_filter": URL_FILTER,
     "op3_quality_rules": QUALITY_RULES,
     "op9_chat_format": CHAT_FORMAT,
+    "op12_line_dedup": LINE_DEDUP,
 }

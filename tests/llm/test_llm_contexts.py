@@ -6,6 +6,7 @@ from collections import Counter
 from itertools import product
 
 from ledgerline.llm import mixing
+from ledgerline.llm.tables import stored
 
 TRAINED = [i for i in range(200) if not mixing.held_out(i, 7, 2)]
 HELD = [i for i in range(200) if mixing.held_out(i, 7, 2)]
@@ -33,7 +34,7 @@ def test_contexts_are_counted_over_all_segments(spark, documents, monkeypatch):
             words = ["", *t.split(), ""]
             for a, b in zip(words, words[1:]):
                 want.setdefault(a, Counter())[mixing.code_of(b.encode())] += 1
-    parts = mixing.segments(documents(rows).repartition(5)).localCheckpoint()
+    parts = stored(mixing.segments(documents(rows).repartition(5)), "segments")
     terms = {(r["segment"], r["number"]): bytes(r["term"]).decode() for r in parts.where("kind = 'word'").collect()}
     known = mixing.known_words(parts).collect()
     assert {terms[r["segment"], r["number"]] for r in known} == set(want)

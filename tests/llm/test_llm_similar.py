@@ -1,12 +1,12 @@
-"""Near-duplicates of the pipeline: similarity 0.8 of five-word shingles."""
+"""Near-duplicates by a similarity of 0.8 of five-word shingles."""
 
 import random
 
 import numpy as np
 import pyarrow as pa
 
-import corpus_pipeline
 from ledgerline.llm import similar
+from ledgerline.llm.tables import stored
 from llm_cases import ODD
 
 
@@ -57,21 +57,21 @@ def test_survivors_equal_brute_force(spark, documents):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == sorted(best.values())
 
 
-def test_the_stage_drops_planted_near_copies(spark, documents):
+def test_planted_near_copies_are_dropped(spark, documents):
     rng = random.Random(3)
     texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(300)) for _ in range(40)]
     near = [edited(rng, t, 5) for t in texts]
     far = [edited(rng, t, 60) for t in texts]
     docs = documents(list(enumerate(texts + near + far)))
-    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == {*range(40), *range(80, 120)}
+    assert {r["doc_id"] for r in similar.survivors(docs).collect()} == {*range(40), *range(80, 120)}
 
 
 def test_a_large_group_makes_few_pairs(spark, documents):
     rng = random.Random(5)
     base = " ".join(f"w{i}" for i in range(200))
     docs = documents([(i, edited(rng, base, 2)) for i in range(400)])
-    nodes = similar.sketches(docs).dropDuplicates(["same"]).localCheckpoint()
-    found = similar.links(nodes, docs).localCheckpoint()
+    nodes = stored(similar.sketches(docs).dropDuplicates(["same"]), "nodes")
+    found = stored(similar.links(nodes, docs), "links")
     assert found.count() < 40 * 400
     assert similar.components(found).count() == nodes.count() - 1
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, decontaminate, language, linededup, mixing, neardup, packing, quality, tokencounts, tokenfile, urlfilter
+from ledgerline.llm import chat, decontaminate, language, linededup, mixing, neardup, packing, prefixtrie, quality, tokencounts, tokenfile, urlfilter
 from ledgerline.llm.sql import SQL as SQL
 from ledgerline.llm.tables import stored
 from ledgerline.session import scratch_path, ship_package
@@ -86,6 +86,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(*prefixtrie.families(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,5 +104,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chat_format,
         op10_packing,
         op12_line_dedup,
+        op13_prefix_trie,
     )
 }

@@ -97,10 +97,46 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+PREFIX_TRIE = r"""
+WITH RECURSIVE steps(b, k, v) AS (
+  SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(v ORDER BY b) AS t FROM steps WHERE k = 8),
+own AS (
+  SELECT CAST(conv_id AS BIGINT) AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS o
+  FROM conversations WHERE conv_id IS NOT NULL),
+sized AS (SELECT c, count(*) AS n, c - c % 20 AS base FROM own GROUP BY c),
+drawn AS (
+  SELECT c, n, base, xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                                     lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 4 AS h
+  FROM sized, crc),
+planned AS (SELECT d.*, least(d.h, coalesce(s.n, 0)) AS taken FROM drawn d LEFT JOIN sized s ON s.c = d.base),
+turns AS (
+  SELECT c, o - h + taken AS i, role, text FROM own JOIN planned USING (c) WHERE o >= h
+  UNION ALL SELECT p.c, o, role, text FROM own JOIN planned p ON own.c = p.base AND o < p.taken),
+totals AS (SELECT p.c, count(t.i) AS n FROM planned p LEFT JOIN turns t ON t.c = p.c GROUP BY p.c),
+below AS (
+  SELECT c, i + 1 AS depth, sha256(string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY c ORDER BY i)) AS k,
+         len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS w FROM turns),
+paths AS (SELECT c, 0 AS depth, '' AS k, 0 AS w FROM totals UNION ALL SELECT * FROM below),
+linked AS (SELECT *, lag(k) OVER (PARTITION BY c ORDER BY depth) AS up FROM paths),
+nodes AS (SELECT k, min(c) AS conv_id, min(depth) AS depth, min(up) AS up, count(*) AS n_convs, min(w) AS w FROM linked GROUP BY k),
+kids AS (SELECT up AS k, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY up),
+sums AS (
+  SELECT a.k, count(*) FILTER (kids.n IS NULL) AS n_leaves, sum((d.n_convs - 1) * d.w) AS saved
+  FROM nodes d LEFT JOIN kids ON kids.k = d.k JOIN paths a ON a.c = d.conv_id AND a.depth <= d.depth GROUP BY a.k),
+ends AS (SELECT k, string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c) AS ids FROM paths p JOIN totals t ON t.c = p.c AND t.n = p.depth GROUP BY k)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children, s.n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n LEFT JOIN nodes u ON u.k = n.up LEFT JOIN kids ON kids.k = n.k JOIN sums s ON s.k = n.k LEFT JOIN ends e ON e.k = n.k
+"""
+
 SQL = {
     "op1_decontamination": DECONTAMINATION,
     "op2_url_filter": URL_FILTER,
     "op3_quality_rules": QUALITY_RULES,
     "op9_chat_format": CHAT_FORMAT,
     "op12_line_dedup": LINE_DEDUP,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.llm.native import longs
-from ledgerline.llm.tables import stored, words
+from ledgerline.llm.tables import stored, with_place, words
 
 #: Turns of a conversation over which a running sum is formed at once; longer ones are summed chunk by chunk.
 CHUNK = 4096
@@ -56,13 +56,7 @@ def numbered(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     ).where("conv_id IS NOT NULL")
     order = ["conv_id", F.col("turn").asc_nulls_first(), "role"]
     dealt = named.repartitionByRange(*order, F.substring("text", 1, 64)).sortWithinPartitions(*order, "text")
-    marked = stored(dealt.select("conv_id", "role", "text", F.monotonically_increasing_id().alias("mark")), "turns-in-order")
-    part, within = F.shiftrightunsigned("mark", 33), F.col("mark").bitwiseAND(longs((1 << 33) - 1))
-    # One row per partition.
-    sizes = marked.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), longs(0))
-    offsets = F.broadcast(sizes.select("part", before.alias("before")))
-    placed = marked.withColumn("part", part).join(offsets, "part").select("conv_id", "role", "text", (F.col("before") + within).alias("place"))
+    placed = with_place(dealt.select("conv_id", "role", "text"))
     first = placed.groupBy("conv_id").agg(F.min("place").alias("first"))
     return placed.join(first, "conv_id").select("conv_id", (F.col("place") - F.col("first")).alias("ordinal"), "role", "text")
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, decontaminate, language, linededup, mixing, neardup, packing, prefixtrie, quality, tokencounts, tokenfile, urlfilter
+from ledgerline.llm import chat, decontaminate, hardneg, language, linededup, mixing, neardup, packing, prefixtrie, quality, tokencounts, tokenfile, urlfilter
 from ledgerline.llm.sql import SQL as SQL
 from ledgerline.llm.tables import stored
 from ledgerline.session import scratch_path, ship_package
@@ -82,6 +82,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(queues)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hardneg.mislabelled(table(spark, sf_dir, "embeddings"))
+    return hardneg.mined(rows, hardneg.every_hundredth)
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_digest(table(spark, sf_dir, "documents"))
 
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_files,
         op9_chat_format,
         op10_packing,
+        op11_hard_negatives,
         op12_line_dedup,
         op13_prefix_trie,
     )

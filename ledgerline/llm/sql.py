@@ -132,11 +132,32 @@ SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(kids
 FROM nodes n LEFT JOIN nodes u ON u.k = n.up LEFT JOIN kids ON kids.k = n.k JOIN sums s ON s.k = n.k LEFT JOIN ends e ON e.k = n.k
 """
 
+HARD_NEGATIVES = r"""
+WITH numbered AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM numbered a JOIN numbered b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
 SQL = {
     "op1_decontamination": DECONTAMINATION,
     "op2_url_filter": URL_FILTER,
     "op3_quality_rules": QUALITY_RULES,
     "op9_chat_format": CHAT_FORMAT,
+    "op11_hard_negatives": HARD_NEGATIVES,
     "op12_line_dedup": LINE_DEDUP,
     "op13_prefix_trie": PREFIX_TRIE,
 }

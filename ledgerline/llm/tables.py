@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.session import scratch_path
 
@@ -15,6 +16,21 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_place(ordered: DataFrame, name: str = "place") -> DataFrame:
+    """Rows that are dealt out and sorted in their order, with their place in the whole of it, from 0.
+
+    The rows are stored; a place is the rows of earlier partitions (one sum each) plus those before it in its own.
+    """
+    marked = stored(ordered.withColumn("_mark", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftrightunsigned("_mark", 33)
+    sizes = marked.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = F.broadcast(sizes.select("_part", before.alias("_before")))
+    within = F.col("_mark").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = marked.withColumn("_part", part).join(offsets, "_part")
+    return placed.select(*ordered.columns, (F.col("_before") + within).alias(name))
+
+
 def narrow(df: DataFrame, key: str = "doc_id", text: str = "text", **more: str) -> DataFrame:
     """Only the columns an operator reads, under fixed names, so that others cannot clash with its own."""
     return df.select(df[key].alias("doc_id"), df[text].alias("text"), *(df[c].alias(n) for n, c in more.items()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, language, packing, quality, similar
+from ledgerline.llm import decontaminate, language, neardup, packing, quality
 from ledgerline.llm.queries import TOKENIZER
 from ledgerline.llm.tables import free_name, version, without
 from ledgerline.session import scratch_path, ship_package
@@ -31,8 +31,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts whose five-word shingles overlap by 0.8 or more: the one with the smallest doc_id."""
-    return similar.survivors(docs)
+    """One document of each group that fingerprints of three-word shingles link within three bits: the one with the smallest doc_id."""
+    return neardup.survivors(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

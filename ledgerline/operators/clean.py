@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline import schemas
-from ledgerline.operators.keys import dedup
+from ledgerline.operators.keys import dedup, duplicates
 
 DAY = "yyyy-MM-dd"
 
@@ -41,6 +41,11 @@ MARKET_SOURCES = {
 }
 
 
+#: Text columns that hold calendar days.
+ESTABLISHMENT_DAYS = ["dateCreationEtablissement", "dateDernierTraitementEtablissement"]
+ANNOUNCEMENT_DAYS = ["dateparution"]
+
+
 def has_key(key: str) -> Column:
     return F.col(key).isNotNull() & (F.col(key) != "")
 
@@ -72,6 +77,19 @@ def clean_establishments(bronze: DataFrame, per: Sequence[str] = ()) -> DataFram
     return typed(kept, schemas.SILVER_ESTABLISHMENT, ESTABLISHMENT_SOURCES, per)
 
 
+def repeated_establishments(bronze: DataFrame) -> DataFrame:
+    """Rows that ``clean_establishments`` leaves out for another one of their ``siret``, with a reason."""
+    latest = ["dateDernierTraitementEtablissement"]
+    twice = duplicates(bronze.filter(has_key("siret")), ["siret"], latest)
+    return twice.withColumn("reject_reason", F.lit("repeated siret"))
+
+
+def repeated_announcements(bronze: DataFrame) -> DataFrame:
+    """Rows that ``clean_announcements`` leaves out for another one of their ``id``, with a reason."""
+    twice = duplicates(bronze.filter(has_key("id")), ["id"])
+    return twice.withColumn("reject_reason", F.lit("repeated id"))
+
+
 def clean_announcements(bronze: DataFrame) -> DataFrame:
     """One typed row per announcement ``id``."""
     kept = dedup(bronze.filter(has_key("id")), ["id"])
@@ -85,6 +103,18 @@ def clean_markets(bronze: DataFrame) -> DataFrame:
     return silver.withColumn(kind, F.upper(kind))
 
 
+def unreadable_days(bronze: DataFrame, days: Sequence[str]) -> DataFrame:
+    """Rows that lose a value when they are typed, because a column of ``days`` holds text that is no calendar day."""
+
+    def lost(name: str) -> Column:
+        value = F.col(name)
+        return value.isNotNull() & (value != "") & F.try_to_date(value, DAY).isNull()
+
+    named = [F.when(lost(name), F.lit(f"unreadable {name}")) for name in days]
+    marked = bronze.withColumn("reject_reason", F.concat_ws(", ", *named))
+    return marked.filter("reject_reason <> ''")
+
+
 def split_rejects(
     bronze: DataFrame, key: str, days: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:

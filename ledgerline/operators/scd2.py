@@ -115,6 +115,17 @@ def _versions(
     )
 
 
+def undo_day(gold: DataFrame, day: dt.date) -> DataFrame:
+    """Gold as it was before the run of ``day``, which is the last one: its versions are gone, what it closed is open."""
+    closed = F.col("valid_to") == F.lit(day)
+    columns = {
+        "valid_to": F.when(closed, None).otherwise(F.col("valid_to")),
+        "is_current": F.coalesce(closed, F.lit(False)) | F.col("is_current"),
+    }
+    before = gold.filter(F.col("valid_from").isNull() | (F.col("valid_from") != F.lit(day)))
+    return before.select([columns.get(c, F.col(c)).alias(c) for c in gold.columns])
+
+
 def scd2_replay(
     gold: DataFrame,
     incoming: DataFrame,
@@ -170,16 +181,53 @@ def late_rows(gold: DataFrame, incoming: DataFrame, keys: Sequence[str], day: st
     A row that says what a stored version of its day says is no news, and not late: a batch that is
     offered again has none.
     """
-    names, payload = key_columns(keys), payload_columns(gold)
+    names = key_columns(keys)
     since = with_key(current(gold), keys).groupBy(*names).agg(F.max("valid_from").alias("_since"))
     rows = with_key(incoming, keys).join(since, names)
-    late = rows.filter(F.col(day) < F.col("_since")).alias("i")
+    late = rows.filter(F.col(day) < F.col("_since"))
+    return _news(gold, late, keys, day).select(*incoming.columns)
+
+
+def disordered_rows(
+    gold: DataFrame, incoming: DataFrame, keys: Sequence[str], day: str, last: dt.date
+) -> DataFrame:
+    """Input rows of days before ``last``, the latest day applied, that say what the timeline does not.
+
+    Applied in order they might have opened a version, also where their key's current one began earlier: days
+    that said the same again have left no trace.
+    """
+    late = with_key(incoming.filter(F.col(day) < F.lit(last)), keys)
+    return _news(gold, late, keys, day).select(*incoming.columns)
+
+
+def _news(gold: DataFrame, rows: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """Keyed rows that differ from the version of their key and day."""
     told = with_key(gold, keys).alias("g")
     covers = (F.col("g.valid_from") <= F.col(f"i.{day}")) & (
         F.col("g.valid_to").isNull() | (F.col("g.valid_to") > F.col(f"i.{day}"))
     )
-    same = same_key("g", "i", keys) & covers & all_equal("g", "i", payload)
-    return late.join(told, same, "left_anti").select(*incoming.columns)
+    same = same_key("g", "i", keys) & covers & all_equal("g", "i", payload_columns(gold))
+    return rows.alias("i").join(told, same, "left_anti")
+
+
+def scd2_rebuild(
+    gold: DataFrame,
+    observed: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    day: str,
+) -> DataFrame:
+    """Versions of the keys of ``observed``, built anew from all their rows, in the order of their days.
+
+    ``observed`` is complete from its first day on; versions in ``gold`` that began earlier count as rows of the day
+    they began. ``gold`` holds these keys only.
+    """
+    payload = payload_columns(gold)
+    first = observed.agg(F.min(day).alias("_first"))
+    older = gold.join(F.broadcast(first), F.col("valid_from") < F.col("_first"))
+    told = older.select(*payload, F.col("valid_from").alias(day))
+    rows = observed.select(*payload, day).unionByName(told)
+    return scd2_replay(gold.limit(0), rows, keys, tracked, day)
 
 
 def new_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,11 +37,21 @@ def updated_between(raw: DataFrame, since: dt.date, until: dt.date) -> DataFrame
     return raw.filter((day >= F.lit(since.isoformat())) & (day < F.lit(after.isoformat())))
 
 
-def scope_candidates(raw: DataFrame, department: str) -> DataFrame:
-    """Active head offices whose postal code starts with the department."""
+def active_offices(raw: DataFrame) -> DataFrame:
+    """Head offices whose latest period is active."""
     period = F.get("periodesEtablissement", F.lit(0))
     return raw.filter(
-        F.col("adresseEtablissement.codePostalEtablissement").startswith(department)
-        & F.col("etablissementSiege")
-        & (period["etatAdministratifEtablissement"] == "A")
+        F.col("etablissementSiege") & (period["etatAdministratifEtablissement"] == "A")
     )
+
+
+def scope_candidates(raw: DataFrame, department: str) -> DataFrame:
+    """Active head offices whose postal code starts with the department."""
+    postal = F.col("adresseEtablissement.codePostalEtablissement")
+    return active_offices(raw.filter(postal.startswith(department)))
+
+
+def department_of(postal: Column) -> Column:
+    """Department of a postal code: two characters, three overseas."""
+    overseas = F.substring(postal, 1, 2).isin("97", "98")
+    return F.when(overseas, F.substring(postal, 1, 3)).otherwise(F.substring(postal, 1, 2))

@@ -6,9 +6,11 @@ Windows and run dates are always arguments, so a run can be repeated for a past
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline import schemas
 from ledgerline.operators import clean, normalize, quality, resolve, scd2, scope, serve
@@ -16,7 +18,7 @@ from ledgerline.operators.match import ID, backlog
 from ledgerline.operators.model import LinkageModel
 from ledgerline.plans.cascade import run_cascade
 from ledgerline.session import settle
-from ledgerline.sources import files, jdbc, tables
+from ledgerline.sources import files, jdbc, tables, versions
 
 MARKET_WINDOW = dt.timedelta(days=365)
 
@@ -27,9 +29,10 @@ MARKET_WINDOW = dt.timedelta(days=365)
 def bootstrap_establishments(
     spark: SparkSession, csv_path: str, root: str, ingestion_date: dt.date
 ) -> str:
-    """Full stock file to bronze."""
+    """Full stock file to bronze; lines that are no rows of it go to the ``rejects`` folder."""
     columns = files.csv_header(spark, csv_path)
-    stock = files.read_csv_strings(spark, csv_path, columns)
+    stock, broken = files.split_csv(spark, csv_path, columns)
+    keep_rejects(broken, root, "establishments", "lines", ingestion_date)
     return files.write_bronze(
         stock, root, "establishments", ingestion_date, run_type="stock", columns=columns
     )
@@ -86,6 +89,18 @@ def land_candidates(raw: DataFrame, root: str, department: str, ingestion_date:
     )
 
 
+def land_all_candidates(raw: DataFrame, root: str, ingestion_date: dt.date) -> str:
+    """Active head offices of all departments to bronze, in one pass; a rerun replaces its day of each department.
+
+    A record without a postal code belongs to no department and is not landed, as in ``land_candidates``.
+    """
+    rows = normalize.normalize_candidates(scope.active_offices(raw))
+    department = scope.department_of(F.col("code_postal"))
+    return files.write_by_department(
+        rows, root, "candidates", ingestion_date, department, schemas.BRONZE_CANDIDATE_COLUMNS
+    )
+
+
 def land_markets(
     national: DataFrame, root: str, department: str, since: dt.date, ingestion_date: dt.date
 ) -> str:
@@ -115,6 +130,38 @@ def keep_rejects(
 # --- daily jobs ------------------------------------------------------------------------------------
 
 
+def apply_run(
+    table: str,
+    layout: StructType,
+    rows: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    run_date: dt.date,
+    required: Sequence[str],
+    same_day: str,
+    provider: str,
+) -> None:
+    """One run into a gold table, published only if it is sound.
+
+    Tables of plain files are versioned (see ``sources.versions``). One that was made otherwise, such as in a
+    catalog with row-level writes, is written as its provider does and checked afterwards.
+    """
+    spark = rows.sparkSession
+    if provider == "parquet":
+        versions.create(spark, table, layout, keys)
+    if versions.is_versioned(spark, table):
+        versions.historize(
+            table, layout, rows, tracked, run_date, same_day=same_day, required=required
+        )
+        return
+    tables.ensure_gold(spark, table, layout, provider=provider)
+    rule = "replace" if same_day == "redo" else same_day
+    tables.historize(
+        table, layout, rows, keys, tracked, run_date, same_day=rule, provider=provider
+    )
+    quality.assert_sound(spark.table(table), keys, required)
+
+
 def establishments_daily(
     bronze: DataFrame,
     silver_table: str,
@@ -123,26 +170,32 @@ def establishments_daily(
     *,
     rejects_root: str | None = None,
     provider: str = "parquet",
-    **options,
+    same_day: str = "redo",
 ) -> None:
-    """Bronze establishments to silver, then to versioned gold, which has to be sound."""
+    """Bronze establishments to silver, then to versioned gold, which has to be sound.
+
+    Running a day again replaces what its first run did. With a ``rejects_root``, every row is applied or kept
+    with a reason: as malformed, or as repeated if cleaning leaves it out. Rows that are applied without a day
+    that cannot be read are kept besides, as unreadable.
+    """
     spark = bronze.sparkSession
     if rejects_root:
         bronze = quarantine(bronze, rejects_root, "establishments", "siret", [], run_date)
+        twice = clean.repeated_establishments(bronze)
+        keep_rejects(twice, rejects_root, "establishments", "repeated", run_date)
+        lost = clean.unreadable_days(bronze, clean.ESTABLISHMENT_DAYS)
+        keep_rejects(lost, rejects_root, "establishments", "unreadable", run_date)
     tables.replace_table(clean.clean_establishments(bronze), silver_table, provider)
-    tables.ensure_gold(spark, gold_table, schemas.GOLD_ESTABLISHMENT, provider=provider)
-    tables.historize(
+    apply_run(
         gold_table,
         schemas.GOLD_ESTABLISHMENT,
         spark.table(silver_table),
         schemas.ESTABLISHMENT_KEYS,
         schemas.ESTABLISHMENT_TRACKED,
         run_date,
-        provider=provider,
-        **options,
-    )
-    quality.assert_sound(
-        spark.table(gold_table), schemas.ESTABLISHMENT_KEYS, ["siret", "valid_from", "is_current"]
+        ["siret", "valid_from", "is_current"],
+        same_day,
+        provider,
     )
 
 
@@ -161,23 +214,38 @@ def link_backlog(
     model: LinkageModel | None = None,
     *,
     matches_table: str | None = None,
-    **options,
+    provider: str = "parquet",
+    same_day: str = "replace",
 ) -> None:
     """Match every announcement that has no current link, not only those of the last run.
 
-    ``matches_table`` keeps the match records of the run as they were before they became versions.
+    ``matches_table`` keeps the match records of the run as they were before they became versions. A second
+    run of a day matches what the first one left, so it adds to it.
     """
     layout = schemas.GOLD_ANNOUNCEMENT_LINK
-    tables.ensure_gold(spark, links_table, layout)
+    if provider == "parquet":
+        versions.create(spark, links_table, layout, schemas.LINK_KEYS)
+    else:
+        tables.ensure_gold(spark, links_table, layout, provider=provider)
     waiting = settle(backlog(spark.table(silver_table), spark.table(links_table)))
     if waiting.isEmpty():
         return
     matches = run_cascade(waiting, candidates, model)
     if matches_table:
-        tables.replace_table(matches, matches_table)
+        tables.replace_table(matches, matches_table, provider)
         matches = spark.table(matches_table)
-    tables.historize(
-        links_table, layout, matches, schemas.LINK_KEYS, schemas.LINK_TRACKED, run_date, **options
+    else:
+        matches = settle(matches)
+    apply_run(
+        links_table,
+        layout,
+        matches,
+        schemas.LINK_KEYS,
+        schemas.LINK_TRACKED,
+        run_date,
+        [ID, "match_method", "valid_from"],
+        same_day,
+        provider,
     )
 
 
@@ -191,18 +259,24 @@ def announcements_daily(
     *,
     matches_table: str | None = None,
     rejects_root: str | None = None,
+    provider: str = "parquet",
 ) -> None:
-    """Bronze announcements to silver, and the backlog to versioned links, which have to be sound."""
+    """Bronze announcements to silver, and the backlog to versioned links, which have to be sound.
+
+    With a ``rejects_root``, rows are applied, known already, or kept with a reason.
+    """
     spark = bronze.sparkSession
     if rejects_root:
         bronze = quarantine(bronze, rejects_root, "announcements", "id", [], run_date)
+        twice = clean.repeated_announcements(bronze)
+        keep_rejects(twice, rejects_root, "announcements", "repeated", run_date)
+        lost = clean.unreadable_days(bronze, clean.ANNOUNCEMENT_DAYS)
+        keep_rejects(lost, rejects_root, "announcements", "unreadable", run_date)
     announcements_to_silver(bronze, silver_table)
     link_backlog(
-        spark, silver_table, candidates, links_table, run_date, model, matches_table=matches_table
-    )
-    quality.assert_sound(
-        spark.table(links_table), schemas.LINK_KEYS, [ID, "match_method", "valid_from"]
-    )
+        spark, silver_table, candidates, links_table, run_date, model,
+        matches_table=matches_table, provider=provider,
+    )
 
 
 def markets_daily(
@@ -215,7 +289,8 @@ def markets_daily(
     *,
     matches_table: str | None = None,
     rejects_root: str | None = None,
-    **options,
+    provider: str = "parquet",
+    same_day: str = "redo",
 ) -> None:
     """A year of one department's markets, resolved and checked against the registry, to gold.
 
@@ -225,12 +300,12 @@ def markets_daily(
     scoped = scope.scope_markets(national, department, run_date - MARKET_WINDOW)
     if rejects_root:
         scoped = quarantine(scoped, rejects_root, "markets", "uid", [], run_date)
-    tables.replace_table(clean.clean_markets(scoped), silver_table)
+    tables.replace_table(clean.clean_markets(scoped), silver_table, provider)
     spark = national.sparkSession
     resolved = resolve.resolve_markets(spark.table(silver_table))
     validated = resolve.validate_against_registry(resolved, registry)
     if matches_table:
-        tables.replace_table(validated, matches_table)
+        tables.replace_table(validated, matches_table, provider)
         validated = spark.table(matches_table)
     else:
         validated = settle(validated)
@@ -238,17 +313,17 @@ def markets_daily(
         keys = schemas.MARKET_KEYS
         twice = scd2.rejected(validated, keys, validated.columns, f"repeated {', '.join(keys)}")
         keep_rejects(twice, rejects_root, "markets", "repeated", run_date)
-    tables.ensure_gold(spark, links_table, schemas.GOLD_MARKET_LINK)
-    tables.historize(
+    apply_run(
         links_table,
         schemas.GOLD_MARKET_LINK,
         validated,
         schemas.MARKET_KEYS,
         schemas.MARKET_TRACKED,
         run_date,
-        **options,
+        ["uid", "match_method"],
+        same_day,
+        provider,
     )
-    quality.assert_sound(spark.table(links_table), schemas.MARKET_KEYS, ["uid", "match_method"])
 
 
 # --- serving ---------------------------------------------------------------------------------------

@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ledgerline.schemas import strings
+from ledgerline.session import discard, settle
 
 
 def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
@@ -22,6 +23,41 @@ def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str]) ->
     return raw.select([F.coalesce(c, F.lit("")).alias(c) for c in raw.columns])
 
 
+#: Column that holds a line which could not be read as it should.
+CORRUPT = "_corrupt_record"
+
+
+def split_lines(raw: DataFrame, reason: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that were read whole, and the lines of all others as ``row``, with a ``reject_reason``.
+
+    Broken lines are stored with what could be read of them: a line alone cannot be asked for.
+    """
+    broken = F.col(CORRUPT).isNotNull()
+    lost = settle(raw.filter(broken))
+    rejects = lost.select(F.col(CORRUPT).alias("row"), F.lit(reason).alias("reject_reason"))
+    return raw.filter(~broken).drop(CORRUPT), rejects
+
+
+def split_csv(
+    spark: SparkSession, path: str, columns: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """As ``read_csv_strings``, with lines that have too few or too many fields set apart; together they are all lines."""
+    layout = StructType([*strings(list(columns)).fields, StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(layout).option("header", True).option("enforceSchema", False)
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE")
+    # All fields are parsed whatever a query asks for, else their number would not be known.
+    raw = reader.option("columnPruning", False).option("escape", '"').csv(path)
+    good, rejects = split_lines(raw, "not as many fields as columns")
+    return good.select([F.coalesce(c, F.lit("")).alias(c) for c in good.columns]), rejects
+
+
+def split_json(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """As ``read_json_raw``, with lines set apart that are no record, or hold a value of another type."""
+    layout = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(layout).option("columnNameOfCorruptRecord", CORRUPT)
+    return split_lines(reader.option("mode", "PERMISSIVE").json(path), "not a record of the layout")
+
+
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Column names in the first line of a landed CSV."""
     return spark.read.option("header", True).csv(path).columns
@@ -66,6 +102,38 @@ def write_bronze(
     return path
 
 
+def write_by_department(
+    df: DataFrame,
+    root: str,
+    source: str,
+    ingestion_date: dt.date,
+    department: Column,
+    columns: Sequence[str],
+) -> str:
+    """Write one run of all departments in one pass, each under its ``department=../ingestion_date=..``.
+
+    A rerun replaces its day everywhere, also where a department has no rows any more. Rows without a department
+    are left out.
+    """
+    path, day = bronze_root(root, source), ingestion_date.isoformat()
+    texts = [F.col(c).cast("string").alias(c) for c in columns]
+    rows = df.select(*texts, department.alias("department"), F.lit(day).alias("ingestion_date"))
+    rows = rows.filter("department <> ''")
+    places = ["department", "ingestion_date"]
+    # A department's rows lie together, unless they are too many for one task.
+    dealt = rows.hint("rebalance", "department").write.mode("overwrite").partitionBy(*places)
+    dealt.option("partitionOverwriteMode", "dynamic").parquet(path)
+    spark = df.sparkSession
+    layout = StructType([StructField(p, StringType()) for p in places])
+    stored = spark.read.schema(layout).parquet(path).filter(F.col("ingestion_date") == day)
+    gone = stored.select("department").distinct().join(
+        rows.select("department").distinct(), "department", "left_anti"
+    )
+    for (name,) in gone.collect():
+        discard(spark, f"{path}/department={name}/ingestion_date={day}")
+    return path
+
+
 def bronze_schema(columns: StructType, by_department: bool = False) -> StructType:
     """Schema of a bronze folder with its partition columns, typed so that ``08`` stays text."""
     extra = [StructField("department", StringType())] if by_department else []

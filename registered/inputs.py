@@ -159,6 +159,25 @@ def malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return region.unionByName(nation)
 
 
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as lines ``csv_line`` and ``json_line``; one in five of each is broken, by the customer's number."""
+    fields = ["c_name", "c_nationkey", "c_mktsegment"]
+    key, kind = F.col("c_custkey").cast("string"), F.col("c_custkey") % 10
+    whole = F.concat_ws(",", key, *[F.col(c).cast("string") for c in fields])
+    record = F.to_json(F.struct(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")))
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(kind == 0, F.concat_ws(",", key, "c_name"))
+        .when(kind == 1, F.concat(whole, F.lit(",more")))
+        .otherwise(whole)
+        .alias("csv_line"),
+        F.when(kind == 3, F.concat(F.lit('{"key":'), key, F.lit(',"name')))
+        .when(kind == 4, F.regexp_replace(record, ':\\d+', ':"many"'))
+        .otherwise(record)
+        .alias("json_line"),
+    )
+
+
 def bronze_establishments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stock(spark, sf_dir).unionByName(diff(spark, sf_dir)).unionByName(
         malformed(spark, sf_dir)

@@ -517,6 +517,35 @@ ORACLE: dict[str, str] = {
         "history": """
             SELECT * FROM etab_gold WHERE siret = '00000000300019'""",
         "establishments_daily": "SELECT * FROM etab_gold",
+        "establishments_rerun": "SELECT * FROM etab_gold",
+        "bronze_all_departments": f"""
+            SELECT siren, siret, denomination, code_postal, substr(code_postal, 1, 2) AS department,
+              DATE '2024-01-01' AS ingestion_date
+            FROM cand WHERE code_postal IS NOT NULL AND {_ACTIVE_HEAD}""",
+        "rejected_lines": """
+            SELECT 'csv' AS source, CASE WHEN c_custkey % 10 > 1 THEN CAST(c_custkey AS VARCHAR) END AS key,
+              CASE WHEN c_custkey % 10 > 1 THEN c_name END AS name,
+              CASE c_custkey % 10 WHEN 0 THEN c_custkey || ',' || c_name
+                WHEN 1 THEN c_custkey || ',' || c_name || ',' || c_nationkey || ',' || c_mktsegment || ',more' END AS row,
+              CASE WHEN c_custkey % 10 <= 1 THEN 'not as many fields as columns' END AS reject_reason FROM customer
+            UNION ALL
+            SELECT 'json', CASE WHEN c_custkey % 10 NOT IN (3, 4) THEN CAST(c_custkey AS VARCHAR) END,
+              CASE WHEN c_custkey % 10 NOT IN (3, 4) THEN c_name END,
+              CASE c_custkey % 10 WHEN 3 THEN '{"key":' || c_custkey || ',"name'
+                WHEN 4 THEN '{"key":"many","name":"' || c_name || '"}' END,
+              CASE WHEN c_custkey % 10 IN (3, 4) THEN 'not a record of the layout' END FROM customer""",
+        "repeated_rows": """
+            SELECT CASE WHEN siret IS NULL OR siret = '' THEN 'missing siret' ELSE 'repeated siret' END AS reject_reason,
+              siret, libelleCommuneEtablissement AS commune, dateDernierTraitementEtablissement AS processed
+            FROM (SELECT *, row_number() OVER (PARTITION BY siret
+                    ORDER BY dateDernierTraitementEtablissement DESC NULLS LAST, REST) AS place FROM bronze_rows)
+            WHERE siret IS NULL OR siret = '' OR place > 1
+            UNION ALL
+            SELECT 'unreadable dateCreationEtablissement', siret, libelleCommuneEtablissement,
+              dateDernierTraitementEtablissement
+            FROM bronze_rows WHERE siret <> '' AND dateCreationEtablissement = 'inconnue'""".replace(
+            "REST", nulls_first([c for c in BRONZE if c not in ("siret", "dateDernierTraitementEtablissement")])
+        ),
         "markets_daily": f"""
             SELECT *, DATE '1998-06-01' AS valid_from, CAST(NULL AS DATE) AS valid_to,
               true AS is_current FROM ({one_market("scoped_validated")})""",
@@ -575,6 +604,8 @@ ORACLE: dict[str, str] = {
 }
 
 # The jobs version what the cascade finds.
+ORACLE["markets_rerun"] = ORACLE["markets_daily"]
+ORACLE["scd2_days_in_any_order"] = ORACLE["scd2_replay"]
 ORACLE["announcements_daily"] = ORACLE["announcements_stream"] = ORACLE["cascade_fixed_params"].replace(
     "SELECT bodacc_announcement_id, siren_bodacc, siret_siege, match_method,\n              match_confidence FROM exact_links",
     "SELECT *, DATE '2024-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current FROM (\n"

@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ledgerline import schemas
 from ledgerline.functions.text import siren_in_text
@@ -26,7 +27,7 @@ from ledgerline.operators import (
 from ledgerline.plans import daily
 from ledgerline.plans.cascade import run_cascade
 from ledgerline.session import scratch_path, settle
-from ledgerline.sources import files, tables
+from ledgerline.sources import files, tables, versions
 from ledgerline.streaming import incremental
 from registered import inputs
 from registered.inputs import DAY_1, DAY_2, DAY_3, MODEL, table
@@ -77,6 +78,50 @@ def bronze_by_department(spark, sf_dir):
     )
 
 
+@register
+def bronze_all_departments(spark, sf_dir):
+    """Candidates of every department landed in one pass and read back, after a first run with wrong postal codes."""
+    root = scratch_path(spark, "bronze")
+    raw = normalize.parse_json(
+        inputs.raw_establishments(spark, sf_dir), "json", schemas.RAW_ESTABLISHMENT
+    )
+    postal = F.concat(F.lit("97"), F.col("adresseEtablissement.codePostalEtablissement"))
+    wrong = F.col("adresseEtablissement").withField("codePostalEtablissement", postal)
+    daily.land_all_candidates(raw.withColumn("adresseEtablissement", wrong), root, DAY_1)
+    path = daily.land_all_candidates(raw, root, DAY_1)
+    landed = files.read_bronze(spark, path, schemas.BRONZE_CANDIDATE, by_department=True)
+    return landed.select(
+        "siren", "siret", "denomination", "code_postal", "department", "ingestion_date"
+    )
+
+
+@register
+def rejected_lines(spark, sf_dir):
+    """Customers as CSV and as JSON lines, some of them broken: rows that are kept, and lines that are not."""
+    root = scratch_path(spark, "lines")
+    lines = inputs.broken_lines(spark, sf_dir)
+    columns = ["key", "name", "nation", "segment"]
+    # Text written as a single unquoted CSV column is the line itself; every file gets the header.
+    csv = lines.select(F.col("csv_line").alias(",".join(columns))).write.option("header", True)
+    csv.option("sep", "\x01").option("quote", "").csv(f"{root}/csv")
+    lines.select("json_line").write.text(f"{root}/json")
+    good_csv, bad_csv = files.split_csv(spark, f"{root}/csv", columns)
+    layout = StructType([StructField("key", LongType()), StructField("name", StringType())])
+    good_json, bad_json = files.split_json(spark, f"{root}/json", layout)
+
+    def kept(df, source):
+        none = F.lit(None).cast("string")
+        key = F.col("key").cast("string")
+        return df.select(F.lit(source).alias("source"), key.alias("key"), "name", none.alias("row"), none.alias("reject_reason"))
+
+    def lost(df, source):
+        none = F.lit(None).cast("string")
+        return df.select(F.lit(source).alias("source"), none.alias("key"), none.alias("name"), "row", "reject_reason")
+
+    parts = [kept(good_csv, "csv"), kept(good_json, "json"), lost(bad_csv, "csv"), lost(bad_json, "json")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 @register
 def flatten_establishments(spark, sf_dir):
     raw = inputs.raw_establishments(spark, sf_dir)
@@ -548,7 +593,7 @@ def job_tables(spark, run: Callable[[list[str], str], None], layout, result: int
     run(names, scratch_path(spark, "job"))
     after = settle(tables.read_table(spark, names[result], layout))
     for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        versions.drop(spark, name)
     return after
 
 
@@ -564,6 +609,62 @@ def establishments_daily(spark, sf_dir):
     return job_tables(spark, run, schemas.GOLD_ESTABLISHMENT, 1)
 
 
+@register
+def establishments_rerun(spark, sf_dir):
+    """The daily job on two days, the second of them run twice: first with wrong activities and rows too many."""
+
+    def run(names, root):
+        first, second = inputs.stock(spark, sf_dir), inputs.diff(spark, sf_dir)
+        activity = F.concat(F.lit("WRONG "), F.coalesce("siret", F.lit("")))
+        wrong = first.unionByName(second).withColumn("activitePrincipaleEtablissement", activity)
+        strays = second.withColumn("siret", F.concat(F.lit("9"), "siret"))
+        for rows, day in ((first, DAY_1), (wrong.unionByName(strays), DAY_2), (second, DAY_2)):
+            daily.establishments_daily(rows, names[0], names[1], day, rejects_root=root)
+
+    return job_tables(spark, run, schemas.GOLD_ESTABLISHMENT, 1)
+
+
+@register
+def repeated_rows(spark, sf_dir):
+    """Rows of two days' files offered at once that the daily job does not apply, with its reasons."""
+    root = scratch_path(spark, "job")
+    names = [f"job_{uuid.uuid4().hex}" for _ in range(2)]
+    rows = inputs.bronze_establishments(spark, sf_dir)
+    daily.establishments_daily(rows, *names, DAY_2, rejects_root=root)
+    for name in names:
+        versions.drop(spark, name)
+    kinds = [
+        spark.read.schema("reject_reason string, row string").parquet(
+            f"{root}/bronze/establishments/rejects/{kind}"
+        )
+        for kind in ("malformed", "repeated", "unreadable")
+    ]
+    kept = kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+    row = F.from_json("row", schemas.BRONZE_ESTABLISHMENT)
+    return kept.select("reject_reason", row.alias("r")).select(
+        "reject_reason",
+        F.col("r.siret").alias("siret"),
+        F.col("r.libelleCommuneEtablissement").alias("commune"),
+        F.col("r.dateDernierTraitementEtablissement").alias("processed"),
+    )
+
+
+@register
+def scd2_days_in_any_order(spark, sf_dir):
+    """Three days landed and streamed out of their order, each by a run of its own: the timeline of days in order."""
+    root = scratch_path(spark, "stream")
+    gold = f"gold_{uuid.uuid4().hex}"
+    for bronze, day in ((inputs.stock, DAY_3), (inputs.stock, DAY_1), (inputs.diff, DAY_2)):
+        path = files.write_bronze(
+            bronze(spark, sf_dir), root, "establishments", day,
+            columns=schemas.BRONZE_ESTABLISHMENT_COLUMNS,
+        )
+        incremental.establishments_stream(spark, path, f"{root}/checkpoint", gold, late="insert")
+    after = settle(tables.read_table(spark, gold, schemas.GOLD_ESTABLISHMENT))
+    versions.drop(spark, gold)
+    return after
+
+
 @register
 def announcements_daily(spark, sf_dir):
     """The daily job: bronze, silver, match records, versioned links; a second run adds nothing."""
@@ -611,6 +712,27 @@ def markets_daily(spark, sf_dir):
     return job_tables(spark, run, schemas.GOLD_MARKET_LINK, 1)
 
 
+@register
+def markets_rerun(spark, sf_dir):
+    """The daily job on markets, run twice on its day: first with wrong amounts and winners."""
+
+    def run(names, root):
+        right = inputs.bronze_markets(spark, sf_dir)
+        wrong = right.withColumns(
+            {
+                "montant": F.col("montant") + 7.0,
+                "titulaire_id": F.when(F.col("objet") == "Lot 1", "X").otherwise(F.col("titulaire_id")),
+            }
+        )
+        for rows in (wrong, right):
+            daily.markets_daily(
+                rows, inputs.registry(spark, sf_dir), names[0], names[1], MARKET_DAY, "03",
+                matches_table=names[2], rejects_root=root,
+            )
+
+    return job_tables(spark, run, schemas.GOLD_MARKET_LINK, 1)
+
+
 # --- serving ---------------------------------------------------------------------------------------
 
 

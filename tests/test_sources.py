@@ -1,10 +1,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql.types import IntegerType
 
 from ledgerline import schemas
 from ledgerline.operators import scd2
 from ledgerline.operators.model import LinkageModel
+from ledgerline.operators.scope import department_of
 from ledgerline.plans import daily
 from ledgerline.schemas import struct_of
 from ledgerline.session import build_session, catalog_options, object_store_options, shared_folder
@@ -286,3 +288,44 @@ def test_session_options(spark):
     assert catalog_options("c", "s3a://w")["spark.sql.catalog.c.warehouse"] == "s3a://w"
     assert build_session(env={}) is not None
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_broken_csv_lines_are_rejects(spark, tmp_path, rows):
+    lines = ["a,b,c", "1,2,3", "6,7,8,9", "4,5", '"x ""q"" y",,"u,v"', ",,", '"open,1,2']
+    (tmp_path / "f.csv").write_text("\n".join(lines) + "\n")
+    good, bad = files.split_csv(spark, str(tmp_path), ["a", "b", "c"])
+    assert rows(good) == [("", "", ""), ("1", "2", "3"), ('x "q" y', "", "u,v")]
+    assert rows(good, "a") == [("",), ("1",), ('x "q" y',)]
+    assert rows(bad, "row") == [('"open,1,2',), ("4,5",), ("6,7,8,9",)]
+    assert rows(bad, "reject_reason") == [("not as many fields as columns",)] * 3
+    with pytest.raises(Exception, match="conform"):
+        files.split_csv(spark, str(tmp_path), ["a", "b", "d"])
+
+
+def test_broken_json_lines_are_rejects(spark, tmp_path, rows):
+    lines = ['{"a":1,"b":"x"}', '{"a":2,"b":', "[7]", '{"a":"z","b":"y"}', '{"b":"w","more":1}']
+    (tmp_path / "f.json").write_text("\n".join(lines) + "\n")
+    layout = schemas.StructType([schemas.StructField("a", IntegerType()), schemas.StructField("b", schemas.StringType())])
+    good, bad = files.split_json(spark, str(tmp_path), layout)
+    assert rows(good) == [(1, "x"), (None, "w")]
+    assert rows(bad, "row") == sorted((line,) for line in lines[1:4])
+
+
+def test_the_stock_keeps_its_broken_lines(spark, tmp_path, day, rows):
+    (tmp_path / "stock.csv").write_text("siren,nic\n1,2\n3\n4,5,6\n")
+    path = daily.bootstrap_establishments(spark, str(tmp_path / "stock.csv"), str(tmp_path), day(1))
+    assert rows(spark.read.parquet(path), "siren", "nic") == [("1", "2")]
+    kept = spark.read.parquet(f"{tmp_path}/bronze/establishments/rejects/lines")
+    assert rows(kept, "row") == [('{"row":"3"}',), ('{"row":"4,5,6"}',)]
+
+
+def test_all_departments_in_one_pass(spark, tmp_path, day, rows):
+    def landed(*postal):
+        data = [(str(i), str(i), code) for i, code in enumerate(postal)]
+        df = spark.createDataFrame(data, "siren string, siret string, code_postal string")
+        return files.write_by_department(df, str(tmp_path), "c", day(1), department_of(df["code_postal"]), ["siren", "code_postal"])
+
+    landed("08000", "75001", "97411", None, "")
+    path = landed("08000", "08100", "2A000")
+    found = files.read_bronze(spark, path, schemas.strings(["siren", "code_postal"]), by_department=True)
+    assert rows(found, "department", "code_postal") == [("08", "08000"), ("08", "08100"), ("2A", "2A000")]

@@ -132,6 +132,102 @@ def jaro_winkler_pairs(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+def reaching(lefts: list[str], rights: list[str], threshold: float) -> np.ndarray:
+    """Which of all pairs of the two lists reach a similarity, as a matrix; the same as comparing them one by one.
+
+    Each list is turned into numbers once, and pairs that cannot reach the threshold by their number of
+    matched characters are left early. Meant for tiles of some thousand texts a side.
+    """
+    out = np.zeros((len(lefts), len(rights)), bool)
+    sizes = [np.fromiter(map(len, texts), np.int64, len(texts)) for texts in (lefts, rights)]
+    fits = [np.flatnonzero(size <= WORD) for size in sizes]
+    for long, others, flip in ((lefts, rights, False), (rights, lefts, True)):
+        for i in np.flatnonzero(sizes[flip] > WORD):
+            scores = jaro_winkler_pairs(*_in_pairs(long[i], others, flip)).to_numpy()
+            if flip:
+                out[:, i] = scores >= threshold
+            else:
+                out[i] = scores >= threshold
+    alphabet = {c: k for k, c in enumerate(sorted(set().union(*lefts, *rights)))}
+    sides = [_Side([texts[i] for i in rows], alphabet) for texts, rows in zip((lefts, rights), fits, strict=True)]
+    # The left text is the shorter one of equally long ones.
+    for short, other, flip in ((0, 1, False), (1, 0, True)):
+        for size, rows in sides[short].by_size():
+            columns = np.flatnonzero(sides[other].sizes > size if flip else sides[other].sizes >= size)
+            step = max(1, CELLS // max(1, 8 * len(columns)))
+            for i in range(0, len(rows) if len(columns) else 0, step):
+                some = rows[i : i + step]
+                found = _reach(sides[short].codes[some, :size], sides[other], columns, threshold)
+                mine, theirs = fits[short][some], fits[other][columns]
+                if flip:
+                    out[np.ix_(theirs, mine)] = found.T
+                else:
+                    out[np.ix_(mine, theirs)] = found
+    return out
+
+
+def _in_pairs(text: str, others: list[str], flip: bool) -> tuple[pd.Series, pd.Series]:
+    pair = pd.Series([text] * len(others), dtype=object), pd.Series(others, dtype=object)
+    return pair[::-1] if flip else pair
+
+
+class _Side:
+    """Texts of at most one word of positions, as numbers of an alphabet."""
+
+    def __init__(self, texts: list[str], alphabet: dict[str, int]):
+        self.sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.codes = np.full((len(texts), WORD), -1, np.int64)
+        for i, text in enumerate(texts):
+            self.codes[i, : len(text)] = [alphabet[c] for c in text]
+        # Positions of each character, a bit each: one row per character, one column per text.
+        self.places = np.zeros((len(alphabet) + 1, len(texts)), np.uint64)
+        for p in range(int(self.sizes.max(initial=0))):
+            rows = np.flatnonzero(self.sizes > p)
+            self.places[self.codes[rows, p], rows] |= np.uint64(1 << p)
+
+    def by_size(self) -> list[tuple[int, np.ndarray]]:
+        return [(int(s), np.flatnonzero(self.sizes == s)) for s in np.unique(self.sizes) if s]
+
+
+def _reach(short: np.ndarray, long: _Side, columns: np.ndarray, threshold: float) -> np.ndarray:
+    """Pairs that reach the threshold, of equally long short texts (rows) and long ones (columns)."""
+    rows, size = short.shape
+    places, ll = long.places[:, columns], long.sizes[columns]
+    reach = np.maximum(ll // 2 - 1, 0)
+    used = np.zeros((rows, len(columns)), np.uint64)
+    hits = np.zeros_like(used)
+    for i in range(size):
+        window = _low_bits(np.minimum(i + reach + 1, ll)) & ~_low_bits(np.maximum(i - reach, 0))
+        free = places[short[:, i]] & window & ~used
+        free &= ~free + np.uint64(1)
+        used |= free
+        hits |= (free != 0).astype(np.uint64) << np.uint64(i)
+    m = np.bitwise_count(hits).astype(np.int64)
+    head = min(PREFIX_LENGTH, size)
+    alike = short[:, None, :head] == long.codes[columns][None, :, :head]
+    prefix = np.cumprod(alike, axis=2).sum(axis=2)
+    # As if nothing were out of order.
+    best = _boosted(size, ll[None, :], m, np.zeros_like(m), prefix)
+    at = np.nonzero(best >= threshold)
+    used, hits, m, moved = used[at], hits[at], m[at], np.zeros(len(at[0]), np.int64)
+    for i in range(size):
+        hit = (hits >> np.uint64(i)) & np.uint64(1) != 0
+        first = used & (~used + np.uint64(1))
+        moved += hit & (first & places[short[at[0], i], at[1]] == 0)
+        used = np.where(hit, used ^ first, used)
+    out = np.zeros((rows, len(columns)), bool)
+    out[at] = _boosted(size, ll[at[1]], m, moved, prefix[at]) >= threshold
+    return out
+
+
+def _boosted(
+    ls: int, ll: np.ndarray, m: np.ndarray, moved: np.ndarray, prefix: np.ndarray
+) -> np.ndarray:
+    total = m / ls + m / np.maximum(ll, 1)
+    jaro = np.where(m > 0, (total + (m - moved // 2) / np.maximum(m, 1)) / 3.0, 0.0)
+    return jaro + np.where(jaro > BOOST_ABOVE, prefix * PREFIX_WEIGHT * (1.0 - jaro), 0.0)
+
+
 @F.pandas_udf(DoubleType())
 def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     return jaro_winkler_pairs(left, right)

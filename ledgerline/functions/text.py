@@ -40,31 +40,32 @@ def folded(*parts: Column) -> Column:
     return F.lower(F.trim(joined))
 
 
-def segment_keys(text: Column, depth: int) -> Column:
-    """Hashes of the ``depth + 1`` segments that a text is cut into, each with its place and the text's length.
+def segment_keys(text: Column, depth: int, parts: int | None = None) -> Column:
+    """Hashes of the segments that a text is cut into (``depth + 1`` unless told), each with its place and the text's length.
 
-    At most ``depth`` edits leave one segment as it is, so a text within that Levenshtein distance has
-    one of these hashes among its ``segment_probes``: a similarity join becomes an equality join, with a
-    number of keys that does not grow with the texts.
+    At most ``depth`` edits leave all but ``depth`` segments as they are, so a text within that Levenshtein distance
+    has one of any ``depth + 1`` of these hashes among its ``segment_probes``: a similarity join becomes an
+    equality join, with a number of keys that does not grow with the texts.
     """
+    parts = parts or depth + 1
     size = F.length(text)
-    step = F.floor(size / (depth + 1)).cast("int")
-    return F.array(*(_segment(text, size, step, depth, i, i * step) for i in range(depth + 1)))
+    step = F.floor(size / parts).cast("int")
+    return F.array(*(_segment(text, size, step, parts, i, i * step) for i in range(parts)))
 
 
-def segment_probes(text: Column, depth: int) -> Column:
+def segment_probes(text: Column, depth: int, parts: int | None = None) -> Column:
     """Hashes of all segments that a text within ``depth`` edits of this one may have unchanged.
 
     The other text's length, and the place of an unchanged segment, differ by at most ``depth``.
     """
-    own, n, wide = F.length(text), depth + 1, 2 * depth + 1
+    own, n, wide = F.length(text), parts or depth + 1, 2 * depth + 1
 
     def probe(k: Column) -> Column:
         size = own + F.floor(k / (n * wide)).cast("int") - depth
         i = F.floor(k / wide).cast("int") % n
         step = F.floor(size / n).cast("int")
         start = i * step + k % wide - depth
-        length = F.when(i < depth, step).otherwise(size - depth * step)
+        length = F.when(i < n - 1, step).otherwise(size - (n - 1) * step)
         fits = (size >= 0) & (start >= 0) & (start + length <= own)
         return F.when(fits, _hashed(size, i, text.substr(start + 1, length)))
 
@@ -73,9 +74,9 @@ def segment_probes(text: Column, depth: int) -> Column:
 
 
 def _segment(
-    text: Column, size: Column, step: Column, depth: int, i: int, start: Column
+    text: Column, size: Column, step: Column, parts: int, i: int, start: Column
 ) -> Column:
-    length = step if i < depth else size - depth * step
+    length = step if i < parts - 1 else size - (parts - 1) * step
     return _hashed(size, F.lit(i), text.substr(start + 1, length))
 
 

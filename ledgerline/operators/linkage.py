@@ -17,14 +17,16 @@ third of all rows. What the linkage needs from those pairs is obtained as follow
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from math import ceil, sqrt
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.similarity import jaro_winkler, may_reach
+from ledgerline.functions.similarity import jaro_winkler, may_reach, reaching
 from ledgerline.functions.text import folded, segment_keys, segment_probes, with_character_masks
 from ledgerline.operators.keys import first_by, lookup
 from ledgerline.operators.model import (
@@ -46,6 +48,11 @@ HALF_DIGIT = 5e-10
 # about as many pairs as one tile has.
 TILE_ROWS = 1_000
 MOST_TASKS = 100_000
+# Segments of an address beyond those that are looked up.
+SPARE_SEGMENTS = 2
+# Right names that every left one is compared with first, and how much more it is from round to round.
+FIRST_ROUND = 64
+ROUND_GROWTH = 32
 # Parts the sampled pairs are spread over.
 SAMPLE_PARTS = 64
 
@@ -113,21 +120,40 @@ def probability(name: Column, address: Column, model: LinkageModel) -> Column:
 # --- addresses -------------------------------------------------------------------------------------
 
 
-def near_addresses(left: DataFrame, right: DataFrame, model: LinkageModel) -> DataFrame:
-    """Pairs of a left and a right address that are equal or near, with their level (above 0).
+def address_candidates(left: DataFrame, right: DataFrame, model: LinkageModel) -> DataFrame:
+    """Pairs of a left and a right address that may be near, each once or more.
 
-    Of the ``d + 1`` segments of an address, ``d`` edits leave one unchanged, so near ones are found
-    by equality of segments and confirmed by their distance. The number of segments does not depend on
-    the length of an address.
+    An address is cut into more segments than the ``d + 1`` of which ``d`` edits leave one unchanged; any ``d + 1``
+    of them will do, so the ones are taken that the fewest right addresses may have. A postal code that all
+    share is then not among them.
     """
     depth = max(model.address_thresholds)
+    parts = depth + 1 + SPARE_SEGMENTS
+
+    def distinct(side: DataFrame, name: str) -> DataFrame:
+        return side.select(F.col("address").alias(name)).distinct()
 
-    def keyed(side: DataFrame, name: str, keys: Callable[[Column, int], Column]) -> DataFrame:
-        distinct = side.select(F.col("address").alias(name)).distinct()
-        return distinct.withColumn("segment", F.explode(keys(F.col(name), depth)))
+    probes = segment_probes(F.col("address_r"), depth, parts)
+    probed = settle(distinct(right, "address_r").withColumn("segment", F.explode(probes)))
+    common = probed.groupBy("segment").agg(F.count("*").alias("rows"))
+    cut = distinct(left, "address_l").withColumn(
+        "segment", F.explode(segment_keys(F.col("address_l"), depth, parts))
+    )
+    rarest = Window.partitionBy("address_l").orderBy("rows", "segment")
+    counted = cut.join(common, "segment", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    chosen = counted.withColumn("place", F.row_number().over(rarest)).filter(
+        (F.col("place") <= depth + 1) & (F.col("rows") > 0)
+    )
+    return chosen.select("address_l", "segment").join(probed, "segment").drop("segment")
+
+
+def near_addresses(left: DataFrame, right: DataFrame, model: LinkageModel) -> DataFrame:
+    """Pairs of a left and a right address that are equal or near, with their level (above 0).
 
-    cut = keyed(left, "address_l", segment_keys)
-    pairs = cut.join(keyed(right, "address_r", segment_probes), "segment")
+    Near ones are found by equality of segments and confirmed by their distance. The number of segments does
+    not depend on the length of an address.
+    """
+    pairs = address_candidates(left, right, model)
     level = address_level(F.col("address_l"), F.col("address_r"), model)
     return (
         pairs.select("address_l", "address_r", level.alias("address_level"))
@@ -449,36 +475,229 @@ def _other_name(
         parts.append(_scored(met, F.lit(0), F.lit(a), model))
 
     compared = [(n, a) for n in similar for a in model.address_levels if model.accepts(n, a)]
+    mine = left.select("name", "address", "block")
+    # Levels that no pair of addresses has need not be served, nor be in order.
+    present = {0, *(r[0] for r in near.select("address_level").distinct().collect())}
+    compared = [(n, a) for n, a in compared if a in present]
+    if compared and not exhaustive and all(_names_in_order(model, n, a) for n, a in compared):
+        return parts + _nearest_names(mine, offered, near, model, compared, present, tile_rows)
     compared += [(0, a) for a in exhaustive]
     if not compared:
         return parts
-    levels = min(n for n, _ in compared)
-    lowest = None if levels == 0 else model.name_thresholds[model.same_name - 1 - levels]
-    mine = left.select("name", "address", "block")
     if any(a == 0 for _, a in compared):
-        # Each pair of distinct names is compared once, however many addresses the names have.
-        names = mine.select("block", "name").distinct()
-        other_names = offered.select("block", "name_r").distinct()
+        parts.append(_all_names(mine, offered, model, compared, tile_rows))
+        return parts
+    levels = min(n for n, _ in compared)
+    lowest = None if levels == 0 else _name_threshold(model, levels)
+    wanted = {a for _, a in compared}
+    level_wanted = F.col("address_level").isin([a for a in address_known if a in wanted])
+    mine = _with_near(mine, near).filter(level_wanted)
+    met = _compared(mine, offered, ["block", "address_r"], model, lowest, tile_rows)
+    parts.append(_scored(met, F.col("name_level"), F.col("address_level"), model))
+    return parts
+
+
+def _all_names(
+    mine: DataFrame,
+    offered: DataFrame,
+    model: LinkageModel,
+    compared: list[tuple[int, int]],
+    tile_rows: int,
+) -> DataFrame:
+    """Accepted pairs of unequal names at any addresses, by comparing each pair of distinct names of a block once."""
+    levels = min(n for n, _ in compared)
+    lowest = None if levels == 0 else _name_threshold(model, levels)
+    names = mine.select("block", "name").distinct()
+    other_names = offered.select("block", "name_r").distinct()
+    if lowest is None:
         pairs = _compared(names, other_names, ["block"], model, lowest, tile_rows)
-        pairs = pairs.filter(F.col("name_level") >= levels).select(
-            "block", "name", "name_r", "name_level"
-        )
-        met = (
-            pairs.join(mine, ["block", "name"])
-            .join(offered, ["block", "name_r"])
-            .withColumn(
-                "address_level", address_level(F.col("address"), F.col("address_r"), model)
-            )
-        )
     else:
-        wanted = {a for _, a in compared}
-        level_wanted = F.col("address_level").isin([a for a in address_known if a in wanted])
-        mine = _with_near(mine, near).filter(level_wanted)
-        met = _compared(mine, offered, ["block", "address_r"], model, lowest, tile_rows)
-    parts.append(_scored(met, F.col("name_level"), F.col("address_level"), model))
+        pairs = _similar_names(names, other_names, ["block"], lowest - HALF_DIGIT, tile_rows)
+        both = [F.col("name"), F.col("name_r")]
+        level = name_level(*both, jaro_winkler(*both), model)
+        pairs = settle(pairs).withColumn("name_level", level)
+    pairs = pairs.filter(F.col("name_level") >= levels).select(
+        "block", "name", "name_r", "name_level"
+    )
+    met = (
+        pairs.join(mine, ["block", "name"])
+        .join(offered, ["block", "name_r"])
+        .withColumn("address_level", address_level(F.col("address"), F.col("address_r"), model))
+    )
+    return _scored(met, F.col("name_level"), F.col("address_level"), model)
+
+
+def _name_threshold(model: LinkageModel, level: int) -> float:
+    return model.name_thresholds[model.same_name - 1 - level]
+
+
+def _better_names(model: LinkageModel, name: int, address: int) -> list[float]:
+    return [model.probability(n, address) for n in range(name, model.same_name + 1)]
+
+
+def _names_in_order(model: LinkageModel, name: int, address: int) -> bool:
+    """Whether names that are more alike never score less at this address level."""
+    return min(_better_names(model, name, address)) >= model.probability(name, address)
+
+
+def _nearest_names(
+    mine: DataFrame,
+    offered: DataFrame,
+    near: DataFrame,
+    model: LinkageModel,
+    compared: list[tuple[int, int]],
+    present: set[int],
+    tile_rows: int,
+) -> list[DataFrame]:
+    """Best pairs of unequal names where names more alike never score less, in parts to be united.
+
+    Then the smallest identifier whose name reaches a level stands for all of them: if it agrees even better, it
+    is found at that level as well, with at least this probability. So a name needs one partner per level
+    and group, not the list of all. Only where that partner's address is near, at a level that scores less than an
+    unrelated one would, it may not stand in; such values are compared with all names of their block.
+    """
+    parts = []
+    by_address = [(n, a) for n, a in compared if a > 0]
+    if by_address:
+        wanted = sorted({a for _, a in by_address})
+        seekers = settle(_with_near(mine, near).filter(F.col("address_level").isin(wanted)))
+        keys = ["block", "address_r"]
+        for level, hits in _partners(seekers, offered, keys, model, by_address, tile_rows):
+            served = [a for n, a in by_address if n == level]
+            met = seekers.join(hits, [*keys, "name"]).filter(F.col("address_level").isin(served))
+            parts.append(_scored(met, F.lit(level), F.col("address_level"), model))
+    anywhere = [(n, a) for n, a in compared if a == 0]
+    for level, hits in _partners(mine, offered, ["block"], model, anywhere, tile_rows):
+        met = mine.join(hits, ["block", "name"])
+        floor = model.probability(level, 0)
+        worse = [a for a in present if a and min(_better_names(model, level, a)) < floor]
+        if worse:
+            places = offered.select("uid", "address_r")
+            met = lookup(met, places, {"uid": "uid"}, spread_by="name")
+            reached = address_level(F.col("address"), F.col("address_r"), model)
+            met = settle(met.withColumn("_odd", reached.isin(worse)))
+            odd = met.filter("_odd").select("name", "address", "block")
+            if not odd.isEmpty():
+                parts.append(_all_names(odd, offered, model, anywhere, tile_rows))
+            met = met.filter("NOT _odd")
+        parts.append(_scored(met, F.lit(level), F.lit(0), model))
     return parts
 
 
+def _partners(
+    seekers: DataFrame,
+    offered: DataFrame,
+    keys: list[str],
+    model: LinkageModel,
+    chosen: list[tuple[int, int]],
+    tile_rows: int,
+) -> Iterator[tuple[int, DataFrame]]:
+    """Per name level, best first, the names that have a partner at it and at no better one."""
+    if not chosen:
+        return
+    names = seekers.select(*keys, "name").distinct()
+    others = settle(offered.groupBy(*keys, "name_r").agg(F.min("uid").alias("uid")))
+    for level in sorted({n for n, _ in chosen}, reverse=True):
+        hits = first_partners(names, others, keys, model, level, tile_rows)
+        names = names.join(hits, [*keys, "name"], "left_anti")
+        yield level, hits
+
+
+def _tiled(
+    left: DataFrame, right: DataFrame, keys: list[str], own: list[str], tile_rows: int
+) -> DataFrame:
+    """Tiles of left (keys, name) and right (keys, *own) as one row each: keys, names, and an array per column of ``own``."""
+    left, right, tile = tiles(left, right, keys, ["name"], ["name_r"], tile_rows)
+    # At most about ``tile_rows`` names are collected; both sides lie by tile already.
+    lefts = left.groupBy(*tile).agg(F.collect_list("name").alias("names"))
+    rights = right.groupBy(*tile).agg(F.sort_array(F.collect_list(F.struct(*own))).alias("others"))
+    return lefts.join(rights, tile).select(*keys, "names", *[F.col(f"others.{c}") for c in own])
+
+
+def _reached(row: dict, threshold: float) -> np.ndarray:
+    """Pairs of unequal names of a tile that reach the threshold."""
+    similar = reaching(row["names"], row["name_r"], threshold)
+    place = {name: j for j, name in enumerate(row["name_r"])}
+    for i, name in enumerate(row["names"]):
+        if name in place:
+            similar[i, place[name]] = False
+    return similar
+
+
+def _similar_names(
+    left: DataFrame, right: DataFrame, keys: list[str], threshold: float, tile_rows: int
+) -> DataFrame:
+    """All pairs (keys, name, name_r) of unequal names that agree on ``keys`` and reach the threshold."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                i, j = np.nonzero(_reached(row, threshold))
+                columns = [pa.array([row[k]] * len(i), pa.string()) for k in keys]
+                columns += [pa.array([row["names"][x] for x in i], pa.string())]
+                columns += [pa.array([row["name_r"][x] for x in j], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, [*keys, "name", "name_r"])
+
+    layout = ", ".join(f"{c} string" for c in (*keys, "name", "name_r"))
+    return _tiled(left, right, keys, ["name_r"], tile_rows).mapInArrow(compare, layout)
+
+
+def _tile_partners(
+    left: DataFrame, right: DataFrame, keys: list[str], threshold: float, tile_rows: int
+) -> DataFrame:
+    """The smallest ``uid`` that each left (keys, name) finds among right (keys, name_r, uid) of unequal, similar names."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                similar = _reached(row, threshold)
+                hit = np.flatnonzero(similar.any(axis=1))
+                first = similar[hit].argmax(axis=1)  # the others are in the order of their uid
+                columns = [pa.array([row[k]] * len(hit), pa.string()) for k in keys]
+                columns += [pa.array([row["names"][i] for i in hit], pa.string())]
+                columns += [pa.array([row["uid"][j] for j in first], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, [*keys, "name", "uid"])
+
+    layout = ", ".join(f"{c} string" for c in (*keys, "name", "uid"))
+    met = _tiled(left, right, keys, ["uid", "name_r"], tile_rows)
+    return met.mapInArrow(compare, layout).groupBy(*keys, "name").agg(F.min("uid").alias("uid"))
+
+
+def first_partners(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    model: LinkageModel,
+    level: int,
+    tile_rows: int,
+    first: int = FIRST_ROUND,
+) -> DataFrame:
+    """For each left (keys, name) the smallest ``uid`` among right (keys, name_r, uid) whose unequal name reaches ``level``.
+
+    Right names are taken in the order of their identifiers, in rounds of growing size, and who has found a
+    partner leaves: where many names are alike, all are served within the first round or two. Names meet tile by
+    tile, each of which is one row. A round never makes more than MOST_TASKS tasks.
+    """
+    threshold = _name_threshold(model, level)
+    left, rest, size = settle(left), right, first
+    found: list[DataFrame] = []
+    while not left.isEmpty() and not rest.isEmpty():
+        seekers = left.groupBy(*keys).count().agg(F.max("count")).first()[0]
+        size = min(size, max(first, MOST_TASKS * tile_rows**2 // seekers))
+        # Only the first rows of a group leave each task, so a large group is no task's work.
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("uid"))
+        turn = settle(rest.withColumn("_place", place).filter(F.col("_place") <= size).drop("_place"))
+        hits = _tile_partners(left, turn, keys, threshold - HALF_DIGIT, tile_rows)
+        hits = settle(hits)
+        found.append(hits)
+        left = settle(left.join(hits, [*keys, "name"], "left_anti"))
+        # Groups that were taken whole have nothing to offer any more.
+        rest = settle(rest.join(turn, [*keys, "name_r"], "left_anti"))
+        left = left.join(rest.select(*keys).distinct(), keys, "left_semi")
+        size *= ROUND_GROWTH
+    return reduce(DataFrame.unionByName, found) if found else left.withColumn("uid", F.lit(None).cast("string"))
+
+
 def best_matches(
     left: DataFrame,
     right: DataFrame,

@@ -676,3 +676,56 @@ ORACLE["fuzzy_em_trained"] = (
     + ", open_side AS (SELECT * FROM left_side WHERE siren_declared IS NULL), "
     + _TRAINING
 )
+
+
+def with_trained_model(where: str, left: str, body: str) -> str:
+    """``body`` over ``best``, the best matches of ``left`` by the model trained on announcements that fit ``where``."""
+    parts = sql(f"SELECT 1 FROM left_side, right_side, right_values, {left}, exact_links").rsplit("SELECT 1 FROM", 1)[0]
+    training = _TRAINING.rsplit("SELECT field, CAST", 1)[0].rstrip().replace("left_open", left)
+    m_name = ", ".join(f"CAST({m!r} AS DOUBLE)" for m in _BASE.m_name)
+    return f"""{parts.rstrip().replace("WITH ", "WITH RECURSIVE ", 1)},
+open_side AS (SELECT * FROM left_side WHERE {where}), {training},
+params AS (
+  SELECT field, us.level AS level, CASE field WHEN 'address' THEN trained.m[us.level + 1]
+    ELSE [{m_name}][us.level + 1] END AS m, u FROM us, trained),
+probabilities AS (
+  SELECT n.level AS name_level, a.level AS address_level,
+    prior / (1 - prior) * (n.m / n.u * (a.m / a.u)) AS odds
+  FROM params n, params a, rule WHERE n.field = 'name' AND a.field = 'address'),
+levels AS (
+  SELECT l.name, l.address, r.uid, {name_level("l.name", "r.name")} AS name_level,
+    {address_level("l.address", "r.address")} AS address_level
+  FROM {left} l JOIN right_values r ON l.block = r.block),
+best AS (
+  SELECT name, address, uid, p AS match_probability FROM (
+    SELECT name, address, uid, odds / (1 + odds) AS p, row_number() OVER (
+      PARTITION BY name, address ORDER BY odds / (1 + odds) DESC, uid) AS place
+    FROM levels JOIN probabilities USING (name_level, address_level)
+    WHERE odds / (1 + odds) >= {_BASE.threshold!r}) WHERE place = 1)
+{body}"""
+
+
+ORACLE["cascade"] = with_trained_model(
+    "siren_declared IS NULL",
+    "left_open",
+    """
+SELECT bodacc_announcement_id, siren_bodacc, siret_siege, match_method, match_confidence FROM exact_links
+UNION ALL
+SELECT l.uid, NULL, b.uid, CASE WHEN b.uid IS NULL THEN 'unresolved' ELSE 'splink_fuzzy' END,
+  round(b.match_probability, 6)
+FROM left_side l LEFT JOIN best b ON l.denomination_clean = b.name AND l.adresse_clean = b.address
+WHERE l.siren_declared IS NULL""",
+)
+ORACLE["precision_recall_trained"] = with_trained_model(
+    "siren_declared IS NOT NULL",
+    "left_matched",
+    """, guessed AS (
+  SELECT l.uid AS bodacc_announcement_id, b.uid AS siret_siege
+  FROM left_side l JOIN best b ON l.denomination_clean = b.name AND l.adresse_clean = b.address
+  WHERE l.siren_declared IS NOT NULL)
+SELECT total, predicted, correct,
+  round(CASE WHEN predicted > 0 THEN CAST(correct AS DOUBLE) / predicted ELSE 0 END, 9) AS "precision",
+  round(CASE WHEN total > 0 THEN CAST(correct AS DOUBLE) / total ELSE 0 END, 9) AS recall
+FROM (SELECT count(*) AS total, count(p.siret_siege) AS predicted, count(*) FILTER (p.siret_siege = e.siret_siege) AS correct
+  FROM exact_links e LEFT JOIN guessed p USING (bodacc_announcement_id))""",
+)

@@ -69,6 +69,23 @@ def test_similarity_equals_its_definition_at_any_length():
     assert similarity.jaro_winkler_pairs(pd.Series([None, "a"]), pd.Series(["a", None])).isna().all()
 
 
+@pytest.mark.parametrize("threshold", [0.7, 0.9])
+def test_tiles_of_names_reach_what_pairs_reach(threshold):
+    rng = random.Random(6)
+
+    def some(count):
+        texts = ["soci" * rng.randint(0, 1) + "".join(rng.choices("abcdé 𝄞", k=rng.randint(0, n))) for n in (4, 12, 30, 64, 90) for _ in range(count)]
+        return texts + [t[::-1] for t in texts[:5]] + [t[:-1] + "x" for t in texts[-12:]]
+
+    lefts, rights = some(14), some(9)
+    rights += [t[1:] + "a" for t in lefts[::3]] + lefts[:4]
+    pairs = pd.Series([a for a in lefts for _ in rights]), pd.Series([b for _ in lefts for b in rights])
+    want = similarity.jaro_winkler_pairs(*pairs).to_numpy().reshape(len(lefts), len(rights)) >= threshold
+    assert (similarity.reaching(lefts, rights, threshold) == want).all() and want.any()
+    assert similarity.reaching([], rights, threshold).shape == (0, len(rights))
+    assert similarity.reaching(lefts, [""], threshold).sum() == 0
+
+
 def test_bound_never_excludes_a_pair_that_reaches_the_threshold(spark):
     rng = random.Random(9)
     names = sorted({"".join(rng.choices("abcde", k=rng.randint(1, 14))) for _ in range(120)})
@@ -107,6 +124,30 @@ def test_near_texts_share_a_segment(spark, depth):
                 assert found[a][0] & found[b][1], (a, b)
 
 
+@pytest.mark.parametrize("parts", [2, 4])
+def test_near_texts_share_one_of_any_segments(spark, parts):
+    rng = random.Random(3)
+    texts = sorted({"".join(rng.choices("ab1", k=rng.randint(0, 12))) for _ in range(120)})
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    keys = df.select("t", segment_keys(F.col("t"), 1, parts).alias("k"), segment_probes(F.col("t"), 1, parts).alias("p"))
+    found = {r.t: (r.k, set(r.p)) for r in keys.collect()}
+    for a in texts:
+        for b in texts:
+            if distance(a, b) <= 1:
+                assert sum(k in found[b][1] for k in found[a][0]) >= parts - 1, (a, b)
+
+
+def test_a_shared_postcode_makes_no_square(spark, monkeypatch):
+    rng = random.Random(8)
+    towns = sorted({"".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=14)) for _ in range(2000)})
+    left = spark.createDataFrame([(f"75001 {t}",) for t in towns], "address string")
+    right = spark.createDataFrame([(f"75001 {t[:-1]}x",) for t in towns], "address string")
+    candidates = linkage.address_candidates(left, right, LinkageModel())
+    assert candidates.count() < 20 * len(towns)
+    pairs = linkage.near_addresses(left, right, LinkageModel())
+    assert pairs.filter(F.substring("address_l", 1, 19) == F.substring("address_r", 1, 19)).count() == len(towns)
+
+
 def test_a_long_address_has_as_many_keys_as_a_short_one(spark, rows):
     long = "".join(random.Random(1).choices("abcdef ", k=20_000))
     near = long[:9_000] + "x" + long[9_001:-1]
@@ -159,7 +200,7 @@ def test_counts_by_address_level_equal_listing_all_pairs(sides):
 
 
 @pytest.mark.parametrize("seed", range(8))
-def test_best_matches_equal_scoring_all_pairs(sides, seed):
+def test_best_matches_equal_scoring_all_pairs(sides, seed, monkeypatch):
     left, right, _, vl, vr, in_block = sides
     rng = random.Random(seed)
 
@@ -179,11 +220,49 @@ def test_best_matches_equal_scoring_all_pairs(sides, seed):
         if p >= model.threshold:
             value, offer = left[i][1:], (-p, right[j][0])
             expected[value] = min(expected.get(value, offer), offer)
+    monkeypatch.setattr(linkage.first_partners, "__defaults__", (rng.choice([1, 3, 64]),))
     best = linkage.best_matches(vl, vr, model, tile_rows=rng.choice([3, 1000]))
     got = {(r.name, r.address): (-r.match_probability, r.uid) for r in best.collect()}
     assert got == expected
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_trained_like_models_equal_scoring_all_pairs(sides, seed, monkeypatch):
+    """Names more alike score more in these, addresses more alike not always; unrelated addresses are accepted."""
+    left, right, _, vl, vr, in_block = sides
+    model = LinkageModel(
+        prior=(0.3, 0.5, 0.7, 0.3, 0.5, 0.25)[seed],
+        u_name=(0.5, 0.3, 0.15, 0.05),
+        u_address=(0.6, 0.2, 0.1, 0.1),
+        m_name=(0.02, 0.28, 0.3, 0.4) if seed % 2 else (0.1, 0.2, 0.3, 0.4),
+        m_address=(0.3, 0.2, 0.2, 0.3) if seed < 3 else (0.5, 0.02, 0.03, 0.45),
+    )
+    pairs = [(n, a) for n in (1, 2) for a in model.address_levels if model.accepts(n, a)]
+    assert pairs and all(linkage._names_in_order(model, n, a) for n, a in pairs)
+    expected = {}
+    for (i, j), pattern in in_block.items():
+        p = model.probability(*pattern)
+        if p >= model.threshold:
+            value, offer = left[i][1:], (-p, right[j][0])
+            expected[value] = min(expected.get(value, offer), offer)
+    monkeypatch.setattr(linkage, "ROUND_GROWTH", 2)
+    monkeypatch.setattr(linkage.first_partners, "__defaults__", (1 + seed,))
+    best = linkage.best_matches(vl, vr, model, tile_rows=(3, 1000)[seed % 2])
+    got = {(r.name, r.address): (-r.match_probability, r.uid) for r in best.collect()}
+    assert got == expected
+
+
+def test_first_partners_stop_early(spark, monkeypatch):
+    left = spark.range(300).selectExpr("'bloc' AS block", "concat('bloc name ', id) AS name")
+    right = spark.range(5000).selectExpr("'bloc' AS block", "concat('bloc nama ', id) AS name_r", "lpad(id, 6, '0') AS uid")
+    asked = []
+    compared = linkage._tile_partners
+    monkeypatch.setattr(linkage, "_tile_partners", lambda l, r, *a: asked.append(l.count() * r.count()) or compared(l, r, *a))
+    hits = linkage.first_partners(left, right, ["block"], LinkageModel(), 1, 1000)
+    assert {r.uid for r in hits.collect()} == {"000000"} and hits.count() == 300
+    assert asked == [300 * linkage.FIRST_ROUND]
+
+
 def test_tiles_cut_a_hot_group_and_keep_every_pair(spark):
     left = spark.range(50).selectExpr("'hot' AS k", "id AS a").union(
         spark.range(3).selectExpr("'cold'", "id")

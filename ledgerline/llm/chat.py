@@ -1,12 +1,16 @@
 """Chat formatting: records of any layout become turns, turns become a templated text with a loss mask.
 
 A record's layout is known by its fingerprint, the hash of its nested field paths; the fingerprint selects a
-declarative mapping to turns. Everything is a column expression over VARIANT values and strings.
+declarative mapping to turns. A record that has more fields than a layout needs is mapped by the first layout whose
+paths it has; one that no layout fits is set apart, with its fingerprint. Everything is a column expression over VARIANT
+values and strings.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,7 +76,10 @@ def fingerprint(record: Column) -> Column:
     return F.when(record.isNotNull(), F.xxhash64(field_paths(record)))
 
 
-def _at(record: Column, path: str) -> Column:
+def _at(record: Column, path: str, outside: Mapping[str, Column]) -> Column:
+    """Text at a path; ``outside`` has texts that are not in the record itself, by their path."""
+    if path in outside:
+        return F.coalesce(outside[path], F.lit(""))
     return F.coalesce(F.try_variant_get(record, path, "string"), F.lit(""))
 
 
@@ -82,35 +89,79 @@ def _renamed(role: Column, names: dict[str, str]) -> Column:
     return role
 
 
-def _turns(record: Column, layout: Layout) -> Column:
+def _turns(record: Column, layout: Layout, outside: Mapping[str, Column]) -> Column:
     if layout.turns is not None:
         elements = F.try_variant_get(record, layout.turns, "array<variant>")
 
         def turn(e: Column) -> Column:
-            role = _renamed(_at(e, f"$.{layout.role}"), layout.names)
-            return F.struct(role.alias("role"), _at(e, f"$.{layout.text}").alias("text"))
+            role = _renamed(_at(e, f"$.{layout.role}", {}), layout.names)
+            return F.struct(role.alias("role"), _at(e, f"$.{layout.text}", {}).alias("text"))
 
         return F.transform(elements, turn)
     made = []
     for role, paths in layout.parts:
-        name = _renamed(_at(record, role), layout.names) if role.startswith("$") else F.lit(role)
-        filled = F.filter(F.array(*(_at(record, p) for p in paths)).cast("array<string>"), lambda x: x != "")
+        name = _renamed(_at(record, role, outside), layout.names) if role.startswith("$") else F.lit(role)
+        filled = F.filter(F.array(*(_at(record, p, outside) for p in paths)).cast("array<string>"), lambda x: x != "")
         made.append(F.struct(name.alias("role"), F.array_join(filled, "\n\n").alias("text")))
     return F.array(*made)
 
 
-def canonical(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
-    """Turns (role, text) of a VARIANT record; NULL if no layout has its fingerprint. A missing text is empty."""
+def _has(record: Column, layout: Layout) -> Column:
+    """Whether a record has the paths that a layout reads, beside any others."""
+    if layout.turns is not None:
+        elements = F.try_variant_get(record, layout.turns, "array<variant>")
+        named = F.forall(elements, lambda e: F.try_variant_get(e, f"$.{layout.role}", "string").isNotNull())
+        told = F.exists(elements, lambda e: F.try_variant_get(e, f"$.{layout.text}", "string").isNotNull())
+        return F.coalesce(named & (told | (F.size(elements) == 0)), F.lit(False))
+    paths = [p for role, texts in layout.parts for p in (role, *texts) if p.startswith("$")]
+    return reduce(lambda a, b: a & b, [F.try_variant_get(record, p, "variant").isNotNull() for p in paths])
+
+
+def _needs(layout: Layout) -> int:
+    """Fields that a layout reads; with fewer than two a record says too little to be taken for one of its kind."""
+    return 2 if layout.turns is not None else sum(len(p) + role.startswith("$") for role, p in layout.parts)
+
+
+def canonical(record: Column, layouts: tuple[Layout, ...] = LAYOUTS, outside: Mapping[str, Column] | None = None) -> Column:
+    """Turns (role, text) of a VARIANT record; NULL if no layout fits it. A missing text is empty.
+
+    A layout with the record's fingerprint is chosen first, then the one with the most paths that the record has,
+    arrays of turns before all others. A VARIANT is limited in size: texts of any length may be given
+    ``outside`` of it, by path, with something short in their place.
+    """
+    outside = outside or {}
+    loose = [x for x in layouts if _needs(x) > 1]
+    loose.sort(key=lambda x: (x.turns is not None, _needs(x)))
 
     def selected(shape: Column) -> Column:
         out = F.lit(None).cast(TURNS)
+        for layout in loose:
+            out = F.when(_has(record, layout), _turns(record, layout, outside).cast(TURNS)).otherwise(out)
         for layout in layouts:
-            out = F.when(shape == F.xxhash64(F.lit(layout.paths)), _turns(record, layout).cast(TURNS)).otherwise(out)
+            out = F.when(shape == F.xxhash64(F.lit(layout.paths)), _turns(record, layout, outside).cast(TURNS)).otherwise(out)
         return out
 
     return let(fingerprint(record), selected)
 
 
+def split_records(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> tuple[DataFrame, DataFrame]:
+    """Rows (conv_id, turn, record) as turns (conv_id, turn, turns), and those without a layout with fingerprint and JSON text.
+
+    Together they are all rows; a NULL record has no layout, no fingerprint and no text.
+    """
+    mapped = records.select("conv_id", "turn", "record", canonical(F.col("record"), layouts).alias("turns"))
+    known = F.col("turns").isNotNull()
+    lost = mapped.where(~known).select("conv_id", "turn", fingerprint(F.col("record")).alias("fingerprint"), F.to_json("record").alias("record"))
+    return mapped.where(known).select("conv_id", "turn", "turns"), lost
+
+
+def turns_of_columns(rows: DataFrame) -> DataFrame:
+    """(conv_id, turn, turns) of rows (conv_id, turn, role, text): records of the layout that the columns are, at any length."""
+    shape = F.to_variant_object(F.struct(F.substring("role", 1, 0).alias("role"), F.substring("text", 1, 0).alias("text")))
+    outside = {"$.role": F.col("role"), "$.text": F.col("text")}
+    return rows.select("conv_id", "turn", canonical(shape, outside=outside).alias("turns"))
+
+
 def escaped(text: Column) -> Column:
     """Text in which no control string occurs; ``unescaped`` restores it."""
     return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\|"))
@@ -146,7 +197,7 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     """One row per conversation: conv_id and its segments, from rows (conv_id, turn, turns).
 
     Rows are ordered by turn, then by their turns (so repeated rows stay, and ties have one order). Rows whose ``turns``
-    are NULL (no known layout) add nothing. The rows of a conversation meet in one row, since they are one text.
+    are NULL add nothing (``split_records`` sets records without a layout apart). The rows of a conversation meet in one row, since they are one text.
     """
     ordered = F.array_sort(F.collect_list(F.struct("turn", "turns")))
     together = turns.groupBy("conv_id").agg(ordered.alias("rows"))

@@ -227,3 +227,37 @@ def test_conversations_round_trip(spark):
         assert got[conv]["turns_sha256"] == sha256("".join(f"{r}\n{t}\n" for r, t in mine).encode()).hexdigest()
         assert (got[conv]["loss_chars"], got[conv]["loss_sha256"]) == (len(loss), sha256(loss.encode()).hexdigest())
     assert chat.format_conversations(records.limit(0)).collect() == []
+
+
+ONE_MORE = [
+    ('{"prompt": "p", "completion": "c", "id": 7}', [("user", "p"), ("assistant", "c")]),
+    ('{"prompt": "p", "response": "c", "meta": {"a": [1]}}', [("user", "p"), ("assistant", "c")]),
+    ('{"instruction": "i", "output": "o", "id": 7}', [("user", "i"), ("assistant", "o")]),
+    ('{"instruction": "i", "input": "n", "output": "o", "id": null}', [("user", "i\n\nn"), ("assistant", "o")]),
+    ('{"messages": [{"role": "user", "content": "a"}], "id": 7}', [("user", "a")]),
+    ('{"messages": [{"role": "user", "content": "a", "name": "x"}, {"role": "assistant"}]}', [("user", "a"), ("assistant", "")]),
+    ('{"conversations": [{"from": "gpt", "value": "b"}], "a": {"b": {"c": {"d": {"e": {"f": 1}}}}}}', [("assistant", "b")]),
+    ('{"messages": [], "id": 7}', []),
+    ('{"role": "user", "text": "t", "id": 7}', [("user", "t")]),
+]
+
+
+def test_records_with_more_fields_are_mapped_too(spark):
+    rows = [(1, i, j) for i, (j, _) in enumerate(ONE_MORE)] + [(2, 0, '{"id": 1, "content": "x"}'), (2, 1, "[1]"), (2, 2, None), (2, 3, '{"text": "x", "label": 1}')]
+    records = spark.createDataFrame(rows, "conv_id int, turn int, j string").select("conv_id", "turn", F.parse_json("j").alias("record"))
+    turns, lost = chat.split_records(records)
+    got = {r["turn"]: [tuple(t) for t in r["turns"]] for r in turns.where("conv_id = 1").collect()}
+    assert got == {i: want for i, (_, want) in enumerate(ONE_MORE)}
+    assert turns.count() + lost.count() == len(rows)
+    kept = {r["turn"]: (r["fingerprint"], r["record"]) for r in lost.collect()}
+    assert set(kept) == {0, 1, 2, 3} and kept[2] == (None, None)
+    assert kept[0][0] is not None and kept[0][1] == '{"content":"x","id":1}'
+
+
+def test_columns_of_any_length_are_turns(spark):
+    rows = [(1, 0, "user", "x" * 25_000_000), (1, 1, None, "a"), (1, 2, "assistant", None), (2, None, "", "<|im_end|>")]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    got = {r["conv_id"]: r for r in chat.conversation_digest(chat.format_conversations(chat.turns_of_columns(df))).collect()}
+    text = "".join(f"{role or ''}\n{t or ''}\n" for _, _, role, t in rows[:3])
+    assert got[1]["turns_sha256"] == sha256(text.encode()).hexdigest()
+    assert (got[1]["n_turns"], got[1]["loss_chars"], got[2]["n_turns"]) == (3, 0, 1)

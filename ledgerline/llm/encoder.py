@@ -141,9 +141,9 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, most_words: int = MOST_WORDS) -> WordEncoder:
     """The encoder of this worker for a tokenizer file."""
-    return WordEncoder(path)
+    return WordEncoder(path, most_words)
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.batches import pieces, texts_of
 from ledgerline.llm.encoder import WordEncoder, encoder
+from ledgerline.llm.native import longs
 from ledgerline.llm.tables import narrow, stored, type_of, version
 
 LEAF_CHARS = 512
+#: Distinct words that a worker remembers here, where two kinds of work share an executor's memory.
+MOST_WORDS = 150_000
 #: ASCII white space; what a leaf begins after.
 SPACE = re.compile(r"[ \t\n\x0b\x0c\r]+")
 SPACES = " \t\n\x0b\x0c\r"
@@ -141,7 +144,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             split = [leaves_of(t.decode("utf-8", "replace")) for t in texts_of(batch)]
-            _, counts = encoder(tokenizer).encode([leaf.encode() for leaves in split for leaf in leaves])
+            _, counts = encoder(tokenizer, MOST_WORDS).encode([leaf.encode() for leaves in split for leaf in leaves])
             trees, at = [], 0
             for leaves in split:
                 trees.append(Tree.of([len(leaf) for leaf in leaves], counts[at : at + len(leaves)].tolist()))
@@ -158,7 +161,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
             )
 
     schema = f"doc_id {type_of(rows, 'doc_id')}, version bigint, n_tokens bigint, chars array<bigint>, tokens array<bigint>"
-    return stored(rows.mapInArrow(count, schema).dropDuplicates(["doc_id", "version"]), "token-trees")
+    # Only ids and hashes are shuffled to see whether any row comes twice.
+    names = ["doc_id", "version"]
+    twice = not rows.groupBy(*names).count().where("count > 1").isEmpty()
+    return stored((rows.dropDuplicates(names) if twice else rows).mapInArrow(count, schema), "token-trees")
 
 
 def apply_edits(trees: DataFrame, edits: DataFrame, tokenizer: str) -> DataFrame:
@@ -172,20 +178,17 @@ def apply_edits(trees: DataFrame, edits: DataFrame, tokenizer: str) -> DataFrame
         F.col("doc_id").alias("of"), version(F.col("text")).alias("of_version"), F.coalesce("text", F.lit("")).alias("text"), "edits"
     ).dropDuplicates(["of", "of_version"])
     same = trees["doc_id"].eqNullSafe(changed["of"]) & (trees["version"] == changed["of_version"])
-    joined = trees.join(changed, same, "left").select("doc_id", "n_tokens", "chars", "tokens", "text", "edits")
+    joined = trees.join(changed, same).select("doc_id", "n_tokens", "chars", "tokens", "text", "edits")
 
     def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             out = {c: [] for c in ("n_edits", "n_edited", "n_recounted", "n_chars", "chars", "tokens", "text")}
-            columns = (batch.column(c).to_pylist() for c in ("n_tokens", "chars", "tokens", "text", "edits"))
-            for n, chars, tokens, text, listed in zip(*columns, strict=True):
-                done, recounted, new = [], 0, None
-                if listed:
-                    tree = Tree(np.array(chars, np.int64), np.array(tokens, np.int64))
-                    done = ordered([(e["start"], e["length"], e["replacement"]) for e in listed], len(text))
-                    recounted, new = recount(tree, text, done, encoder(tokenizer)), edited(text, done)
-                    chars, tokens = tree.chars, tree.tokens
-                row = (len(done), int(tokens[1]) if done else n, recounted, int(chars[1]), chars, tokens, new)
+            columns = (batch.column(c).to_pylist() for c in ("chars", "tokens", "text", "edits"))
+            for chars, tokens, text, listed in zip(*columns, strict=True):
+                tree = Tree(np.array(chars, np.int64), np.array(tokens, np.int64))
+                done = ordered([(e["start"], e["length"], e["replacement"]) for e in listed], len(text))
+                recounted = recount(tree, text, done, encoder(tokenizer, MOST_WORDS))
+                row = (len(done), int(tree.tokens[1]), recounted, int(tree.chars[1]), tree.chars, tree.tokens, edited(text, done))
                 for name, value in zip(out, row, strict=True):
                     out[name].append(value)
             types = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2 + [pa.string()]
@@ -196,7 +199,20 @@ def apply_edits(trees: DataFrame, edits: DataFrame, tokenizer: str) -> DataFrame
         f"doc_id {type_of(trees, 'doc_id')}, n_tokens bigint, n_edits bigint, n_edited bigint, n_recounted bigint, n_chars bigint, "
         "chars array<bigint>, tokens array<bigint>, text string"
     )
-    return joined.mapInArrow(update, schema)
+    # Documents without edits stay as they are, and where they are: no task of Python sees them.
+    none = longs(0)
+    kept = trees.join(changed.select("of", "of_version"), same, "left_anti").select(
+        "doc_id",
+        "n_tokens",
+        none.alias("n_edits"),
+        F.col("n_tokens").alias("n_edited"),
+        none.alias("n_recounted"),
+        F.get("chars", F.lit(1)).alias("n_chars"),
+        "chars",
+        "tokens",
+        F.lit(None).cast("string").alias("text"),
+    )
+    return joined.mapInArrow(update, schema).unionByName(kept)
 
 
 EMAIL = re.compile(r"[A-Za-z0-9._+-]{1,64}@[A-Za-z0-9.-]{1,255}")
@@ -223,7 +239,10 @@ def cleaned(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     def edits(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("replacement", pa.string())]))
         for array in texts:
-            found = [cleaning_edits(t or "") for t in array.to_pylist()]
-            yield pa.array([[{"start": s, "length": n, "replacement": r} for s, n, r in f] for f in found], kind)
+            found = []
+            for piece in pieces([pa.RecordBatch.from_arrays([array], ["text"])]):
+                for t in piece.column("text").to_pylist():
+                    found.append([{"start": s, "length": n, "replacement": r} for s, n, r in cleaning_edits(t or "")])
+            yield pa.array(found, kind)
 
     return narrow(docs, key, text).withColumn("edits", edits("text"))

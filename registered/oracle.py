@@ -604,6 +604,7 @@ ORACLE: dict[str, str] = {
 }
 
 # The jobs version what the cascade finds.
+ORACLE["history_of_key"] = ORACLE["history"]
 ORACLE["markets_rerun"] = ORACLE["markets_daily"]
 ORACLE["scd2_days_in_any_order"] = ORACLE["scd2_replay"]
 ORACLE["announcements_daily"] = ORACLE["announcements_stream"] = ORACLE["cascade_fixed_params"].replace(

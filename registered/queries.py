@@ -754,6 +754,19 @@ def history(spark, sf_dir):
     return serve.history(establishment_gold(spark, sf_dir), CHANGED_SIRET)
 
 
+@register
+def history_of_key(spark, sf_dir):
+    """The same from the gold table of the daily job: one bucket of current rows, and closed ones that may have the key."""
+    names = [f"job_{uuid.uuid4().hex}" for _ in range(2)]
+    for bronze, day in ((inputs.stock, DAY_1), (inputs.diff, DAY_2)):
+        daily.establishments_daily(bronze(spark, sf_dir), *names, day)
+    rows = versions.of_key(spark, names[1], schemas.GOLD_ESTABLISHMENT, siret=CHANGED_SIRET)
+    after = settle(serve.history(rows, CHANGED_SIRET))
+    for name in names:
+        versions.drop(spark, name)
+    return after
+
+
 @register
 def announcements_of(spark, sf_dir):
     return serve.announcements_of(serving_join(spark, sf_dir), SOME_SIRET)

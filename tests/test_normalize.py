@@ -90,10 +90,10 @@ def test_establishment_takes_first_period_and_survives_missing_parts(spark, rows
 @pytest.mark.parametrize(
     "unit, name",
     [
-        ({"denominationUniteLegale": "DUPONT SA", "nomUniteLegale": "X"}, "DUPONT SA"),
-        ({"nomUniteLegale": "MARTIN", "prenomUsuelUniteLegale": "Julien"}, "MARTIN Julien"),
-        ({"denominationUniteLegale": "", "nomUniteLegale": "MARTIN"}, "MARTIN"),
-        ({"prenomUsuelUniteLegale": "Julien"}, None),
+        ({"denominationUniteLegale": "SCIERIE DU LAC", "nomUniteLegale": "X"}, "SCIERIE DU LAC"),
+        ({"nomUniteLegale": "KERGOAT", "prenomUsuelUniteLegale": "Enora"}, "KERGOAT Enora"),
+        ({"denominationUniteLegale": "", "nomUniteLegale": "KERGOAT"}, "KERGOAT"),
+        ({"prenomUsuelUniteLegale": "Enora"}, None),
         ({}, None),
     ],
 )
@@ -105,8 +105,8 @@ def test_candidate_name(spark, unit, name):
 
 
 def test_folded_text(spark):
-    df = spark.createDataFrame([("  DUPONT Batiment  ", "08000", None)], "a string, b string, c string")
+    df = spark.createDataFrame([("  SCIERIE du Lac  ", "74000", None)], "a string, b string, c string")
     one = df.select(
-        folded(F.col("a")), folded(F.col("b"), F.lit("Charleville-Mezieres")), folded(F.col("c"), F.col("c"))
+        folded(F.col("a")), folded(F.col("b"), F.lit("Saint-Jorioz")), folded(F.col("c"), F.col("c"))
     ).first()
-    assert tuple(one) == ("dupont batiment", "08000 charleville-mezieres", "")
+    assert tuple(one) == ("scierie du lac", "74000 saint-jorioz", "")

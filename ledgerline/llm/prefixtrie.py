@@ -31,7 +31,7 @@ from ledgerline.llm.tables import stored, with_place, words
 CHUNK = 4096
 #: Nodes above the shards at most, and the least bound of a shard in conversations.
 MOST_ABOVE = 100_000
-LEAST_SHARD = 1024
+LEAST_SHARD = 64
 #: Messages that a queue holds in memory, and how many it writes or reads at a time.
 MOST_QUEUED = 200_000
 BLOCK = 1000

@@ -68,12 +68,35 @@ def slots_of(before: np.ndarray, second: np.ndarray) -> np.ndarray:
     return np.stack([zero + BEGINS[0], BEGINS[1] + before * CLASSES, BEGINS[2] + (second * CLASSES + before) * CLASSES], axis=-1)
 
 
-def following(lists: pa.ListArray) -> np.ndarray:
+def packed(values: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+    """Lists of numbers (``ends`` has where each list begins and ends) as bytes: seven bits a byte, lowest first, the last below 128."""
+    sizes = 1 + np.sum([values >> (7 * k) > 0 for k in range(1, 9)], axis=0, dtype=np.int64) if len(values) else np.zeros(0, np.int64)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    raw = np.zeros(int(starts[-1]), np.uint8)
+    for k in range(int(sizes.max(initial=0))):
+        at = np.flatnonzero(sizes > k)
+        raw[starts[at] + k] = (values[at] >> (7 * k) & 127) | np.where(sizes[at] > k + 1, 128, 0)
+    offsets = pa.py_buffer(starts[ends].astype(np.int32))
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, pa.py_buffer(raw)])
+
+
+def unpacked(lists: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of packed lists one after another, and the list of each."""
+    offsets = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1] if len(lists) else np.zeros(1, np.int32)
+    raw = np.frombuffer(lists.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]] if len(lists) else np.zeros(0, np.uint8)
+    lasts = np.flatnonzero(raw < 128)
+    starts = np.concatenate([[0], lasts[:-1] + 1]) if len(lasts) else np.zeros(0, np.int64)
+    place = np.arange(len(raw)) - np.repeat(starts, lasts + 1 - starts)
+    values = np.add.reduceat((raw & 127).astype(np.int64) << (7 * place), starts) if len(lasts) else np.zeros(0, np.int64)
+    return values, np.searchsorted(offsets[1:] - offsets[0], starts, "right")
+
+
+def following(lists: pa.BinaryArray) -> np.ndarray:
     """Log-odds of the bits after each word, by node, from its packed (count, class) pairs; in front a row of a word without any."""
     out = np.zeros((len(lists) + 1, CLASSES), np.float32)
     for begin in range(0, len(lists), WORDS_AT_ONCE):
         part = lists.slice(begin, WORDS_AT_ONCE)
-        values, owner = part.flatten().to_numpy(), np.repeat(np.arange(len(part)), pc.list_value_length(part).to_numpy())
+        values, owner = unpacked(part)
         counts = np.bincount(owner * CLASSES + values % CLASSES, values >> CLASS_BITS, len(part) * CLASSES)
         for i in range(CLASS_BITS):
             seen = counts.reshape(len(part), 2 << i, -1).sum(axis=2) + 0.4
@@ -95,7 +118,7 @@ def held_out(doc_id: object, folds: int, fold: int) -> bool:
 
 
 def segments(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, fold: int = 2) -> DataFrame:
-    """Stored: rows of segments' words (with their training counts, and the classes after them as count * CLASSES + class), of their documents, and of the tasks' bit counters.
+    """Stored: rows of segments' words (with their training counts, and the classes after them, packed as count * CLASSES + class), of their documents, and of the tasks' bit counters.
 
     A null text is empty: an end alone. The documents whose crc32(key) mod ``folds`` is ``fold`` are held out; a null key counts as
     an empty text.
@@ -105,7 +128,7 @@ def segments(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: in
     fields = [("doc_id", to_arrow_type(rows.schema["doc_id"].dataType)), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]
     types = {
         "kind": pa.string(), "segment": pa.int64(), "number": pa.int64(), "term": pa.binary(), "code": pa.int32(), "n": pa.int64(),
-        "n1": pa.int64(), "next": pa.list_(pa.int64()), "documents": pa.list_(pa.struct(fields)), "tokens": pa.binary(), "codes": pa.binary(),
+        "n1": pa.int64(), "next": pa.binary(), "documents": pa.list_(pa.struct(fields)), "tokens": pa.binary(), "codes": pa.binary(),
     }
 
     def rows_of(kind: str, size: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -147,11 +170,11 @@ def segments(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: in
         trained = np.repeat(~out, lengths)
         pairs, n = np.unique(before[trained].astype(np.int64) * CLASSES + np.array(part.codes)[tokens[trained]], return_counts=True)
         ends = np.searchsorted(pairs, np.arange(len(counts) + 1) * CLASSES)
-        after = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(n.astype(np.int64) << CLASS_BITS | pairs % CLASSES))
+        after = packed(n.astype(np.int64) << CLASS_BITS | pairs % CLASSES, ends)
         words = {"next": after, "term": pa.array(list(part.numbers), pa.binary()), "code": pa.array(part.codes, pa.int32()), "n": pa.array(counts, pa.int64())}
         yield rows_of("word", len(counts), segment=same, number=pa.array(np.arange(len(counts))), **words)
 
-    schema = f"kind string, segment bigint, number bigint, term binary, code int, n bigint, n1 bigint, next array<bigint>, documents {documents}, tokens binary, codes binary"
+    schema = f"kind string, segment bigint, number bigint, term binary, code int, n bigint, n1 bigint, next binary, documents {documents}, tokens binary, codes binary"
     return stored(rows.mapInArrow(build, schema), "lm-segments")
 
 
@@ -276,11 +299,12 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = begins(rows)
         of, starts, lists = np.cumsum(first) - 1, np.flatnonzero(first), rows.column("next")
         c = np.add.reduceat(rows.column("n").to_numpy(), starts)
-        values, owner = lists.flatten().to_numpy(), np.repeat(of, pc.list_value_length(lists).to_numpy())
+        values, owner = unpacked(lists)
+        owner = of[owner]
         pairs, at = np.unique(owner * CLASSES + values % CLASSES, return_inverse=True)
         sums = np.bincount(at, values >> CLASS_BITS, len(pairs)).astype(np.int64)
         ends = np.searchsorted(pairs, np.arange(len(starts) + 1) * CLASSES)
-        totals = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sums << CLASS_BITS | pairs % CLASSES))
+        totals = packed(sums << CLASS_BITS | pairs % CLASSES, ends)
         known = np.flatnonzero(c[of] > 0)
         kept = rows.select(["segment", "number", "code"]).take(pa.array(known))
         more = {"c": pa.array(c[of[known]]), "first": pa.array(first[known]), "next": totals.take(pa.array(of[known]))}
@@ -307,7 +331,7 @@ def known_words(parts: DataFrame) -> DataFrame:
     """
     words = parts.where("kind = 'word'").select("term", "segment", "number", "code", "n", "next")
     dealt = words.repartition("term").sortWithinPartitions("term", F.desc("n"), "segment")
-    return stored(dealt.mapInArrow(_totals, "segment bigint, number bigint, code int, c bigint, first boolean, next array<bigint>"), "lm-words")
+    return stored(dealt.mapInArrow(_totals, "segment bigint, number bigint, code int, c bigint, first boolean, next binary"), "lm-words")
 
 
 def train(parts: DataFrame, known: DataFrame) -> Model:

@@ -5,6 +5,9 @@ import zlib
 from collections import Counter
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
+
 from ledgerline.llm import mixing
 from ledgerline.llm.tables import stored
 
@@ -40,5 +43,19 @@ def test_contexts_are_counted_over_all_segments(spark, documents, monkeypatch):
     assert {terms[r["segment"], r["number"]] for r in known} == set(want)
     assert sum(r["first"] for r in known) == len(want)
     for r in known:
-        assert {v % 64: v >> 6 for v in r["next"]} == want[terms[r["segment"], r["number"]]]
+        values, _ = mixing.unpacked(pa.array([bytes(r["next"])], pa.binary()))
+        assert {v % 64: v >> 6 for v in values.tolist()} == want[terms[r["segment"], r["number"]]]
         assert sum(want[terms[r["segment"], r["number"]]].values()) == r["c"]
+
+
+def test_packed_lists_are_restored():
+    rng = random.Random(7)
+    lists = [[rng.randrange(1 << rng.randrange(1, 50)) for _ in range(rng.randrange(5))] for _ in range(300)] + [[], [0], []]
+    flat = np.array([v for x in lists for v in x], np.int64)
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    array = mixing.packed(flat, ends)
+    for begin, size in ((0, 303), (100, 50), (302, 1), (5, 0)):
+        values, owner = mixing.unpacked(array.slice(begin, size))
+        got = [values[owner == i].tolist() for i in range(size)]
+        assert got == lists[begin : begin + size]
+    assert len(mixing.packed(np.zeros(0, np.int64), np.zeros(1, np.int64))) == 0

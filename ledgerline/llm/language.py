@@ -38,6 +38,10 @@ def letter_vector(code: int, dimensions: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, code]).integers(0, 2, dimensions, np.int8) * 2 - 1
 
 
+#: Text bytes that are worked on at a time: some fifty bytes of arrays for each of them.
+TEXT_BYTES = 3 << 19
+
+
 @dataclass
 class Groups:
     """Three-letter groups of some texts: for each occurrence its text and its number, and the groups by number."""
@@ -135,7 +139,7 @@ def learn(docs: DataFrame, text: str = "text", language: str = "lang", dimension
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=TEXT_BYTES):
             names = batch.column("lang").to_pylist()
             order = sorted(set(names))
             rank = np.array([order.index(n) for n in names])
@@ -167,7 +171,7 @@ def predicted(profiles: Profiles, text: Column | str) -> Column:
     def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for array in texts:
             names, scores = [], []
-            for piece in pieces([pa.RecordBatch.from_arrays([array], ["text"])]):
+            for piece in pieces([pa.RecordBatch.from_arrays([array], ["text"])], most=TEXT_BYTES):
                 some, cosines = profiles.predict(texts_of(piece))
                 names += some
                 scores.append(cosines)

@@ -5,6 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
+from ledgerline.llm import neardup
 
 NAMES = [name for name, _ in corpus_pipeline.STAGES]
 
@@ -14,11 +15,17 @@ def sentence(rng, words=60):
     return " ".join("".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(words))
 
 
+def within_radius(a, b):
+    return a != b and (neardup.fingerprint(a.encode()) ^ neardup.fingerprint(b.encode())).bit_count() <= neardup.RADIUS
+
+
 @pytest.fixture
 def corpus(spark, tmp_path):
     rng = random.Random(7)
     clean = {i: sentence(rng) for i in range(40)}
     item = sentence(rng, 15)
+    words = clean[7].split()
+    near = next(t for i in range(1000) if within_radius(clean[7], t := " ".join([*words[:-1], f"the{i}"])))
     planted = {
         100: clean[3],  # exact copies
         101: clean[3],
@@ -28,6 +35,7 @@ def corpus(spark, tmp_path):
         105: "1234 5678 " + " ".join(str(rng.randrange(10**6)) for _ in range(60)),  # no letter
         106: None,
         107: "",
+        109: near,
         108: " ".join(["again and again the same words come back to us"] * 20),
     }
     rows = [(i, t, "en", f"s{i % 3}", len(t or ""), "x") for i, t in {**clean, **planted}.items()]
@@ -46,7 +54,7 @@ def test_stages_are_in_order():
 def test_each_stage_drops_what_is_planted_for_it(spark, corpus, tmp_path):
     sf_dir, clean = corpus
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    want = {"quality_rules": {103, 104, 106, 107, 108, None}, "language_id": {105}, "near_duplicates": {100, 101}, "decontamination": {102}}
+    want = {"quality_rules": {103, 104, 106, 107, 108, None}, "language_id": {105}, "near_duplicates": {100, 101, 109}, "decontamination": {102}}
     left = {r["doc_id"] for r in docs.collect()}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         after = stage(spark, docs, sf_dir)

@@ -53,6 +53,8 @@ SPARE_SEGMENTS = 2
 # Right names that every left one is compared with first, and how much more it is from round to round.
 FIRST_ROUND = 64
 ROUND_GROWTH = 32
+# Tiles that are worth no further rounds.
+FEW_TILES = 64
 # Parts the sampled pairs are spread over.
 SAMPLE_PARTS = 64
 
@@ -678,22 +680,30 @@ def first_partners(
     partner leaves: where many names are alike, all are served within the first round or two. Names meet tile by
     tile, each of which is one row. A round never makes more than MOST_TASKS tasks.
     """
-    threshold = _name_threshold(model, level)
+    threshold = _name_threshold(model, level) - HALF_DIGIT
     left, rest, size = settle(left), right, first
     found: list[DataFrame] = []
-    while not left.isEmpty() and not rest.isEmpty():
-        seekers = left.groupBy(*keys).count().agg(F.max("count")).first()[0]
+
+    def per_group(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(*keys).agg(F.count("*").alias(name))
+
+    while True:
+        groups = per_group(left, "n_left").join(per_group(rest, "n_right"), keys)
+        work = groups.agg(F.sum(pair_count("n_left", "n_right")).alias("pairs"), F.max("n_left").alias("n_left"))
+        pairs, seekers = work.first()
+        if not pairs:
+            break
+        if pairs <= FEW_TILES * tile_rows**2:
+            found.append(settle(_tile_partners(left, rest, keys, threshold, tile_rows)))
+            break
         size = min(size, max(first, MOST_TASKS * tile_rows**2 // seekers))
         # Only the first rows of a group leave each task, so a large group is no task's work.
         place = F.row_number().over(Window.partitionBy(*keys).orderBy("uid"))
         turn = settle(rest.withColumn("_place", place).filter(F.col("_place") <= size).drop("_place"))
-        hits = _tile_partners(left, turn, keys, threshold - HALF_DIGIT, tile_rows)
-        hits = settle(hits)
+        hits = settle(_tile_partners(left, turn, keys, threshold, tile_rows))
         found.append(hits)
         left = settle(left.join(hits, [*keys, "name"], "left_anti"))
-        # Groups that were taken whole have nothing to offer any more.
         rest = settle(rest.join(turn, [*keys, "name_r"], "left_anti"))
-        left = left.join(rest.select(*keys).distinct(), keys, "left_semi")
         size *= ROUND_GROWTH
     return reduce(DataFrame.unionByName, found) if found else left.withColumn("uid", F.lit(None).cast("string"))
 

@@ -246,6 +246,7 @@ def test_trained_like_models_equal_scoring_all_pairs(sides, seed, monkeypatch):
             value, offer = left[i][1:], (-p, right[j][0])
             expected[value] = min(expected.get(value, offer), offer)
     monkeypatch.setattr(linkage, "ROUND_GROWTH", 2)
+    monkeypatch.setattr(linkage, "FEW_TILES", 0)
     monkeypatch.setattr(linkage.first_partners, "__defaults__", (1 + seed,))
     best = linkage.best_matches(vl, vr, model, tile_rows=(3, 1000)[seed % 2])
     got = {(r.name, r.address): (-r.match_probability, r.uid) for r in best.collect()}
@@ -256,6 +257,7 @@ def test_first_partners_stop_early(spark, monkeypatch):
     left = spark.range(300).selectExpr("'bloc' AS block", "concat('bloc name ', id) AS name")
     right = spark.range(5000).selectExpr("'bloc' AS block", "concat('bloc nama ', id) AS name_r", "lpad(id, 6, '0') AS uid")
     asked = []
+    monkeypatch.setattr(linkage, "FEW_TILES", 0)
     compared = linkage._tile_partners
     monkeypatch.setattr(linkage, "_tile_partners", lambda l, r, *a: asked.append(l.count() * r.count()) or compared(l, r, *a))
     hits = linkage.first_partners(left, right, ["block"], LinkageModel(), 1, 1000)

@@ -564,6 +564,12 @@ def _nearest_names(
         wanted = sorted({a for _, a in by_address})
         seekers = settle(_with_near(mine, near).filter(F.col("address_level").isin(wanted)))
         keys = ["block", "address_r"]
+        # A few pairs are scored as they are; the search for partners is worth its jobs beyond that.
+        if _pairs(seekers, offered, keys)[0] <= FEW_TILES * tile_rows**2:
+            lowest = _name_threshold(model, min(n for n, _ in by_address))
+            met = _compared(seekers, offered, keys, model, lowest, tile_rows)
+            parts.append(_scored(met, F.col("name_level"), F.col("address_level"), model))
+            by_address = []
         for level, hits in _partners(seekers, offered, keys, model, by_address, tile_rows):
             served = [a for n, a in by_address if n == level]
             met = seekers.join(hits, [*keys, "name"]).filter(F.col("address_level").isin(served))
@@ -605,6 +611,18 @@ def _partners(
         yield level, hits
 
 
+def _pairs(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Pairs that agree on ``keys``, and the most rows of the left side that do so with any of the right."""
+
+    def per_group(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(*keys).agg(F.count("*").alias(name))
+
+    groups = per_group(left, "n_left").join(per_group(right, "n_right"), keys)
+    pairs = F.sum(pair_count("n_left", "n_right")).alias("pairs")
+    found = groups.agg(pairs, F.max("n_left").alias("most")).first()
+    return int(found["pairs"] or 0), found["most"] or 0
+
+
 def _tiled(
     left: DataFrame, right: DataFrame, keys: list[str], own: list[str], tile_rows: int
 ) -> DataFrame:
@@ -684,13 +702,8 @@ def first_partners(
     left, rest, size = settle(left), right, first
     found: list[DataFrame] = []
 
-    def per_group(side: DataFrame, name: str) -> DataFrame:
-        return side.groupBy(*keys).agg(F.count("*").alias(name))
-
     while True:
-        groups = per_group(left, "n_left").join(per_group(rest, "n_right"), keys)
-        work = groups.agg(F.sum(pair_count("n_left", "n_right")).alias("pairs"), F.max("n_left").alias("n_left"))
-        pairs, seekers = work.first()
+        pairs, seekers = _pairs(left, rest, keys)
         if not pairs:
             break
         if pairs <= FEW_TILES * tile_rows**2:

@@ -7,6 +7,7 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     DoubleType,
+    IntegerType,
     StringType,
     StructField,
     StructType,
@@ -17,6 +18,7 @@ def struct_of(ddl: str) -> StructType:
     """Schema from ``"name type, name type"``; works without a running session."""
     types = {
         "string": StringType(),
+        "int": IntegerType(),
         "date": DateType(),
         "double": DoubleType(),
         "boolean": BooleanType(),

@@ -219,6 +219,7 @@ def value_rows(side: str, where: str) -> str:
 
 
 PARTS["left_open"] = value_rows("left_side", "siren_declared IS NULL")
+PARTS["left_unmatched"] = value_rows("left_side", "uid NOT IN (SELECT bodacc_announcement_id FROM exact_links)")
 PARTS["left_matched"] = value_rows("left_side", "siren_declared IS NOT NULL")
 PARTS["right_values"] = value_rows("right_side", "true")
 
@@ -268,6 +269,7 @@ def best_of(left: str) -> str:
 
 # Announcements left over by the declared company: every customer is a candidate.
 PARTS["best_open"] = best_of("left_open")
+PARTS["best_unmatched"] = best_of("left_unmatched")
 PARTS["best_matched"] = best_of("left_matched")
 PARTS["predicted"] = """
 SELECT l.uid AS bodacc_announcement_id, b.uid AS siret_siege
@@ -455,6 +457,23 @@ ORACLE: dict[str, str] = {
             SELECT {address_level("l.address", "r.address")} AS address_level,
               CAST(sum(l.n * r.n) AS BIGINT) AS pairs
             FROM left_open l JOIN right_values r USING (block) GROUP BY 1""",
+        "unmatched_block_counts": """
+            SELECT block, l.n AS n_left, r.n AS n_right, l.n * r.n AS pairs
+            FROM (SELECT block, CAST(sum(n) AS BIGINT) AS n FROM left_unmatched GROUP BY 1) l
+            JOIN (SELECT block, CAST(sum(n) AS BIGINT) AS n FROM right_values GROUP BY 1) r
+            USING (block)""",
+        "unmatched_near_addresses": f"""
+            SELECT * FROM (SELECT l.address AS address_l, r.address AS address_r,
+                {address_level("l.address", "r.address")} AS address_level
+              FROM (SELECT DISTINCT address FROM left_unmatched) l
+              JOIN (SELECT DISTINCT address FROM right_values) r ON true) WHERE address_level > 0""",
+        "unmatched_gamma_histogram": f"""
+            SELECT {address_level("l.address", "r.address")} AS address_level,
+              CAST(sum(l.n * r.n) AS BIGINT) AS pairs
+            FROM left_unmatched l JOIN right_values r USING (block) GROUP BY 1""",
+        "unmatched_fuzzy_scores": """
+            SELECT name, address, uid, round(match_probability, 6) AS match_probability
+            FROM best_unmatched""",
         "gamma_levels": f"""
             SELECT bodacc_announcement_id, siret_siege, name_level, address_level,
               round(odds / (1 + odds), 6) AS match_probability FROM (
@@ -485,6 +504,19 @@ ORACLE: dict[str, str] = {
                 SELECT 'A' || CAST(l_orderkey AS VARCHAR) AS bodacc_announcement_id,
                   lpad(CAST(l_suppkey AS VARCHAR), 9, '0') || '00027' AS siret_siege,
                   l_quantity / 100.0 AS match_confidence FROM lineitem)) WHERE place = 1""",
+        "combined_matches": """
+            SELECT bodacc_announcement_id, siren_bodacc, siret_siege, match_method, match_confidence
+            FROM exact_links
+            UNION ALL
+            SELECT bodacc_announcement_id, NULL, siret_siege, 'splink_fuzzy', match_confidence FROM (
+              SELECT *, row_number() OVER (PARTITION BY bodacc_announcement_id
+                ORDER BY match_confidence DESC, siret_siege) AS place FROM (
+                SELECT 'A' || CAST(l_orderkey AS VARCHAR) AS bodacc_announcement_id,
+                  lpad(CAST(l_suppkey AS VARCHAR), 9, '0') || '00027' AS siret_siege,
+                  l_quantity / 100.0 AS match_confidence FROM lineitem)
+              WHERE bodacc_announcement_id IN (SELECT id FROM ann)
+                AND bodacc_announcement_id NOT IN (SELECT bodacc_announcement_id FROM exact_links))
+            WHERE place = 1""",
         "evaluation_set": """
             SELECT id, commercant, ville, siret_siege AS true_siret_siege
             FROM ann JOIN exact_links ON id = bodacc_announcement_id""",
@@ -605,6 +637,13 @@ ORACLE: dict[str, str] = {
 
 # The jobs version what the cascade finds.
 ORACLE["history_of_key"] = ORACLE["history"]
+for _published, _same in (
+    ("search_indexed", "search"),
+    ("history_published", "history"),
+    ("announcements_published", "announcements_of"),
+    ("markets_published", "markets_of"),
+):
+    ORACLE[_published] = ORACLE[_same]
 ORACLE["markets_rerun"] = ORACLE["markets_daily"]
 ORACLE["scd2_days_in_any_order"] = ORACLE["scd2_replay"]
 ORACLE["announcements_daily"] = ORACLE["announcements_stream"] = ORACLE["cascade_fixed_params"].replace(
@@ -706,6 +745,14 @@ best AS (
 {body}"""
 
 
+ORACLE["unmatched_em_trained"] = (
+    sql("SELECT 1 FROM left_side, right_side, right_values, left_unmatched, exact_links")
+    .rsplit("SELECT 1 FROM", 1)[0]
+    .rstrip()
+    .replace("WITH ", "WITH RECURSIVE ", 1)
+    + ", open_side AS (SELECT * FROM left_side WHERE uid NOT IN (SELECT bodacc_announcement_id FROM exact_links)), "
+    + _TRAINING.replace("left_open", "left_unmatched")
+)
 ORACLE["cascade"] = with_trained_model(
     "siren_declared IS NULL",
     "left_open",

@@ -24,7 +24,7 @@ from ledgerline.operators import (
     scope,
     serve,
 )
-from ledgerline.plans import daily
+from ledgerline.plans import daily, serving
 from ledgerline.plans.cascade import run_cascade
 from ledgerline.session import scratch_path, settle
 from ledgerline.sources import files, tables, versions
@@ -451,6 +451,38 @@ def gamma_histogram(spark, sf_dir):
     return counts.withColumn("pairs", F.col("pairs").cast("long")).filter("pairs > 0")
 
 
+def unmatched_sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """What the fuzzy stage of the cascade takes: announcements that the exact stage left over, and all candidates."""
+    announced = silver_announcements(spark, sf_dir)
+    left_over = match.unmatched(announced, match.exact_matches(announced, offices(spark, sf_dir)))
+    return (
+        settle(linkage.prepare_announcements(left_over)),
+        settle(linkage.prepare_candidates(inputs.candidates(spark, sf_dir))),
+    )
+
+
+@register
+def unmatched_block_counts(spark, sf_dir):
+    left, right = unmatched_sides(spark, sf_dir)
+    counts = linkage.block_counts(linkage.values(left), linkage.values(right))
+    return counts.withColumn("pairs", F.col("pairs").cast("long"))
+
+
+@register
+def unmatched_near_addresses(spark, sf_dir):
+    left, right = unmatched_sides(spark, sf_dir)
+    return linkage.near_addresses(linkage.values(left), linkage.values(right), MODEL)
+
+
+@register
+def unmatched_gamma_histogram(spark, sf_dir):
+    left, right = unmatched_sides(spark, sf_dir)
+    vl, vr = linkage.values(left), linkage.values(right)
+    near = linkage.near_addresses(vl, vr, MODEL)
+    counts = linkage.block_address_counts(vl, vr, near, MODEL)
+    return counts.withColumn("pairs", F.col("pairs").cast("long")).filter("pairs > 0")
+
+
 def declared_pairs(spark, sf_dir) -> DataFrame:
     """Names and addresses of every announcement and the candidate it declares."""
     announced, candidates = silver_announcements(spark, sf_dir), offices(spark, sf_dir)
@@ -491,6 +523,16 @@ def fuzzy_score_fixed_params(spark, sf_dir):
     return best.withColumn("match_probability", F.round("match_probability", 6))
 
 
+@register
+def unmatched_fuzzy_scores(spark, sf_dir):
+    """Best accepted candidate of each name and address that the exact stage left over."""
+    left, right = unmatched_sides(spark, sf_dir)
+    vl, vr = settle(linkage.values(left)), settle(linkage.values(right))
+    near = settle(linkage.near_addresses(vl, vr, MODEL))
+    best = linkage.best_matches(vl, vr, MODEL, near)
+    return best.withColumn("match_probability", F.round("match_probability", 6))
+
+
 def cascade_result(spark, sf_dir, model) -> DataFrame:
     matches = run_cascade(inputs.announcements(spark, sf_dir), offices(spark, sf_dir), model)
     return matches.withColumn("match_confidence", F.round("match_confidence", 6))
@@ -510,7 +552,16 @@ def cascade(spark, sf_dir):
 @register
 def fuzzy_em_trained(spark, sf_dir):
     """Parameters of the trained model, one row per compared field and level."""
-    left, right = linkage_sides(spark, sf_dir)
+    return trained_parameters(spark, *linkage_sides(spark, sf_dir))
+
+
+@register
+def unmatched_em_trained(spark, sf_dir):
+    """Parameters of the model that the cascade trains: on what the exact stage left over."""
+    return trained_parameters(spark, *unmatched_sides(spark, sf_dir))
+
+
+def trained_parameters(spark, left: DataFrame, right: DataFrame) -> DataFrame:
     model = linkage.fit(left, right)
     rows = [
         (name, level, m, u, model.prior)
@@ -524,15 +575,28 @@ def fuzzy_em_trained(spark, sf_dir):
     return frame.withColumns({c: F.round(c, 6) for c in ("m", "u", "prior")})
 
 
-@register
-def best_match(spark, sf_dir):
-    """Best of the scored suppliers of each order."""
+def scored_offers(spark, sf_dir) -> DataFrame:
     offers = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("A"), F.col("l_orderkey").cast("string")).alias("uid_l"),
         F.concat(inputs.padded("l_suppkey"), F.lit("00027")).alias("uid_r"),
         (F.col("l_quantity") / 100.0).alias("match_probability"),
     )
-    return match.best_match(match.fuzzy_records(offers))
+    return match.fuzzy_records(offers)
+
+
+@register
+def best_match(spark, sf_dir):
+    """Best of the scored suppliers of each order."""
+    return match.best_match(scored_offers(spark, sf_dir))
+
+
+@register
+def combined_matches(spark, sf_dir):
+    """Exact matches, and for the announcements left over the best of the suppliers scored for their order."""
+    announced = silver_announcements(spark, sf_dir)
+    exact = settle(match.exact_matches(announced, offices(spark, sf_dir)))
+    left_over = match.unmatched(announced, exact).select(F.col("id").alias(match.ID))
+    return match.combine_matches(exact, scored_offers(spark, sf_dir).join(left_over, match.ID))
 
 
 @register
@@ -777,6 +841,36 @@ def markets_of(spark, sf_dir):
     return serve.markets_of(market_gold(spark, sf_dir), SOME_SUPPLIER)
 
 
+@register
+def search_indexed(spark, sf_dir):
+    """The search from the folders that an index of town names points at."""
+    path = scratch_path(spark, "search")
+    serving.build_search_index(establishment_gold(spark, sf_dir), path)
+    return serving.search(spark, path, "tion_1")
+
+
+@register
+def history_published(spark, sf_dir):
+    path = scratch_path(spark, "establishments")
+    serving.publish_establishments(establishment_gold(spark, sf_dir), path)
+    return serving.history(spark, path, CHANGED_SIRET)
+
+
+@register
+def announcements_published(spark, sf_dir):
+    path = scratch_path(spark, "announcements")
+    announced = silver_announcements(spark, sf_dir)
+    serving.publish_announcements(link_gold(announced, offices(spark, sf_dir)), announced, path)
+    return serving.announcements_of(spark, path, SOME_SIRET)
+
+
+@register
+def markets_published(spark, sf_dir):
+    path = scratch_path(spark, "markets")
+    serving.publish_markets(market_gold(spark, sf_dir), path)
+    return serving.markets_of(spark, path, SOME_SUPPLIER)
+
+
 @register
 def won_then_bankrupt(spark, sf_dir):
     bought = inputs.markets(spark, sf_dir).filter("titulaire_type_identifiant = 'SIRET'")

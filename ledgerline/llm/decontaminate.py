@@ -8,19 +8,21 @@ term on, every list shifted by the term's offset in the window.
 
 from __future__ import annotations
 
+import pickle
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ledgerline.llm.batches import LOWER, pieces, texts_of
+from ledgerline.llm.batches import LOWER, pieces, ragged, texts_of
 from ledgerline.llm.tables import narrow, stored, type_of
 
 WINDOW = 10
@@ -107,25 +109,30 @@ def index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 
 class Queries:
-    """Windows of items as rows of term numbers; a window shorter than others is filled up with -1."""
+    """Items as one row of term numbers, and the windows of ``size`` of them; an item with fewer words is one window."""
 
-    def __init__(self, items: list[tuple[object, bytes]], size: int):
+    def __init__(self, items: Iterable[tuple[object, bytes]], size: int):
         self.terms: dict[bytes, int] = {}
-        windows, self.items = [], []
+        self.items: list[object] = []
+        numbers, lengths = [], []
         for item, text in items:
-            numbers = [self.terms.setdefault(w, len(self.terms)) for w in terms_of(text)]
-            for i in range(max(1, len(numbers) - size + 1) if numbers else 0):
-                window = numbers[i : i + size]
-                windows.append(window + [-1] * (size - len(window)))
+            words = terms_of(text)
+            if words:
                 self.items.append(item)
-        self.windows = np.array(windows, np.int64).reshape(-1, size)
+                lengths.append(len(words))
+                numbers += [self.terms.setdefault(w, len(self.terms)) for w in words]
+        self.numbers, n = np.array(numbers, np.int32), np.array(lengths, np.int64)
+        each = np.maximum(1, n - size + 1)
+        self.owners = np.repeat(np.arange(len(n), dtype=np.int32), each)
+        self.firsts = ragged(np.cumsum(n) - n, each).astype(np.int32)
+        self.lasts = self.firsts + np.minimum(n, size).astype(np.int32)[self.owners]
 
     def runs(self, found: dict[int, tuple[int, bytes]], starts: np.ndarray, ends: np.ndarray, slop: int) -> dict[int, dict[object, list]]:
         """Per document number and item, the runs [first, last] of word numbers that the item's windows cover."""
-        sizes = np.zeros(len(self.terms) + 1, np.int64)  # the last is for the filling
-        sizes[-1] = np.iinfo(np.int64).max
+        sizes = np.zeros(len(self.terms), np.int64)
         for term, (n, _) in found.items():
             sizes[term] = n
+        missing = np.concatenate([[0], np.cumsum(sizes[self.numbers] == 0)])
         lists: dict[int, np.ndarray] = {}
 
         def listed(term: int) -> np.ndarray:
@@ -134,9 +141,9 @@ class Queries:
             return lists[term]
 
         hits: dict[object, list[np.ndarray]] = defaultdict(list)
-        for w in np.flatnonzero((sizes[self.windows] > 0).all(axis=1)):
-            window = self.windows[w]
-            length = int((window >= 0).sum())
+        for w in np.flatnonzero(missing[self.firsts] == missing[self.lasts]):
+            window = self.numbers[self.firsts[w] : self.lasts[w]]
+            length = len(window)
             rarest, *others = sorted(range(length), key=lambda i: sizes[window[i]])
             at = listed(window[rarest]) - rarest
             for offset in others:
@@ -150,7 +157,7 @@ class Queries:
                 owner = np.searchsorted(starts, at + rarest, "right") - 1
                 first = np.maximum(at - slop, starts[owner])
                 last = np.minimum(at + length - 1 + slop, ends[owner] - 1)
-                hits[self.items[w]].append(np.stack([owner, first - starts[owner], last - starts[owner]]))
+                hits[self.items[self.owners[w]]].append(np.stack([owner, first - starts[owner], last - starts[owner]]))
         out: dict[int, dict[object, list]] = defaultdict(dict)
         for item, parts in hits.items():
             owner, first, last = np.concatenate(parts, axis=1)[:, :]
@@ -164,19 +171,38 @@ class Queries:
         return out
 
 
-def _blocks(items: DataFrame, most: int) -> Iterator[list[tuple[object, bytes]]]:
-    block, size = [], 0
-    for item, text in items.toLocalIterator():
-        if text is None:
-            continue
-        text = text.encode()
-        if block and size + len(text) > most:
-            yield block
-            block, size = [], 0
-        block.append((item, text))
-        size += len(text)
-    if block:
-        yield block
+def _blocks(items: DataFrame, item: str, text: str, window: int, most: int) -> DataFrame:
+    """Stored: a row (block, terms, queries) for each stretch of ``most`` bytes of item texts; the last item of one may reach beyond it.
+
+    Texts stay in tasks. The driver sees one sum per task that read items.
+    """
+    rows, kind = narrow(items, item, text), type_of(items, item)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, start = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary())
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            starts = start + np.cumsum(sizes) - sizes
+            start += int(sizes.sum())
+            columns = {"part": np.full(len(sizes), part, np.int64), "start": starts, "size": sizes}
+            yield pa.RecordBatch.from_pydict({"item": batch.column("doc_id"), "text": texts} | columns)
+
+    def build(block: pa.Table) -> pa.Table:
+        both = zip(block.column("item").to_pylist(), block.column("text").to_pylist(), strict=True)
+        queries = Queries(both, window)
+        data = {"block": block.column("block")[:1], "terms": pa.array([list(queries.terms)], pa.list_(pa.binary()))}
+        return pa.table(data | {"queries": pa.array([pickle.dumps(queries)], pa.binary())})
+
+    measured = rows.where("text IS NOT NULL").mapInArrow(measure, f"item {kind}, text binary, part bigint, start bigint, size bigint")
+    kept = stored(measured, "items")
+    sums = sorted(tuple(r) for r in kept.groupBy("part").agg(F.sum("size")).collect())
+    befores = np.cumsum([0, *(n for _, n in sums)]).tolist()
+    bases = [(part, before) for (part, _), before in zip(sums, befores, strict=False)]
+    based = kept.join(F.broadcast(items.sparkSession.createDataFrame(bases, "part bigint, base bigint")), "part")
+    block = F.floor((F.col("base") + F.col("start")) / F.lit(most)).cast("bigint").alias("block")
+    dealt = based.select(block, "item", "text").groupBy("block")
+    return stored(dealt.applyInArrow(build, "block bigint, terms array<binary>, queries binary"), "item-blocks")
 
 
 def _matcher(sent: Broadcast, item_type: pa.DataType, slop: int) -> Callable[[pa.Table], pa.Table]:
@@ -225,16 +251,20 @@ def search(
     directory = postings.schema["documents"].dataType.elementType["doc_id"].dataType.simpleString()
     schema = f"segment bigint, number bigint, doc_id {directory}, n_words bigint, matches array<struct<item_id:{id_type},first:bigint,last:bigint>>"
     item_type = to_arrow_type(items.schema[item].dataType)
-    wanted = items.select(items[item].alias("item_id"), items[text].alias("text"))
+    blocks = _blocks(items, item, text, window, block_bytes)
+    numbers = sorted(r[0] for r in blocks.select("block").collect())
     parts = []
-    for block in _blocks(wanted, block_bytes):
-        queries = Queries(block, window)
-        sent = spark.sparkContext.broadcast(queries)
-
-        # At most BLOCK_BYTES of item texts have made these terms.
-        terms = F.broadcast(spark.createDataFrame([(bytearray(t),) for t in queries.terms] or [(None,)], "term binary"))
+    for number in numbers:
+        block = blocks.where(F.col("block") == number)
+        sent = spark.sparkContext.broadcast(pickle.loads(block.select("queries").first()[0]))
+        # At most BLOCK_BYTES of item texts, and one item, have made these terms.
+        terms = F.broadcast(block.select(F.explode("terms").alias("term")))
         needed = postings.where("term IS NULL").unionByName(postings.where("term IS NOT NULL").join(terms, "term", "left_semi"))
-        parts.append(needed.groupBy("segment").applyInArrow(_matcher(sent, item_type, slop), schema))
+        part = needed.groupBy("segment").applyInArrow(_matcher(sent, item_type, slop), schema)
+        if len(numbers) > 1:  # one block at a time: its matches are kept, what was sent for it is not
+            part = stored(part, "matches")
+            sent.destroy()
+        parts.append(part)
     if not parts:
         none = f"cast(array() as array<struct<item_id:{id_type},first:bigint,last:bigint>>)"
         return postings.where("term IS NULL").selectExpr("inline(documents)").withColumn("matches", F.expr(none))

@@ -28,6 +28,8 @@ from ledgerline.llm.tables import narrow, stored, type_of
 SEQUENCE = 4096
 #: Sequences in a window.
 WINDOW = 16
+#: Distinct words that a worker remembers while it encodes, beside what earlier stages left in it; more words cost time only.
+MOST_WORDS = 200_000
 
 
 @dataclass(frozen=True)
@@ -127,7 +129,7 @@ def encode_queues(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id"
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, given = TaskContext.get().partitionId(), {}
         for batch in pieces(batches):
-            ids, counts = with_end(*encoder(tokenizer).encode(texts_of(batch)), end)
+            ids, counts = with_end(*encoder(tokenizer, MOST_WORDS).encode(texts_of(batch)), end)
             starts = np.zeros(batch.num_rows, np.int64)
             for i, (name, n) in enumerate(zip(batch.column("source").to_pylist(), counts.tolist(), strict=True)):
                 starts[i] = given.get(name, 0)

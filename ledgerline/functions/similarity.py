@@ -23,6 +23,10 @@ BOOST_ABOVE = 0.7
 CELLS = 1 << 18
 # Texts of at most this length keep their matched positions in one machine word.
 WORD = 64
+# Words that hold the characters of such a text, without their places.
+BAG_WORDS = 2
+# Where at least one in so many pairs of a matrix has enough characters in common, all are compared.
+DENSE = 4
 
 
 def _codes(texts: list[str], width: int) -> np.ndarray:
@@ -135,8 +139,8 @@ def jaro_winkler_pairs(left: pd.Series, right: pd.Series) -> pd.Series:
 def reaching(lefts: list[str], rights: list[str], threshold: float) -> np.ndarray:
     """Which of all pairs of the two lists reach a similarity, as a matrix; the same as comparing them one by one.
 
-    Each list is turned into numbers once, and pairs that cannot reach the threshold by their number of
-    matched characters are left early. Meant for tiles of some thousand texts a side.
+    Each list is turned into numbers once, and only pairs that share enough characters to reach the threshold are
+    compared. Meant for tiles of some thousand texts a side.
     """
     out = np.zeros((len(lefts), len(rights)), bool)
     sizes = [np.fromiter(map(len, texts), np.int64, len(texts)) for texts in (lefts, rights)]
@@ -154,15 +158,15 @@ def reaching(lefts: list[str], rights: list[str], threshold: float) -> np.ndarra
     for short, other, flip in ((0, 1, False), (1, 0, True)):
         for size, rows in sides[short].by_size():
             columns = np.flatnonzero(sides[other].sizes > size if flip else sides[other].sizes >= size)
-            step = max(1, CELLS // max(1, 8 * len(columns)))
-            for i in range(0, len(rows) if len(columns) else 0, step):
+            if not len(columns):
+                continue
+            long = _Longer(sides[other], columns, size, threshold)
+            step = max(1, CELLS // (8 * len(columns)))
+            for i in range(0, len(rows), step):
                 some = rows[i : i + step]
-                found = _reach(sides[short].codes[some, :size], sides[other], columns, threshold)
-                mine, theirs = fits[short][some], fits[other][columns]
-                if flip:
-                    out[np.ix_(theirs, mine)] = found.T
-                else:
-                    out[np.ix_(mine, theirs)] = found
+                x, y = _reach(sides[short], some, long, threshold)
+                mine, theirs = fits[short][some[x]], fits[other][columns[y]]
+                out[(theirs, mine) if flip else (mine, theirs)] = True
     return out
 
 
@@ -185,39 +189,79 @@ class _Side:
             rows = np.flatnonzero(self.sizes > p)
             self.places[self.codes[rows, p], rows] |= np.uint64(1 << p)
 
+        # The characters of each text as bits, a second occurrence apart from the first. Where two of them share a
+        # bit, less seems to be lacking than is.
+        self.bags = np.zeros((BAG_WORDS, len(texts)), np.uint64)
+        for p in range(int(self.sizes.max(initial=0))):
+            rows = np.flatnonzero(self.sizes > p)
+            before = (self.codes[rows, :p] == self.codes[rows, p, None]).sum(axis=1)
+            slot = (self.codes[rows, p] + before * len(alphabet)) % (WORD * BAG_WORDS)
+            self.bags[slot // WORD, rows] |= np.uint64(1) << (slot % WORD).astype(np.uint64)
+
     def by_size(self) -> list[tuple[int, np.ndarray]]:
         return [(int(s), np.flatnonzero(self.sizes == s)) for s in np.unique(self.sizes) if s]
 
 
-def _reach(short: np.ndarray, long: _Side, columns: np.ndarray, threshold: float) -> np.ndarray:
-    """Pairs that reach the threshold, of equally long short texts (rows) and long ones (columns)."""
-    rows, size = short.shape
-    places, ll = long.places[:, columns], long.sizes[columns]
-    reach = np.maximum(ll // 2 - 1, 0)
-    used = np.zeros((rows, len(columns)), np.uint64)
-    hits = np.zeros_like(used)
-    for i in range(size):
-        window = _low_bits(np.minimum(i + reach + 1, ll)) & ~_low_bits(np.maximum(i - reach, 0))
-        free = places[short[:, i]] & window & ~used
-        free &= ~free + np.uint64(1)
-        used |= free
-        hits |= (free != 0).astype(np.uint64) << np.uint64(i)
+class _Longer:
+    """What the longer texts need to be compared with texts of one size."""
+
+    def __init__(self, side: _Side, columns: np.ndarray, size: int, threshold: float):
+        self.codes, self.ll, self.absent = side.codes[columns], side.sizes[columns], ~side.bags[:, columns]
+        self.places = side.places[:, columns]
+        reach = np.maximum(self.ll // 2 - 1, 0)
+        self.windows = [
+            _low_bits(np.minimum(i + reach + 1, self.ll)) & ~_low_bits(np.maximum(i - reach, 0))
+            for i in range(size)
+        ]
+        # Characters that the short text may lack a partner for: all others matched, in order, after the longest prefix.
+        m = np.arange(size + 1)
+        best = _boosted(size, self.ll[:, None], m, np.zeros_like(m), np.int64(PREFIX_LENGTH))
+        enough = best >= threshold - 1e-9
+        self.spare = np.where(enough.any(axis=1), size - enough.argmax(axis=1), -1)
+
+
+def _reach(side: _Side, some: np.ndarray, long: _Longer, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs that reach the threshold, of equally long short texts (rows ``some``) and longer ones."""
+    lacking = sum(
+        np.bitwise_count(bag[some, None] & absent[None, :])
+        for bag, absent in zip(side.bags, long.absent, strict=True)
+    )
+    x, y = np.nonzero(lacking <= long.spare[None, :])
+    size = int(side.sizes[some[0]])
+    if DENSE * len(x) > lacking.size:  # a matrix is compared faster than as many single pairs
+        codes = side.codes[some, :size]
+        used, hits = _matched(long.places, codes, ..., long.windows)
+        used, hits = used[x, y], hits[x, y]
+    else:
+        codes = side.codes[some[x], :size]
+        used, hits = _matched(long.places, codes, y, long.windows)
     m = np.bitwise_count(hits).astype(np.int64)
+    left = size - m <= long.spare[y]
+    x, y, used, hits, m = x[left], y[left], used[left], hits[left], m[left]
+    short, moved = side.codes[some[x], :size], np.zeros(len(x), np.int64)
     head = min(PREFIX_LENGTH, size)
-    alike = short[:, None, :head] == long.codes[columns][None, :, :head]
-    prefix = np.cumprod(alike, axis=2).sum(axis=2)
-    # As if nothing were out of order.
-    best = _boosted(size, ll[None, :], m, np.zeros_like(m), prefix)
-    at = np.nonzero(best >= threshold)
-    used, hits, m, moved = used[at], hits[at], m[at], np.zeros(len(at[0]), np.int64)
+    prefix = np.cumprod(short[:, :head] == long.codes[y, :head], axis=1).sum(axis=1)
     for i in range(size):
         hit = (hits >> np.uint64(i)) & np.uint64(1) != 0
         first = used & (~used + np.uint64(1))
-        moved += hit & (first & places[short[at[0], i], at[1]] == 0)
+        moved += hit & (first & long.places[short[:, i], y] == 0)
         used = np.where(hit, used ^ first, used)
-    out = np.zeros((rows, len(columns)), bool)
-    out[at] = _boosted(size, ll[at[1]], m, moved, prefix[at]) >= threshold
-    return out
+    reached = _boosted(size, long.ll[y], m, moved, prefix) >= threshold
+    return x[reached], y[reached]
+
+
+def _matched(
+    places: np.ndarray, codes: np.ndarray, which: np.ndarray, windows: list[np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Matched positions of the longer and of the shorter texts; ``which`` longer text meets each row, or ``...`` for all."""
+    used = np.zeros(np.broadcast_shapes(places[codes[:, 0], which].shape, windows[0][which].shape), np.uint64)
+    hits = np.zeros_like(used)
+    for i, window in enumerate(windows):
+        free = places[codes[:, i], which] & window[which] & ~used
+        free &= ~free + np.uint64(1)
+        used |= free
+        hits |= (free != 0).astype(np.uint64) << np.uint64(i)
+    return used, hits
 
 
 def _boosted(

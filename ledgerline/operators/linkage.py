@@ -17,7 +17,7 @@ third of all rows. What the linkage needs from those pairs is obtained as follow
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import reduce
 from math import ceil, sqrt
 
@@ -45,14 +45,16 @@ BLOCK_PREFIX = 4
 # they are read as if rounded to nine digits.
 HALF_DIGIT = 5e-10
 # A group of values to compare is cut into tiles of about this many rows a side, and one task gets
-# about as many pairs as one tile has.
+# about as many pairs as some tiles have.
 TILE_ROWS = 1_000
+TILES_A_TASK = 4
 MOST_TASKS = 100_000
 # Segments of an address beyond those that are looked up.
 SPARE_SEGMENTS = 2
-# Right names that every left one is compared with first, and how much more it is from round to round.
+# Right names that every left one is compared with first, and how much more it is from round to round: a name whose
+# first partner is the r-th is compared with at most about five times r.
 FIRST_ROUND = 64
-ROUND_GROWTH = 32
+ROUND_GROWTH = 4
 # Tiles that are worth no further rounds.
 FEW_TILES = 64
 # Parts the sampled pairs are spread over.
@@ -420,7 +422,7 @@ def tiles(
     ).first()
     # The bytes of the two sides say nothing about the work their pairs make, so the number of tasks
     # follows the number of pairs.
-    tasks = min(MOST_TASKS, 1 + int(work["pairs"] or 0) // tile_rows**2)
+    tasks = min(MOST_TASKS, 1 + int(work["pairs"] or 0) // (TILES_A_TASK * tile_rows**2))
     if work["large"]:
         large = groups.filter(is_large).select(*keys, "parts_l", "parts_r")
 
@@ -442,9 +444,14 @@ def tiles(
 
 
 def _other_name(
-    left: DataFrame, right: DataFrame, near: DataFrame, model: LinkageModel, tile_rows: int
+    left: DataFrame,
+    right: DataFrame,
+    near: DataFrame,
+    model: LinkageModel,
+    tile_rows: int,
+    known: DataFrame | None,
 ) -> list[DataFrame]:
-    """Best pairs of unequal names, in parts to be united."""
+    """Pairs of unequal names, in parts to be united, with the best of every value that has none as good in ``known``."""
     parts = []
     similar = [n for n in model.name_levels if 0 < n < model.same_name]
     address_known = [a for a in model.address_levels if a > 0]
@@ -482,7 +489,9 @@ def _other_name(
     present = {0, *(r[0] for r in near.select("address_level").distinct().collect())}
     compared = [(n, a) for n, a in compared if a in present]
     if compared and not exhaustive and all(_names_in_order(model, n, a) for n, a in compared):
-        return parts + _nearest_names(mine, offered, near, model, compared, present, tile_rows)
+        return parts + _nearest_names(
+            mine, offered, near, model, compared, present, tile_rows, known
+        )
     compared += [(0, a) for a in exhaustive]
     if not compared:
         return parts
@@ -550,6 +559,7 @@ def _nearest_names(
     compared: list[tuple[int, int]],
     present: set[int],
     tile_rows: int,
+    known: DataFrame | None,
 ) -> list[DataFrame]:
     """Best pairs of unequal names where names more alike never score less, in parts to be united.
 
@@ -557,60 +567,54 @@ def _nearest_names(
     is found at that level as well, with at least this probability. So a name needs one partner per level
     and group, not the list of all. Only where that partner's address is near, at a level that scores less than an
     unrelated one would, it may not stand in; such values are compared with all names of their block.
+
+    Levels are searched from the most probable on, and a value that has a match (``known`` ones included) is not looked
+    for where it could only find a less probable one.
     """
     parts = []
     by_address = [(n, a) for n, a in compared if a > 0]
+    anywhere = [(n, a) for n, a in compared if a == 0]
     if by_address:
         wanted = sorted({a for _, a in by_address})
-        seekers = settle(_with_near(mine, near).filter(F.col("address_level").isin(wanted)))
+        seekers = _with_near(mine, near).filter(F.col("address_level").isin(wanted))
         keys = ["block", "address_r"]
         # A few pairs are scored as they are; the search for partners is worth its jobs beyond that.
         if _pairs(seekers, offered, keys)[0] <= FEW_TILES * tile_rows**2:
             lowest = _name_threshold(model, min(n for n, _ in by_address))
             met = _compared(seekers, offered, keys, model, lowest, tile_rows)
-            parts.append(_scored(met, F.col("name_level"), F.col("address_level"), model))
+            scored = _scored(met, F.col("name_level"), F.col("address_level"), model)
+            parts.append(settle(_best(scored)))
             by_address = []
-        for level, hits in _partners(seekers, offered, keys, model, by_address, tile_rows):
-            served = [a for n, a in by_address if n == level]
-            met = seekers.join(hits, [*keys, "name"]).filter(F.col("address_level").isin(served))
-            parts.append(_scored(met, F.lit(level), F.col("address_level"), model))
-    anywhere = [(n, a) for n, a in compared if a == 0]
-    for level, hits in _partners(mine, offered, ["block"], model, anywhere, tile_rows):
-        met = mine.join(hits, ["block", "name"])
-        floor = model.probability(level, 0)
-        worse = [a for a in present if a and min(_better_names(model, level, a)) < floor]
-        if worse:
-            places = offered.select("uid", "address_r")
-            met = lookup(met, places, {"uid": "uid"}, spread_by="name")
-            reached = address_level(F.col("address"), F.col("address_r"), model)
-            met = settle(met.withColumn("_odd", reached.isin(worse)))
-            odd = met.filter("_odd").select("name", "address", "block")
-            if not odd.isEmpty():
-                parts.append(_all_names(odd, offered, model, anywhere, tile_rows))
-            met = met.filter("NOT _odd")
-        parts.append(_scored(met, F.lit(level), F.lit(0), model))
+    others: dict[bool, DataFrame] = {}
+    chances = {pair: model.probability(*pair) for pair in by_address + anywhere}
+    for chance in sorted(set(chances.values()), reverse=True):
+        matched = [*parts, known] if known is not None else parts
+        better = [p.filter(F.col("match_probability") > chance).select("name", "address") for p in matched]
+        if better:
+            mine = settle(mine.join(reduce(DataFrame.unionByName, better), ["name", "address"], "left_anti"))
+        for level, a in [pair for pair, p in chances.items() if p == chance]:
+            keys = ["block", "address_r"] if a else ["block"]
+            if bool(a) not in others:
+                smallest = offered.groupBy(*keys, "name_r").agg(F.min("uid").alias("uid"))
+                others[bool(a)] = settle(smallest)
+            here = _with_near(mine, near).filter(F.col("address_level") == a) if a else mine
+            names = here.select(*keys, "name").distinct()
+            hits = first_partners(names, others[bool(a)], keys, model, level, tile_rows)
+            met = here.join(hits, [*keys, "name"])
+            worse = [b for b in present if b and min(_better_names(model, level, b)) < chance]
+            if worse and not a:
+                places = offered.select("uid", "address_r")
+                met = lookup(met, places, {"uid": "uid"}, spread_by="name")
+                reached = address_level(F.col("address"), F.col("address_r"), model)
+                met = settle(met.withColumn("_odd", reached.isin(worse)))
+                odd = met.filter("_odd").select("name", "address", "block")
+                if not odd.isEmpty():
+                    parts.append(settle(_best(_all_names(odd, offered, model, anywhere, tile_rows))))
+                met = met.filter("NOT _odd")
+            parts.append(settle(_scored(met, F.lit(level), F.lit(a), model)))
     return parts
 
 
-def _partners(
-    seekers: DataFrame,
-    offered: DataFrame,
-    keys: list[str],
-    model: LinkageModel,
-    chosen: list[tuple[int, int]],
-    tile_rows: int,
-) -> Iterator[tuple[int, DataFrame]]:
-    """Per name level, best first, the names that have a partner at it and at no better one."""
-    if not chosen:
-        return
-    names = seekers.select(*keys, "name").distinct()
-    others = settle(offered.groupBy(*keys, "name_r").agg(F.min("uid").alias("uid")))
-    for level in sorted({n for n, _ in chosen}, reverse=True):
-        hits = first_partners(names, others, keys, model, level, tile_rows)
-        names = names.join(hits, [*keys, "name"], "left_anti")
-        yield level, hits
-
-
 def _pairs(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[int, int]:
     """Pairs that agree on ``keys``, and the most rows of the left side that do so with any of the right."""
 
@@ -718,7 +722,9 @@ def first_partners(
         left = settle(left.join(hits, [*keys, "name"], "left_anti"))
         rest = settle(rest.join(turn, [*keys, "name_r"], "left_anti"))
         size *= ROUND_GROWTH
-    return reduce(DataFrame.unionByName, found) if found else left.withColumn("uid", F.lit(None).cast("string"))
+    if not found:
+        return left.filter(F.lit(False)).withColumn("uid", F.lit(None).cast("string"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def best_matches(
@@ -753,7 +759,7 @@ def best_matches(
         # A value whose match by name beats whatever an unequal name could reach is done.
         done = settled.filter(F.col("match_probability") > max(others)).select("name", "address")
         open_left = left.join(done, ["name", "address"], "left_anti")
-    parts = _other_name(open_left, right, near, model, tile_rows)
+    parts = _other_name(open_left, right, near, model, tile_rows, settled)
     if settled is not None:
         parts.append(settled)
     return _best(reduce(DataFrame.unionByName, parts))

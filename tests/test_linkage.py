@@ -389,3 +389,54 @@ def test_cascade_without_any_candidate(spark):
     announcements = spark.createDataFrame([("B1", "1", "X", "08000", "Y")], ANNOUNCEMENTS)
     out = run_cascade(announcements, spark.createDataFrame([], CANDIDATES)).collect()
     assert [r.match_method for r in out] == ["unresolved"]
+
+
+def test_no_partners_where_nobody_meets(spark):
+    left = spark.sql("SELECT 'bloc' AS block, 'bloc name' AS name")
+    right = spark.sql("SELECT 'othe' AS block, 'other name' AS name_r, '1' AS uid")
+    assert linkage.first_partners(left, right, ["block"], LinkageModel(), 2, 1000).isEmpty()
+
+
+def test_names_are_compared_with_little_more_than_they_need(spark, monkeypatch):
+    """The first partner is the hundredth name: no round of thousands follows the first one."""
+    left = spark.range(20).selectExpr("'bloc' AS block", "concat('bloc name ', id) AS name")
+    name = "if(id < 100, concat('bloc', repeat('z', 40), id), concat('bloc nama ', id))"
+    right = spark.range(5000).selectExpr("'bloc' AS block", f"{name} AS name_r", "lpad(id, 6, '0') AS uid")
+    asked = []
+    monkeypatch.setattr(linkage, "FEW_TILES", 0)
+    compared = linkage._tile_partners
+    monkeypatch.setattr(linkage, "_tile_partners", lambda l, r, *a: asked.append(r.count()) or compared(l, r, *a))
+    hits = linkage.first_partners(left, right, ["block"], LinkageModel(), 2, 1000)
+    assert {r.uid for r in hits.collect()} == {"000100"} and hits.count() == 20
+    assert sum(asked) <= 500
+
+
+def test_who_has_a_better_match_is_not_looked_for_again(spark, monkeypatch):
+    """Partners at the same address are more probable than elsewhere, so blocks are not searched for these names."""
+    model = LinkageModel(
+        prior=0.13, m_name=(0.02, 0.02, 0.01, 0.95), u_name=(0.95, 0.04, 0.0004, 0.0096),
+        m_address=(0.4, 0.3, 0.1, 0.2), u_address=(0.8, 0.1, 0.05, 0.05),
+    )
+    columns = "uid string, denomination_clean string, adresse_clean string"
+    left = [(f"l{i}", f"bloc namE {i:03}", "01000 somewhere") for i in range(50)]
+    right = [(f"r{i:03}", f"bloc name {i:03}", "01000 somewhere") for i in range(50)]
+    vl, vr = (linkage.values(spark.createDataFrame(side, columns)) for side in (left, right))
+    assert model.accepts(2, 0) and model.probability(2, 3) > model.probability(2, 0)
+    asked = []
+    monkeypatch.setattr(linkage, "FEW_TILES", 0)
+    first = linkage.first_partners
+    monkeypatch.setattr(linkage, "first_partners", lambda l, r, k, *a: asked.append((k, l.count())) or first(l, r, k, *a))
+    best = linkage.best_matches(vl, vr, model).collect()
+    assert len(best) == 50 and {r.match_probability for r in best} == {model.probability(2, 3)}
+    assert (["block"], 0) in asked and (["block"], 50) not in asked
+
+
+def test_reaching_equals_pairs_one_by_one():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(45))) for _ in range(60)]
+    texts += ["", "x" * 70, "a" * 64, "abca" * 16]
+    for threshold in (0.5, 0.7, 0.9):
+        got = similarity.reaching(texts, texts[::-1], threshold)
+        for i, text in enumerate(texts):
+            pairs = similarity.jaro_winkler_pairs(pd.Series([text] * len(texts)), pd.Series(texts[::-1]))
+            assert (got[i] == (pairs >= threshold).to_numpy()).all()

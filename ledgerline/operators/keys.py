@@ -94,7 +94,7 @@ def hot_keys(facts: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def lookup(
-    facts: DataFrame, entries: DataFrame, on: Mapping[str, str], spread_by: str
+    facts: DataFrame, entries: DataFrame, on: Mapping[str, str], spread_by: str, few: int = 0
 ) -> DataFrame:
     """Left join of ``facts`` to ``entries`` (unique per key), every fact kept exactly once.
 
@@ -102,6 +102,8 @@ def lookup(
     fewer than ``HOT_SHARE`` by definition, find their entry in a broadcast table of that many rows;
     they and the facts with a NULL key are spread by ``spread_by`` in the shuffle that serves the
     rest. No task therefore gets a hot key whole, and nothing is broadcast because of an estimate.
+
+    Entries that are counted to be ``few`` at most are broadcast whole, and facts are not shuffled at all.
     """
     columns, taken = list(facts.columns), [c for c in entries.columns if c not in on.values()]
     keyed = entries.select(
@@ -109,6 +111,15 @@ def lookup(
         F.struct(*[F.col(c) for c in taken]).alias("_entry"),
     )
     key_names = [f"_k{i}" for i in range(len(on))]
+    if few and entries.count() <= few:
+        met = reduce(
+            lambda a, b: a & b,
+            [F.col(f"f.{c}") == F.col(f"e.{k}") for c, k in zip(on, key_names, strict=True)],
+        )
+        found = facts.alias("f").join(F.broadcast(keyed.alias("e")), met, "left")
+        return found.select(
+            *[F.col(f"f.{c}") for c in columns], *[F.col("e._entry")[c].alias(c) for c in taken]
+        )
     fact_keys = [F.col(c).alias(k) for c, k in zip(on, key_names, strict=True)]
     hot = hot_keys(facts.select(*fact_keys), key_names)
     hot_entries = F.broadcast(

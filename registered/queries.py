@@ -296,17 +296,19 @@ def validated_markets(spark, sf_dir) -> DataFrame:
 
 
 def market_gold(spark, sf_dir) -> DataFrame:
-    """Market links after two runs; the second revises the amounts of first lots."""
-    first = settle(validated_markets(spark, sf_dir))
+    """Market links after two runs; the second revises the amounts of first lots.
+
+    What the first run leaves is stored. The links are worked out twice, and the result is handed on: to store either
+    would be more bytes than to do so.
+    """
+    links = validated_markets(spark, sf_dir)
     revised = F.when(F.col("objet") == "Lot 1", F.col("montant") + 1000.0).otherwise(
         F.col("montant")
     )
+    keys, tracked = schemas.MARKET_KEYS, schemas.MARKET_TRACKED
     gold = empty(spark, schemas.GOLD_MARKET_LINK)
-    for links, day in ((first, DAY_1), (first.withColumn("montant", revised), DAY_2)):
-        gold = settle(
-            scd2.scd2_apply(gold, links, schemas.MARKET_KEYS, schemas.MARKET_TRACKED, day)
-        )
-    return gold
+    first = settle(scd2.scd2_apply(gold, links, keys, tracked, DAY_1))
+    return scd2.scd2_apply(first, links.withColumn("montant", revised), keys, tracked, DAY_2)
 
 
 @register
@@ -934,14 +936,20 @@ def dq_market_links(spark, sf_dir):
 
 def seeded_links(spark, sf_dir) -> DataFrame:
     """Market links of two runs, doubled and contradictory where the winner's type asks for it."""
-    gold = market_gold(spark, sf_dir)
-    open_ended = gold.filter("match_method = 'unresolved'").withColumn(
-        "is_current", F.lit(None).cast("boolean")
-    )
-    closed = gold.filter("match_method = 'unresolved' AND is_current").withColumn(
-        "valid_to", F.lit(DAY_3)
+    unresolved = F.col("match_method") == schemas.UNRESOLVED
+    kinds = F.array(
+        F.lit("gold"),
+        F.when(unresolved, "open-ended"),
+        F.when(unresolved & F.col("is_current"), "closed"),
     )
-    return gold.unionByName(open_ended).unionByName(closed)
+    # Copies of each row in one pass: three reads of the table would each work it out.
+    copies = market_gold(spark, sf_dir).withColumn("_kind", F.explode(F.array_compact(kinds)))
+    return copies.withColumns(
+        {
+            "is_current": F.when(F.col("_kind") != "open-ended", F.col("is_current")),
+            "valid_to": F.when(F.col("_kind") == "closed", F.lit(DAY_3)).otherwise(F.col("valid_to")),
+        }
+    ).drop("_kind")
 
 
 @register

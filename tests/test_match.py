@@ -116,3 +116,14 @@ def test_large_entries_are_not_broadcast_because_they_compress_well(spark, tmp_p
     joins = [line for line in plan.split("\n") if "Join" in line]
     assert sum("strategy=broadcast" in line for line in joins) == 2  # the hot keys, twice
     assert len(joins) == 3
+
+
+def test_few_entries_reach_the_facts_without_a_shuffle(spark, rows):
+    facts = [(i, ["a", "b", "c", None][i % 4]) for i in range(40)]
+    df = spark.createDataFrame(facts, "id long, key string")
+    entries = spark.createDataFrame([("a", 1), ("b", None)], "k string, value int")
+    few = lookup(df, entries, {"key": "k"}, spread_by="id", few=2)
+    assert rows(few) == rows(lookup(df, entries, {"key": "k"}, spread_by="id", few=1))
+    assert rows(few) == sorted(((i, k, {"a": 1}.get(k)) for i, k in facts), key=repr)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan

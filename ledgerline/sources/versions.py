@@ -24,7 +24,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from ledgerline.operators.keys import key_columns, with_key
 from ledgerline.operators.quality import audit
 from ledgerline.operators.scd2 import current, scd2_apply, scd2_rebuild, scd2_replay, undo_day
-from ledgerline.session import discard
+from ledgerline.session import discard, settle
 
 #: Buckets of the current rows; a table keeps the number that it was created with.
 BUCKETS = 64
@@ -328,7 +328,8 @@ def insert_days(
     keys = with_key(observed.select(*at.keys), at.keys).select(*names).distinct()
     keyed = with_key(gold, at.keys)
     mine = keyed.join(keys, names, "left_semi").select(layout.fieldNames())
-    versions = scd2_rebuild(mine, observed, at.keys, tracked, day)
+    # Its days are asked for before it is written.
+    versions = settle(scd2_rebuild(mine, observed, at.keys, tracked, day))
     # Days on which versions of these keys end, before or after: at most the table's and the batch's.
     ends = mine.select("valid_to").unionByName(versions.select("valid_to")).distinct().dropna()
     days = [r[0] for r in ends.collect()]

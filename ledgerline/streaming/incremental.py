@@ -88,7 +88,8 @@ def establishments_stream(
         own = batch.sparkSession
         if is_applied(own, gold_table, checkpoint, number):
             return
-        rows = clean_establishments(batch, per=[day])
+        # Read by every step below, also after a part was taken out of it.
+        rows = settle(clean_establishments(batch, per=[day]))
         last = batch.agg(F.max(day)).first()[0]
         if last is None:
             return

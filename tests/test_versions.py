@@ -241,3 +241,23 @@ def test_orders_of_runs_do_not_matter_for_the_rebuild(spark, table, day, rows):
     versions.insert_days(table, LAYOUT, frame, ["v"], "d")
     by_day = [(d, {k: v}) for d, k, v in values]
     assert shown(spark, table, rows) == slow(by_day)
+
+
+def test_rows_of_a_batch_are_cleaned_once(spark, tmp_path, table_name, day, monkeypatch):
+    """Steps that read them again, and the write of rebuilt timelines, find stored rows."""
+    plans = []
+    for step, at in (("historize_days", 2), ("replace_parts", 3)):
+
+        def asked(*args, step=step, at=at, run=getattr(versions, step), **options):
+            plans.append((step, args[at]._jdf.queryExecution().optimizedPlan().toString()))
+            return run(*args, **options)
+
+        monkeypatch.setattr(versions, step, asked)
+    for n in (3, 1):
+        path = files.write_bronze(bronze_rows(spark, DAYS[n]), str(tmp_path), "establishments", day(n + 1))
+        incremental.establishments_stream(spark, path, f"{tmp_path}/checkpoint", table_name, late="insert")
+    assert len(plans) == 5
+    assert all("Window" not in plan for step, plan in plans if step == "historize_days")
+    # Of the three writes, the one of the rebuilt timelines comes second.
+    assert "Window" not in [plan for step, plan in plans if step == "replace_parts"][1]
+    versions.drop(spark, table_name)

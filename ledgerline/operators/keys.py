@@ -136,7 +136,7 @@ def lookup(
     )
     cold = keyed.withColumn("_spread", F.lit(None).cast("long"))
     matched = scattered.alias("f").join(
-        cold.alias("e"),
+        cold.hint("merge").alias("e"),
         reduce(
             lambda a, b: a & b,
             [F.col(f"f.{k}") == F.col(f"e.{k}") for k in key_names],

@@ -45,15 +45,22 @@ BLOCK_PREFIX = 4
 # they are read as if rounded to nine digits.
 HALF_DIGIT = 5e-10
 # A group of values to compare is cut into tiles of about this many rows a side, and one task gets
-# about as many pairs as some tiles have.
+# about as many pairs as some tiles have, or this many rows where groups are small.
 TILE_ROWS = 1_000
 TILES_A_TASK = 4
+ROWS_A_TASK = 250_000
 MOST_TASKS = 100_000
+# Names that are compared as arrays meet in tiles so many times as long on each side: numbering a tile's names and
+# repeating them in other tiles costs more than comparing them, and a task does eight times as many pairs.
+ARRAY_SIDE = 4
+ARRAY_TILES_A_TASK = 2
+# Large groups up to this number are broadcast; each has more than a tile's rows.
+FEW_GROUPS = 50_000
 # Segments of an address beyond those that are looked up.
 SPARE_SEGMENTS = 2
 # Right names that every left one is compared with first, and how much more it is from round to round: a name whose
 # first partner is the r-th is compared with at most about five times r.
-FIRST_ROUND = 64
+FIRST_ROUND = 256
 ROUND_GROWTH = 4
 # Tiles that are worth no further rounds.
 FEW_TILES = 64
@@ -340,7 +347,8 @@ def _same_name(
     parts = []
     offered = right.select("name", F.col("address").alias("address_r"), "uid")
     if any(a > 0 for a in accepted):
-        met = _with_near(left.select("name", "address"), near).join(offered, ["name", "address_r"])
+        wanted = _with_near(left.select("name", "address"), near)
+        met = wanted.join(offered.hint("merge"), ["name", "address_r"])
         parts.append(_scored(met, F.lit(level), F.col("address_level"), model))
     if 0 not in accepted:
         return parts
@@ -400,6 +408,7 @@ def tiles(
     left_spread: list[str],
     right_spread: list[str],
     tile_rows: int,
+    tiles_a_task: int = TILES_A_TASK,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides, and the columns to join them on, so that no key brings more than a tile together.
 
@@ -415,21 +424,24 @@ def tiles(
         )
 
     # The same equality join, on counts instead of rows.
-    groups = count(left, "l").join(count(right, "r"), keys)
+    groups = settle(count(left, "l").join(count(right, "r").hint("merge"), keys))
     is_large = F.expr("parts_l > 1 OR parts_r > 1")
     work = groups.agg(
-        F.sum(pair_count("rows_l", "rows_r")).alias("pairs"), F.count_if(is_large).alias("large")
+        F.sum(pair_count("rows_l", "rows_r")).alias("pairs"),
+        F.sum(F.col("rows_l") + F.col("rows_r")).alias("rows"),
+        F.count_if(is_large).alias("large"),
     ).first()
     # The bytes of the two sides say nothing about the work their pairs make, so the number of tasks
     # follows the number of pairs.
-    tasks = min(MOST_TASKS, 1 + int(work["pairs"] or 0) // (TILES_A_TASK * tile_rows**2))
+    pairs, rows = int(work["pairs"] or 0), int(work["rows"] or 0)
+    tasks = min(MOST_TASKS, 1 + pairs // (tiles_a_task * tile_rows**2) + rows // ROWS_A_TASK)
     if work["large"]:
         large = groups.filter(is_large).select(*keys, "parts_l", "parts_r")
 
         def cut(side: DataFrame, own: str, other: str, spread: list[str]) -> DataFrame:
-            sized = lookup(side, large, {k: k for k in keys}, spread_by=spread[0]).withColumns(
-                {c: F.coalesce(c, F.lit(1)) for c in ("parts_l", "parts_r")}
-            )
+            sized = lookup(
+                side, large, {k: k for k in keys}, spread_by=spread[0], few=FEW_GROUPS
+            ).withColumns({c: F.coalesce(c, F.lit(1)) for c in ("parts_l", "parts_r")})
             mine = F.pmod(F.xxhash64(*spread), F.col(f"parts_{own}")).cast("int")
             every = F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1))
             return (
@@ -591,7 +603,8 @@ def _nearest_names(
         matched = [*parts, known] if known is not None else parts
         better = [p.filter(F.col("match_probability") > chance).select("name", "address") for p in matched]
         if better:
-            mine = settle(mine.join(reduce(DataFrame.unionByName, better), ["name", "address"], "left_anti"))
+            served = reduce(DataFrame.unionByName, better).hint("merge")
+            mine = settle(mine.join(served, ["name", "address"], "left_anti"))
         for level, a in [pair for pair, p in chances.items() if p == chance]:
             keys = ["block", "address_r"] if a else ["block"]
             if bool(a) not in others:
@@ -600,7 +613,7 @@ def _nearest_names(
             here = _with_near(mine, near).filter(F.col("address_level") == a) if a else mine
             names = here.select(*keys, "name").distinct()
             hits = first_partners(names, others[bool(a)], keys, model, level, tile_rows)
-            met = here.join(hits, [*keys, "name"])
+            met = here.join(hits.hint("merge"), [*keys, "name"])
             worse = [b for b in present if b and min(_better_names(model, level, b)) < chance]
             if worse and not a:
                 places = offered.select("uid", "address_r")
@@ -631,11 +644,20 @@ def _tiled(
     left: DataFrame, right: DataFrame, keys: list[str], own: list[str], tile_rows: int
 ) -> DataFrame:
     """Tiles of left (keys, name) and right (keys, *own) as one row each: keys, names, and an array per column of ``own``."""
-    left, right, tile = tiles(left, right, keys, ["name"], ["name_r"], tile_rows)
-    # At most about ``tile_rows`` names are collected; both sides lie by tile already.
+    side = ARRAY_SIDE * tile_rows
+    left, right, tile = tiles(left, right, keys, ["name"], ["name_r"], side, ARRAY_TILES_A_TASK)
+    # At most about ``side`` names are collected; both sides lie by tile already.
     lefts = left.groupBy(*tile).agg(F.collect_list("name").alias("names"))
     rights = right.groupBy(*tile).agg(F.sort_array(F.collect_list(F.struct(*own))).alias("others"))
-    return lefts.join(rights, tile).select(*keys, "names", *[F.col(f"others.{c}") for c in own])
+    met = lefts.join(rights.hint("merge"), tile)
+    return met.select(*keys, "names", *[F.col(f"others.{c}") for c in own])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows of the batches, of which only one at a time is turned into Python values."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
 def _reached(row: dict, threshold: float) -> np.ndarray:
@@ -654,13 +676,12 @@ def _similar_names(
     """All pairs (keys, name, name_r) of unequal names that agree on ``keys`` and reach the threshold."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                i, j = np.nonzero(_reached(row, threshold))
-                columns = [pa.array([row[k]] * len(i), pa.string()) for k in keys]
-                columns += [pa.array([row["names"][x] for x in i], pa.string())]
-                columns += [pa.array([row["name_r"][x] for x in j], pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, [*keys, "name", "name_r"])
+        for row in _rows(batches):
+            i, j = np.nonzero(_reached(row, threshold))
+            columns = [pa.array([row[k]] * len(i), pa.string()) for k in keys]
+            columns += [pa.array([row["names"][x] for x in i], pa.string())]
+            columns += [pa.array([row["name_r"][x] for x in j], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, "name", "name_r"])
 
     layout = ", ".join(f"{c} string" for c in (*keys, "name", "name_r"))
     return _tiled(left, right, keys, ["name_r"], tile_rows).mapInArrow(compare, layout)
@@ -672,15 +693,14 @@ def _tile_partners(
     """The smallest ``uid`` that each left (keys, name) finds among right (keys, name_r, uid) of unequal, similar names."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                similar = _reached(row, threshold)
-                hit = np.flatnonzero(similar.any(axis=1))
-                first = similar[hit].argmax(axis=1)  # the others are in the order of their uid
-                columns = [pa.array([row[k]] * len(hit), pa.string()) for k in keys]
-                columns += [pa.array([row["names"][i] for i in hit], pa.string())]
-                columns += [pa.array([row["uid"][j] for j in first], pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, [*keys, "name", "uid"])
+        for row in _rows(batches):
+            similar = _reached(row, threshold)
+            hit = np.flatnonzero(similar.any(axis=1))
+            first = similar[hit].argmax(axis=1)  # the others are in the order of their uid
+            columns = [pa.array([row[k]] * len(hit), pa.string()) for k in keys]
+            columns += [pa.array([row["names"][i] for i in hit], pa.string())]
+            columns += [pa.array([row["uid"][j] for j in first], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, "name", "uid"])
 
     layout = ", ".join(f"{c} string" for c in (*keys, "name", "uid"))
     met = _tiled(left, right, keys, ["uid", "name_r"], tile_rows)
@@ -710,7 +730,7 @@ def first_partners(
         pairs, seekers = _pairs(left, rest, keys)
         if not pairs:
             break
-        if pairs <= FEW_TILES * tile_rows**2:
+        if pairs <= FEW_TILES * (ARRAY_SIDE * tile_rows) ** 2:
             found.append(settle(_tile_partners(left, rest, keys, threshold, tile_rows)))
             break
         size = min(size, max(first, MOST_TASKS * tile_rows**2 // seekers))
@@ -719,8 +739,8 @@ def first_partners(
         turn = settle(rest.withColumn("_place", place).filter(F.col("_place") <= size).drop("_place"))
         hits = settle(_tile_partners(left, turn, keys, threshold, tile_rows))
         found.append(hits)
-        left = settle(left.join(hits, [*keys, "name"], "left_anti"))
-        rest = settle(rest.join(turn, [*keys, "name_r"], "left_anti"))
+        left = settle(left.join(hits.hint("merge"), [*keys, "name"], "left_anti"))
+        rest = settle(rest.join(turn.hint("merge"), [*keys, "name_r"], "left_anti"))
         size *= ROUND_GROWTH
     if not found:
         return left.filter(F.lit(False)).withColumn("uid", F.lit(None).cast("string"))
@@ -758,7 +778,7 @@ def best_matches(
     if settled is not None:
         # A value whose match by name beats whatever an unequal name could reach is done.
         done = settled.filter(F.col("match_probability") > max(others)).select("name", "address")
-        open_left = left.join(done, ["name", "address"], "left_anti")
+        open_left = left.join(done.hint("merge"), ["name", "address"], "left_anti")
     parts = _other_name(open_left, right, near, model, tile_rows, settled)
     if settled is not None:
         parts.append(settled)

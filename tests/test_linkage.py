@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import similarity
 from ledgerline.functions.text import segment_keys, segment_probes, with_character_masks
 from ledgerline.operators import linkage
+from ledgerline.operators.keys import lookup
 from ledgerline.operators.model import LinkageModel, default_m, prior_from_rule, train_m
 from ledgerline.plans.cascade import run_cascade
 
@@ -411,6 +412,35 @@ def test_names_are_compared_with_little_more_than_they_need(spark, monkeypatch):
     assert sum(asked) <= 500
 
 
+def test_names_met_as_arrays_make_few_tasks(spark):
+    """4.5 million pairs of one group are work for one task, not for a task per four tiles of a thousand."""
+    left = spark.range(1500).selectExpr("'bloc' AS block", "concat('bloc name ', id) AS name")
+    right = spark.range(3000).selectExpr("'bloc' AS block", "concat('bloc nama ', id) AS name_r", "lpad(id, 6, '0') AS uid")
+    rows = linkage._tiled(left, right, ["block"], ["uid", "name_r"], 1000).collect()
+    assert [(len(r.names), len(r.name_r)) for r in rows] == [(1500, 3000)]
+
+
+def test_many_small_groups_are_not_one_task(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "ROWS_A_TASK", 100)
+    left, right = spark.range(500).selectExpr("id AS k", "id AS a"), spark.range(500).selectExpr("id AS k", "id AS b")
+    l, r, keys = linkage.tiles(left, right, ["k"], ["a"], ["b"], 1000)
+    assert l.rdd.getNumPartitions() == r.rdd.getNumPartitions() == 11 and l.join(r, keys).count() == 500
+
+
+def test_partners_are_kept_by_shuffles_not_on_the_driver(spark, monkeypatch):
+    """What grows with the input is not broadcast, however small a compressed file looks."""
+    left = spark.range(300).selectExpr("'bloc' AS block", "concat('bloc name ', id) AS name")
+    right = spark.range(900).selectExpr("'bloc' AS block", "concat('bloc nama ', id) AS name_r", "lpad(id, 6, '0') AS uid")
+    plans, settle = [], linkage.settle
+    monkeypatch.setattr(linkage, "FEW_TILES", 0)
+    monkeypatch.setattr(linkage, "settle", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or settle(df))
+    linkage.first_partners(left, right, ["block"], LinkageModel(), 2, 1000, 1).count()
+    assert plans and not any("BroadcastExchange" in p for p in plans)
+    facts = spark.range(100).selectExpr("id AS k", "id AS fact")
+    found = lookup(facts, spark.range(50).selectExpr("id AS k", "id AS entry"), {"k": "k"}, spread_by="fact")
+    assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString() and found.count() == 100
+
+
 def test_who_has_a_better_match_is_not_looked_for_again(spark, monkeypatch):
     """Partners at the same address are more probable than elsewhere, so blocks are not searched for these names."""
     model = LinkageModel(

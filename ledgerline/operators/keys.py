@@ -8,10 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.session import settle
+
 # A key is hot if more than one in so many rows has it; there are fewer hot keys than that.
 HOT_SHARE = 500
 # Parts that the rows of one key are spread over before they meet.
 PARTS = 64
+# Repeated keys up to this number are broadcast, as counted.
+FEW_REPEATED = 100_000
 
 
 def total_order(columns: Sequence[str]) -> list[Column]:
@@ -41,10 +45,20 @@ def dedup(df: DataFrame, keys: Sequence[str], latest: Sequence[str] = ()) -> Dat
 def duplicates(df: DataFrame, keys: Sequence[str], latest: Sequence[str] = ()) -> DataFrame:
     """The rows that ``dedup`` leaves out: together they are all rows of ``df``.
 
-    Keys are spread over tasks by all their rows' columns first, so that only rows that are not the
+    Keys are counted first, and unless very many are repeated only their rows are put in order at all. Keys are
+    spread over tasks by all their rows' columns first, so that only rows that are not the
     first of their part are known to be left out early; the firsts of the parts meet by key.
     """
     names = list(df.columns)
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    repeated = settle(counts.filter("_rows > 1").drop("_rows"))
+    few = repeated.count()
+    if not few:
+        return df.filter(F.lit(False))
+    if few <= FEW_REPEATED:
+        met = [F.col(f"d.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+        df = df.alias("d").join(F.broadcast(repeated.alias("r")), reduce(lambda a, b: a & b, met), "left_semi")
+        df = df.select(names)
     part = F.pmod(F.xxhash64(*names), F.lit(PARTS))
     place = F.row_number().over(
         Window.partitionBy(*keys, "_part").orderBy(*_preference(df, keys, latest))

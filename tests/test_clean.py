@@ -1,7 +1,7 @@
 import datetime as dt
 
 from ledgerline import schemas
-from ledgerline.operators import clean, scope
+from ledgerline.operators import clean, keys, scope
 
 
 def establishments(spark, *changes):
@@ -162,3 +162,19 @@ def test_announcement_window_is_half_open_and_update_window_closed(spark, rows):
         "siret string, dateDernierTraitementEtablissement string",
     )
     assert rows(scope.updated_between(updated, since, until), "siret") == [("b",), ("c",)]
+
+
+def test_duplicates_put_only_repeated_keys_in_order(spark, monkeypatch):
+    data = [(None, "x"), (None, "y"), ("a", "x"), ("a", "x"), ("a", None), ("b", "x"), ("", "z")]
+    df = spark.createDataFrame(data, "k string, v string")
+
+    def left_out():
+        return sorted(map(tuple, keys.duplicates(df, ["k"]).collect()), key=repr)
+
+    expected = [("a", "x"), ("a", "x"), (None, "y")]
+    assert left_out() == expected
+    assert "BroadcastHashJoin" in keys.duplicates(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(keys, "FEW_REPEATED", 1)
+    assert left_out() == expected
+    once = keys.duplicates(df.filter("v = 'z'"), ["k"])
+    assert "Window" not in once._jdf.queryExecution().executedPlan().toString() and once.isEmpty()

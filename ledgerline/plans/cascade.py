@@ -13,6 +13,9 @@ from ledgerline.operators.model import LinkageModel
 from ledgerline.schemas import ANNOUNCEMENT_LINK, EXACT, FUZZY, UNRESOLVED
 from ledgerline.session import settle
 
+#: What announcements are matched by.
+MATCHED_BY = ["id", "siren_declared", "commercant", "code_postal", "ville"]
+
 
 def run_cascade(
     announcements: DataFrame,
@@ -28,7 +31,7 @@ def run_cascade(
     """
     offices = head_offices(candidates).withColumnRenamed("siret", "exact_siret")
     declared = lookup(
-        announcements.select("id", "siren_declared", "commercant", "code_postal", "ville"),
+        announcements.select(MATCHED_BY),
         offices,
         {"siren_declared": "siren"},
         spread_by="id",

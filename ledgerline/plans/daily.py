@@ -16,7 +16,7 @@ from ledgerline import schemas
 from ledgerline.operators import clean, normalize, quality, resolve, scd2, scope, serve
 from ledgerline.operators.match import ID, backlog
 from ledgerline.operators.model import LinkageModel
-from ledgerline.plans.cascade import run_cascade
+from ledgerline.plans.cascade import MATCHED_BY, run_cascade
 from ledgerline.session import settle
 from ledgerline.sources import files, jdbc, tables, versions
 
@@ -200,9 +200,14 @@ def establishments_daily(
 
 
 def announcements_to_silver(bronze: DataFrame, silver_table: str) -> None:
-    """Unseen announcements to silver; stored ones never change."""
+    """Unseen announcements to silver; stored ones never change.
+
+    Cleaned rows lie by ``id``, one row each and none NULL, so they meet the stored ones where they are.
+    """
     tables.ensure_table(bronze.sparkSession, silver_table, schemas.SILVER_ANNOUNCEMENT)
-    tables.insert_if_absent_into(silver_table, clean.clean_announcements(bronze), ["id"])
+    known = bronze.sparkSession.table(silver_table).select("id")
+    new = clean.clean_announcements(bronze).join(known.hint("merge"), "id", "left_anti")
+    tables.append_rows(new, silver_table)
 
 
 def link_backlog(
@@ -227,7 +232,8 @@ def link_backlog(
         versions.create(spark, links_table, layout, schemas.LINK_KEYS)
     else:
         tables.ensure_gold(spark, links_table, layout, provider=provider)
-    waiting = settle(backlog(spark.table(silver_table), spark.table(links_table)))
+    stored = spark.table(silver_table).select(MATCHED_BY)
+    waiting = settle(backlog(stored, spark.table(links_table)))
     if waiting.isEmpty():
         return
     matches = run_cascade(waiting, candidates, model)

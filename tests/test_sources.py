@@ -216,6 +216,26 @@ def test_announcements_stream_links_the_backlog(spark, tmp_path, table_name, day
     ]
 
 
+def test_announcements_are_put_in_order_once_and_only_what_they_match_by_waits(spark, table_name, day, rows, monkeypatch):
+    bronze = bronze_announcements(spark, {"id": "A1"}, {"id": "A1", "commercant": "B"}, {"id": ""}, {"id": "A2"})
+    candidates = spark.createDataFrame([("1", "100", "ALPHA BOIS", "08000", "SEDAN")], CANDIDATES)
+    append, settle, plans, waiting = tables.append_rows, daily.settle, [], []
+
+    def appended(df, table):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        append(df, table)
+
+    monkeypatch.setattr(tables, "append_rows", appended)
+    monkeypatch.setattr(daily, "settle", lambda df: waiting.append(df.columns) or settle(df))
+    for n in (1, 2):
+        daily.announcements_daily(
+            bronze, candidates, f"{table_name}_s", table_name, day(n), LinkageModel(prior=0.01)
+        )
+    assert rows(spark.table(f"{table_name}_s"), "id", "commercant") == [("A1", None), ("A2", None)]
+    assert all(p.count("row_number") and p.count("Exchange hashpartitioning") == 2 for p in plans)
+    assert len(plans) == 2 and waiting[0] == ["id", "siren_declared", "commercant", "code_postal", "ville"]
+
+
 def test_markets_daily_twice_adds_nothing(spark, table_name, day, rows):
     base = dict.fromkeys(schemas.BRONZE_MARKET.fieldNames()) | {
         "acheteur_departement_code": "08",
